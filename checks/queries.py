@@ -547,14 +547,14 @@ def category_onehot(spark, sf_dir):
     sums = encoded.select(
         *[Summarizer.sum(F.col(f"{c}_encoded")).alias(c) for c in CATEGORY_INPUTS]
     )
-    slots = [
-        sums.select(
-            F.lit(c).alias("column_name"),
-            F.posexplode(vector_to_array(c)).alias("slot", "n_rows"),
-        )
-        for c in CATEGORY_INPUTS
-    ]
-    return reduce(DataFrame.unionByName, slots)
+    columns = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), vector_to_array(c).alias("counts"))
+            for c in CATEGORY_INPUTS
+        ]
+    )
+    listed = sums.select(F.explode(columns).alias("listed")).select("listed.*")
+    return listed.select("column_name", F.posexplode("counts").alias("slot", "n_rows"))
 
 
 def assemble_features(spark, sf_dir):

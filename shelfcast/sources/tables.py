@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType
@@ -29,14 +31,24 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).csv(path, header=True)
 
 
+def _land_table(df: DataFrame, path: str) -> None:
+    if "date" in df.columns:
+        write_by_date(df, path, mode="overwrite")
+    else:
+        df.write.mode("overwrite").parquet(path)
+
+
 def land_static(tables: dict[str, DataFrame], root: str) -> None:
     """Write the side tables under ``root``. Tables with a date become date-partitioned
-    zones, so that the daily jobs open only the dates they use; the rest plain Parquet."""
-    for name, df in tables.items():
-        if "date" in df.columns:
-            write_by_date(df, f"{root}/{name}", mode="overwrite")
-        else:
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
+    zones, so that the daily jobs open only the dates they use; the rest plain Parquet. The
+    writes are independent jobs and run at once, so one fills the slots another's last tasks
+    leave idle."""
+    if not tables:
+        return
+    with ThreadPoolExecutor(len(tables)) as pool:
+        jobs = [pool.submit(_land_table, df, f"{root}/{name}") for name, df in tables.items()]
+        for job in jobs:
+            job.result()
 
 
 def read_static(spark: SparkSession, root: str, name: str) -> DataFrame:
