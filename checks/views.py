@@ -12,6 +12,19 @@ from pyspark.sql import functions as F
 _ITEM = {"TR": "p_type", "BN": "p_brand", "PR": "p_partkey"}
 _STORE = {"TR": "n_regionkey", "BN": "n_nationkey", "PR": "n_regionkey"}
 
+# Given, so that opening a table runs no job to infer them.
+_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
+    "lineitem": (
+        "l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_shipdate timestamp_ntz"
+    ),
+}
+
 FORECAST_START = "2001-07-01"
 TRAINING_END = "2001-06-30"
 PROCESS_DATE = "2001-07-01"
@@ -25,9 +38,9 @@ class Retail:
         self._opened: dict[str, DataFrame] = {}
 
     def _table(self, name: str) -> DataFrame:
-        """Each file's schema is read once, whatever number of views use it."""
         if name not in self._opened:
-            self._opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            reader = self.spark.read.schema(_SCHEMAS[name])
+            self._opened[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._opened[name]
 
     def _lines(self, *columns: Column) -> DataFrame:

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from shelfcast.functions.cleaning import fill_numeric
-from shelfcast.operators.aggregates import daily_discounts, daily_markdowns
+from shelfcast.operators.aggregates import daily_demand, daily_discounts, daily_markdowns
 from shelfcast.operators.joins import BROADCAST_BYTES, left_join_dimensions
 from shelfcast.schemas import KEYS
 
@@ -33,53 +32,10 @@ def enrich_discounts(demand: DataFrame, discounts: DataFrame) -> DataFrame:
 
 
 def demand_panel(sales: DataFrame, markdowns: DataFrame, discounts: DataFrame) -> DataFrame:
-    """Daily demand with its markdown and promotion figures, in one aggregation.
+    """Daily demand with its markdown and promotion figures.
 
-    Equal to ``enrich_discounts(enrich_markdowns(daily_demand(sales), ...), ...)``. The three
-    tables are stacked under one layout and grouped once: one shuffle and a hash aggregate
-    instead of three shuffles, three sorts and two merge joins. Keys without sales are
-    dropped at the end. A null key never matches in a join, so side rows with one are left
-    out before the grouping.
+    Each table is grouped before it is joined. The groupings shuffle on the join keys, so the
+    joins add no shuffle of their own, and every side has one row per key, so a key that is
+    hot in the raw rows is an ordinary one here.
     """
-    matched = " AND ".join(f"{k} IS NOT NULL" for k in KEYS)
-    stacked = (
-        fill_numeric(sales, ["quantity", "price_base"])
-        .select(*KEYS, "quantity", "price_base", F.lit(1).alias("sold"))
-        .unionByName(
-            fill_numeric(markdowns, ["quantity", "price", "normal_price"])
-            .where(matched)
-            .select(
-                *KEYS,
-                F.col("quantity").alias("markdown_quantity"),
-                F.col("price").alias("markdown_price"),
-                F.col("normal_price").alias("markdown_normal_price"),
-            ),
-            allowMissingColumns=True,
-        )
-        .unionByName(
-            discounts.where(matched).select(
-                *KEYS,
-                "promo_type_code",
-                F.col("sale_price_time_promo").alias("promo_price"),
-                F.col("sale_price_before_promo").alias("discount_price_before_promo"),
-            ),
-            allowMissingColumns=True,
-        )
-    )
-    panel = (
-        stacked.groupBy(*KEYS)
-        .agg(
-            F.count("sold").alias("sold"),
-            F.sum("quantity").alias("total_quantity"),
-            F.avg("price_base").alias("avg_base_price"),
-            F.sum("markdown_quantity").alias("markdown_quantity"),
-            F.avg("markdown_price").alias("markdown_price"),
-            F.avg("markdown_normal_price").alias("markdown_normal_price"),
-            F.max("promo_type_code").alias("promo_type_code"),
-            F.avg("promo_price").alias("promo_price"),
-            F.avg("discount_price_before_promo").alias("discount_price_before_promo"),
-        )
-        .where("sold > 0")
-        .drop("sold")
-    )
-    return fill_numeric(panel, MARKDOWN_COLUMNS + DISCOUNT_COLUMNS)
+    return enrich_discounts(enrich_markdowns(daily_demand(sales), markdowns), discounts)

@@ -50,8 +50,8 @@ def feature_table(
 ) -> DataFrame:
     """One row of 31 features per (date, item, store) with sales.
 
-    Shuffles: one for the grouping, one to bring each series together for its windows. The
-    attribute text joins afterwards, so it does not travel with either.
+    Shuffles: one per grouped table, which their joins share, and one to bring each series
+    together for its windows. The attribute text joins afterwards, so it travels in none.
     """
     panel = demand_panel(sales, markdowns, discounts)
     return finish_features(panel.withColumns(series_columns()), catalog, stores, limit)

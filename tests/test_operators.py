@@ -1,0 +1,256 @@
+import contextlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+import frames
+from frames import day
+from shelfcast import schemas
+from shelfcast.operators import aggregates, enrich, joins, profile, split
+from shelfcast.plans.features import feature_table, feature_table_for_day
+from shelfcast.plans.frame import (
+    align_schema_union,
+    date_spine,
+    forecast_frame,
+    inference_features,
+)
+
+
+def rows(df, *columns):
+    return sorted(tuple(r) for r in df.select(*columns or df.columns).collect())
+
+
+def plan(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()
+
+
+def test_missing_numbers_count_as_zero_in_means(spark):
+    sales = frames.sales(
+        spark, [(0, "a", 1, 2.0, 10.0), (0, "a", 1, None, None), (1, "a", 1, None, 4.0)]
+    )
+    assert rows(aggregates.daily_demand(sales), "total_quantity", "avg_base_price") == [
+        (0.0, 4.0),
+        (2.0, 5.0),
+    ]
+
+
+def test_discount_means_skip_missing_prices(spark):
+    discounts = frames.discounts(spark, [(0, "a", 1, 2.0, 8.0, None), (0, "a", 1, 5.0, None, None)])
+    row = aggregates.daily_discounts(discounts).first()
+    assert (row["promo_type_code"], row["promo_price"]) == (5.0, 8.0)
+    assert row["discount_price_before_promo"] is None
+
+
+def test_empty_inputs_give_empty_features(spark):
+    table = feature_table(
+        schemas.empty(spark, schemas.SALES),
+        frames.catalog(spark, "a"),
+        frames.stores(spark, 1),
+        schemas.empty(spark, schemas.MARKDOWNS),
+        schemas.empty(spark, schemas.DISCOUNTS),
+    )
+    assert table.columns == schemas.FEATURE_COLUMNS
+    assert table.isEmpty()
+
+
+@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 0])
+def test_dimension_join_broadcast_and_salted(spark, limit):
+    """A hot item, unmatched keys and null keys give the same rows by either way."""
+    demand = aggregates.daily_demand(frames.hot_sales(spark)).unionByName(
+        spark.createDataFrame(
+            [(day(0), None, None, 1.0, 1.0)],
+            "date date, item_id string, store_id int, total_quantity double, avg_base_price double",
+        )
+    )
+    items = [f"item {n}" for n in range(0, 20, 2)] + ["hot"]
+    catalog, stores = frames.catalog(spark, *items), frames.stores(spark, 0, 1, 2, 3)
+    joined = enrich.enrich_dimensions(demand, catalog, stores, limit)
+    assert joined.count() == demand.count()
+    departments = {i: f"dept {i}" for i in items}
+    for row in joined.collect():
+        assert row["dept_name"] == departments.get(row["item_id"])
+        in_stores = row["store_id"] is not None and row["store_id"] < 4
+        assert row["city"] == (f"city {row['store_id']}" if in_stores else None)
+    assert ("_salt" in plan(joined)) == (limit == 0)
+    assert "_salt" not in joined.columns
+
+
+def test_salt_spreads_a_hot_item(spark):
+    demand = aggregates.daily_demand(frames.hot_sales(spark)).where("item_id = 'hot'")
+    salted = demand.select(F.pmod(F.xxhash64("store_id", "date"), F.lit(joins.SALTS)).alias("s"))
+    largest = salted.groupBy("s").count().agg(F.max("count")).first()[0]
+    assert largest < demand.count() / 8
+
+
+def test_measured_bytes_grow_with_the_text(spark):
+    small, large = frames.catalog(spark, "a"), frames.catalog(spark, "a", "b" * 1000)
+    sizes = joins.measured_bytes(small, large, small.limit(0))
+    assert sizes[0] < 200 < 1000 < sizes[1] and sizes[2] == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 16])
+def test_grid_is_every_pair_once(spark, buckets):
+    items, ids = [f"i{n}" for n in range(13)], list(range(7))
+    catalog = frames.catalog(spark, *items).unionByName(frames.catalog(spark, "i0"))
+    grid = joins.item_store_grid(catalog, frames.stores(spark, *ids), buckets)
+    assert rows(grid) == sorted((i, s) for i in items for s in ids)
+    text = plan(grid)
+    assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_spine_crosses_months_and_years(spark):
+    series = spark.createDataFrame([("a", 1)], "item_id string, store_id int")
+    dates = [str(r[0]) for r in rows(date_spine(series, "2023-12-29", 7), "date")]
+    assert dates[0] == "2023-12-29" and dates[-1] == "2024-01-04" and len(dates) == 7
+
+
+def test_frame_fans_out_only_when_raw(spark):
+    sides = [
+        frames.catalog(spark, "a"),
+        frames.stores(spark, 1),
+        frames.markdowns(spark, [(1, "a", 1, 2.0, 3.0, 4.0), (1, "a", 1, 4.0, 5.0, 8.0)]),
+        frames.discounts(spark),
+        frames.prices(spark),
+    ]
+    combined = forecast_frame(*sides, day(0), 3)
+    assert combined.count() == 3
+    row = combined.where(F.col("date") == day(1)).first()
+    assert (row["markdown_quantity"], row["markdown_price"]) == (6.0, 4.0)
+    assert row["avg_base_price"] is None
+    raw = forecast_frame(*sides, day(0), 3, plan="raw")
+    assert raw.count() == 4
+    assert rows(raw.where(F.col("date") == day(1)), "markdown_quantity") == [(2.0,), (4.0,)]
+    with pytest.raises(ValueError):
+        forecast_frame(*sides, day(0), 3, plan="other")
+
+
+def test_union_aligns_by_name(spark):
+    history = spark.createDataFrame([(1, 2.0)], "a int, old double")
+    future = spark.createDataFrame([("x", 3)], "new string, a int")
+    combined = align_schema_union(history, future)
+    assert rows(combined.fillna(0).fillna(""), "a", "old", "new") == [(1, 2.0, ""), (3, 0.0, "x")]
+    assert dict(combined.dtypes) == {"a": "int", "old": "double", "new": "string"}
+
+
+def _history(spark, n_days=500):
+    rows_ = [
+        (d, item, store, float((d * 7 + store) % 11), 2.0)
+        for d in range(n_days)
+        for item in ("a", "b")
+        for store in (1, 2)
+        if (d + store) % 5 or item == "a"
+    ]
+    return frames.sales(spark, rows_)
+
+
+def test_one_day_equals_the_full_table_over_its_look_back(spark):
+    sales = _history(spark)
+    side = [frames.catalog(spark, "a"), frames.stores(spark, 1, 2)]
+    promo = [
+        frames.markdowns(spark, [(480, "a", 1, 2.0, 3.0, 4.0), (480, "b", 1, 1.0, 1.0, 1.0)]),
+        frames.discounts(spark, [(480, "a", 2, 2.0, 8.0, 9.0), (10, "a", 2, 2.0, 8.0, 9.0)]),
+    ]
+    bounded = sales.where(F.col("date").between(day(480 - 365), day(480)))
+    full = feature_table(bounded, *side, *promo).where(F.col("date") == day(480))
+    one_day = feature_table_for_day(sales, *side, *promo, day(480))
+    assert rows(one_day) == rows(full)
+    assert one_day.count() == 4
+    lag_365 = dict(
+        ((r["item_id"], r["store_id"]), r["lag_365_quantity"]) for r in one_day.collect()
+    )
+    assert lag_365["a", 1] == float((115 * 7 + 1) % 11)
+    assert lag_365["b", 1] == 0.0  # fewer than 366 rows in the look-back
+
+
+def test_inference_rows_match_windows_over_history_and_horizon(spark):
+    sales = _history(spark, 400)
+    catalog, stores = frames.catalog(spark, "a", "b", "new"), frames.stores(spark, 1, 2)
+    markdowns = frames.markdowns(spark, [(401, "a", 1, 2.0, 3.0, 4.0)])
+    discounts, prices = frames.discounts(spark), frames.prices(spark, [(402, "b", 2, 7.5)])
+    history = feature_table(sales, catalog, stores, markdowns, discounts)
+    inference = inference_features(
+        history, catalog, stores, markdowns, discounts, prices, day(400)
+    )
+    found = {(r["date"], r["item_id"], r["store_id"]): r for r in inference.collect()}
+    assert len(found) == 3 * 2 * 7 == inference.count()
+    for item in ("a", "b", "new"):
+        for store in (1, 2):
+            past = [
+                r["total_quantity"]
+                for r in history.where(
+                    (F.col("item_id") == item)
+                    & (F.col("store_id") == store)
+                    & (F.col("date") >= day(400 - 366))
+                )
+                .orderBy("date")
+                .collect()
+            ]
+            for n, expected in enumerate(expected_tail(past)):
+                row = found[day(400 + n), item, store]
+                for name, value in expected.items():
+                    assert row[name] == (value or 0.0), (item, store, n, name)
+    assert found[day(401), "a", 1]["on_promotion"] == 1
+    assert found[day(402), "a", 1]["on_promotion"] == 0
+    assert found[day(402), "b", 2]["avg_base_price"] == 7.5
+    assert found[day(402), "new", 1]["total_quantity"] is None
+
+
+def expected_tail(past, horizon=7):
+    return frames.expected_series(past + [None] * horizon)[-horizon:]
+
+
+def test_history_split_covers_31_dates(spark):
+    sales = frames.sales(spark, [(d, "a", 1, 1.0, 1.0) for d in range(60)] + [(90, "b", 1, 1.0, 1.0)])
+    history, recent = split.history_split(sales, ["a"])
+    assert (history.count(), recent.count()) == (29, 31)
+    assert recent.agg(F.min("date")).first()[0] == day(29)
+
+
+def test_train_validation_split(spark):
+    df = frames.sales(spark, [(d, "a", 1, 1.0, 1.0) for d in range(40)])
+    train, held_out = split.train_validation_split(df, day(30))
+    assert train.agg(F.max("date")).first()[0] == day(16)
+    assert rows(held_out, "date")[0][0] == day(17) and held_out.count() == 14
+
+
+def test_static_selection_leaves_stores_whole(spark):
+    found = split.select_items_static(
+        {"catalog": frames.catalog(spark, "a", "b"), "stores": frames.stores(spark, 1, 2)}, ["a"]
+    )
+    assert (found["catalog"].count(), found["stores"].count()) == (1, 2)
+
+
+def test_profile_orders_ties_by_item(spark):
+    data = [(d, item, store, 1.0, 1.0) for item in "cab" for store in (1, 2) for d in range(3)]
+    data += [(0, "only here", 1, 1.0, 1.0)] * 50
+    sales = frames.sales(spark, data)
+    assert [tuple(r) for r in profile.top_items(sales, 2).collect()] == [("a", 6), ("b", 6)]
+    assert {r["item_id"] for r in profile.items_in_all_stores(sales).collect()} == set("abc")
+    profiled = profile.assortment_profile(sales, 1).first()
+    assert (profiled["item_id"], profiled["active_days"], profiled["mean_quantity"]) == ("a", 3, 1.0)
+
+
+def test_rmse(spark):
+    df = spark.createDataFrame([(1.0, 4.0), (2.0, 6.0)], "y double, p double")
+    assert aggregates.rmse(df, "y", "p").first()[0] == pytest.approx((25 / 2) ** 0.5)
+
+
+def test_feature_plan_shuffles_once_per_grouping_and_once_per_window(spark):
+    """Demand, markdowns and discounts shuffle once each; the joins reuse that; the six window
+    columns share one shuffle and one window operator; dimensions are broadcast."""
+    table = feature_table(
+        frames.hot_sales(spark),
+        frames.catalog(spark, "hot"),
+        frames.stores(spark, 1),
+        frames.markdowns(spark, [(0, "hot", 1, 1.0, 1.0, 1.0)]),
+        frames.discounts(spark, [(0, "hot", 1, 1.0, 1.0, 1.0)]),
+    )
+    tree = plan(table).split("\n\n\n")[0]
+    assert tree.count(" Exchange") == 4
+    assert tree.count("- Window") == 1
+    assert tree.count("BroadcastHashJoin") == 2
+    assert "Cartesian" not in tree and "NestedLoop" not in tree
