@@ -28,6 +28,8 @@ def local_session(cpus: int = 8, **settings: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "UTC")
+        # A date folder costs the same however little it holds: keep small writes parallel.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.schemas import LAGS, MEANS, SERIES, TARGET
@@ -37,3 +37,25 @@ def rolling_mean_columns(value: str = TARGET, widths: Iterable[int] = MEANS) ->
 
 def series_columns(value: str = TARGET) -> dict[str, Column]:
     return {**lag_columns(value), **rolling_mean_columns(value)}
+
+
+NEWEST_FIRST = "newest_first"
+
+
+def newest_first(past: DataFrame, value: str = TARGET) -> DataFrame:
+    """One row per series with its values as a list, latest date first. The list is no longer
+    than the dates read."""
+    listed = F.sort_array(F.collect_list(F.struct("date", value)), asc=False)
+    return past.groupBy(*SERIES).agg(listed[value].alias(NEWEST_FIRST))
+
+
+def continued_columns(newest: Column, ahead: Column) -> dict[str, Column]:
+    """The series columns of a row that follows the listed values by ``ahead`` rows (0 for
+    the next), itself and those between without a value."""
+    columns = {f"lag_{n}_quantity": F.get(newest, F.lit(n - 1) - ahead) for n in LAGS}
+    for n in MEANS:
+        reached = F.slice(newest, F.lit(1), F.greatest(F.lit(n - 1) - ahead, F.lit(0)))
+        seen = F.filter(reached, lambda v: v.isNotNull())
+        total = F.aggregate(seen, F.lit(0.0), lambda a, v: a + v)
+        columns[f"rolling_mean_{n}_quantity"] = F.when(F.size(seen) > 0, total / F.size(seen))
+    return columns

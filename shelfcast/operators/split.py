@@ -8,8 +8,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.functions.calendar import date_lit, shift
+from shelfcast.functions.calendar import shift
 from shelfcast.schemas import HOLDOUT_DAYS, RECENT_DAYS
+from shelfcast.sources.zones import between_dates
 
 
 def select_items(df: DataFrame, items: Iterable[str]) -> DataFrame:
@@ -52,6 +53,8 @@ def train_validation_split(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows up to ``holdout_days`` before the training end, and the rows after that up to the
     end."""
-    usable = features.where(F.col("date") <= date_lit(training_end))
-    last_trained = date_lit(shift(training_end, -holdout_days))
-    return usable.where(F.col("date") <= last_trained), usable.where(F.col("date") > last_trained)
+    last_trained = shift(training_end, -holdout_days)
+    return (
+        between_dates(features, last=last_trained),
+        between_dates(features, shift(last_trained, 1), training_end),
+    )

@@ -13,7 +13,6 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import as_date, date_lit, shift
 from shelfcast.operators.split import history_split, recent_cut, select_items_static
@@ -30,7 +29,13 @@ from shelfcast.plans.training import (
 from shelfcast.schemas import HORIZON_DAYS, SALES, SELECTED_ITEMS, STATIC_TABLES
 from shelfcast.sources.publish import publish_jdbc, publish_parquet, publish_table
 from shelfcast.sources.tables import land_static, read_csv, read_static
-from shelfcast.sources.zones import last_date, next_dates, read_zone, write_by_date
+from shelfcast.sources.zones import (
+    between_dates,
+    last_date,
+    next_dates,
+    read_zone,
+    write_by_date,
+)
 
 log = logging.getLogger(__name__)
 
@@ -67,7 +72,7 @@ def _side_files(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
 def land_day(arrivals: DataFrame, sales_zone: str, day: str | dt.date) -> None:
     """Land one date of the arrivals, replacing that date if it was landed before. A date
     without rows changes nothing."""
-    rows = arrivals.where(F.col("date") == date_lit(day)).select(*SALES.names)
+    rows = between_dates(arrivals, day, day).select(*SALES.names)
     write_by_date(rows, sales_zone, mode="replace_dates", padded=True)
 
 

@@ -52,15 +52,21 @@ def _partition_date():
     return F.make_date(*DATE_PARTS)
 
 
-def between_dates(df: DataFrame, first: dt.date | str, last: dt.date | str) -> DataFrame:
-    """Rows dated ``first`` to ``last``, both included. On a zone the same bounds are put on
-    the partition columns, so other dates are not opened; a date without a directory is just
-    absent."""
-    lo, hi = date_lit(first), date_lit(last)
-    rows = df.where(F.col("date").between(lo, hi))
+def between_dates(
+    df: DataFrame, first: dt.date | str | None = None, last: dt.date | str | None = None
+) -> DataFrame:
+    """Rows dated ``first`` to ``last``, both included; a bound left out is open. On a zone
+    the same bounds are put on the partition columns, so other dates are not opened; a date
+    without a directory is just absent."""
+    dated = [F.col("date")]
     if set(DATE_PARTS) <= set(df.columns):
-        rows = rows.where(_partition_date().between(lo, hi))
-    return rows
+        dated.append(_partition_date())
+    for value in dated:
+        if first is not None:
+            df = df.where(value >= date_lit(first))
+        if last is not None:
+            df = df.where(value <= date_lit(last))
+    return df
 
 
 def partition_row_count(zone: DataFrame, day: dt.date | str) -> DataFrame:
