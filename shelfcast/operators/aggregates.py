@@ -2,7 +2,7 @@
 
 All aggregates here are sums, means, maxima and counts, which Spark combines on the map side
 before the shuffle: a key that holds a third of the raw rows reaches the reducers as one row
-per map task.
+per map task. Rows of a single date may be grouped by the series alone.
 """
 
 from __future__ import annotations
@@ -26,11 +26,11 @@ def daily_demand(sales: DataFrame) -> DataFrame:
     )
 
 
-def daily_markdowns(markdowns: DataFrame) -> DataFrame:
+def daily_markdowns(markdowns: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Units and mean prices of goods sold at markdown; missing numbers count as 0."""
     return (
         fill_numeric(markdowns, ["quantity", "price", "normal_price"])
-        .groupBy(*KEYS)
+        .groupBy(*keys)
         .agg(
             F.sum("quantity").alias("markdown_quantity"),
             F.avg("price").alias("markdown_price"),
@@ -39,9 +39,9 @@ def daily_markdowns(markdowns: DataFrame) -> DataFrame:
     )
 
 
-def daily_discounts(discounts: DataFrame) -> DataFrame:
+def daily_discounts(discounts: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Highest promotion code and mean prices of a promotion; missing prices do not count."""
-    return discounts.groupBy(*KEYS).agg(
+    return discounts.groupBy(*keys).agg(
         F.max("promo_type_code").alias("promo_type_code"),
         F.avg("sale_price_time_promo").alias("promo_price"),
         F.avg("sale_price_before_promo").alias("discount_price_before_promo"),

@@ -19,16 +19,23 @@ def enrich_dimensions(
     return left_join_dimensions(demand, catalog, stores, limit)
 
 
-def enrich_markdowns(demand: DataFrame, markdowns: DataFrame) -> DataFrame:
+def enrich_markdowns(
+    demand: DataFrame, markdowns: DataFrame, keys: list[str] = KEYS
+) -> DataFrame:
     """Add the day's markdown figures, 0 where there is none. Both sides have one row per
-    key, so no key is heavier than another."""
-    return fill_numeric(demand.join(daily_markdowns(markdowns), KEYS, "left"), MARKDOWN_COLUMNS)
+    key, so no key is heavier than another. Where both hold the same single date, the keys
+    can be those of the series."""
+    joined = demand.join(daily_markdowns(markdowns, keys), keys, "left")
+    return fill_numeric(joined, MARKDOWN_COLUMNS)
 
 
-def enrich_discounts(demand: DataFrame, discounts: DataFrame) -> DataFrame:
+def enrich_discounts(
+    demand: DataFrame, discounts: DataFrame, keys: list[str] = KEYS
+) -> DataFrame:
     """Add the day's promotion figures. Prices are 0 where there is none; the code stays
     null, for the promotion flag tells by it."""
-    return fill_numeric(demand.join(daily_discounts(discounts), KEYS, "left"), DISCOUNT_COLUMNS)
+    joined = demand.join(daily_discounts(discounts, keys), keys, "left")
+    return fill_numeric(joined, DISCOUNT_COLUMNS)
 
 
 def demand_panel(sales: DataFrame, markdowns: DataFrame, discounts: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from shelfcast.schemas import (
     FEATURE_COLUMNS,
     LOOKBACK_DAYS,
     PRICE_COLUMNS,
+    SERIES,
     SERIES_COLUMNS,
 )
 from shelfcast.sources.zones import between_dates
@@ -70,11 +71,12 @@ def feature_table_for_day(
     """The features of one date, from that date and the ``lookback_days`` before it.
 
     The windows need past quantities only, so markdowns and discounts are read for the one
-    date and joined once the other dates are gone.
+    date and joined once the other dates are gone. With one date on both sides the series is
+    key enough, and the rows already lie together by it for the windows.
     """
     day = as_date(process_date)
     window = between_dates(sales, shift(day, -lookback_days), day)
     rows = daily_demand(window).withColumns(series_columns()).where(F.col("date") == date_lit(day))
-    rows = enrich_markdowns(rows, between_dates(markdowns, day, day))
-    rows = enrich_discounts(rows, between_dates(discounts, day, day))
+    rows = enrich_markdowns(rows, between_dates(markdowns, day, day), SERIES)
+    rows = enrich_discounts(rows, between_dates(discounts, day, day), SERIES)
     return finish_features(rows, catalog, stores, limit)

@@ -254,3 +254,28 @@ def test_feature_plan_shuffles_once_per_grouping_and_once_per_window(spark):
     assert tree.count("- Window") == 1
     assert tree.count("BroadcastHashJoin") == 2
     assert "Cartesian" not in tree and "NestedLoop" not in tree
+
+
+def test_one_day_plan_joins_without_another_shuffle(spark):
+    """One shuffle groups the look-back, one gathers its series; the day's markdowns and
+    discounts bring one each and the rows of the day none."""
+    day_table = feature_table_for_day(
+        frames.hot_sales(spark),
+        frames.catalog(spark, "hot"),
+        frames.stores(spark, 1),
+        frames.markdowns(spark, [(9, "hot", 1, 1.0, 1.0, 1.0)]),
+        frames.discounts(spark, [(9, "hot", 1, 1.0, 1.0, 1.0)]),
+        day(9),
+    )
+    assert plan(day_table).split("\n\n\n")[0].count(" Exchange") == 4
+
+
+def test_forecast_grid_is_shuffled_once_before_the_horizon(spark):
+    sales = frames.hot_sales(spark)
+    catalog, stores = frames.catalog(spark, "hot", "item 1"), frames.stores(spark, 1, 2)
+    sides = frames.markdowns(spark), frames.discounts(spark), frames.prices(spark)
+    history = feature_table(sales, catalog, stores, *sides[:2])
+    tree = plan(inference_features(history, catalog, stores, *sides, day(60)))
+    above_horizon = tree.split("\n\n\n")[0].split("Generate")[0]
+    assert " Exchange" not in above_horizon
+    assert "BroadcastExchange" in tree

@@ -159,3 +159,18 @@ class _Cluster:
 def test_workspace_refuses_a_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match=SETTING):
         fresh_directory(_Cluster, "x")
+
+
+def test_a_single_file_can_be_inspected(spark, tmp_path):
+    zones.write_by_date(one_day(spark, 0), str(tmp_path / "zone"))
+    (file,) = glob.glob(f"{tmp_path}/zone/year=2024/month=1/day=1/*.parquet")
+    df = spark.read.parquet(file)
+    assert df.columns == schemas.SALES.names  # the date parts are in the path only
+    assert len(df.limit(1).collect()) == 1
+
+
+def test_open_bounds(spark):
+    df = one_day(spark, 0).unionByName(one_day(spark, 5)).unionByName(one_day(spark, 9))
+    assert zones.between_dates(df, last=day(5)).count() == 4
+    assert zones.between_dates(df, day(5)).count() == 4
+    assert zones.between_dates(df).count() == 6
