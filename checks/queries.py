@@ -30,6 +30,7 @@ from shelfcast.schemas import (
     ATTRIBUTES,
     CATEGORY_INPUTS,
     FEATURE_COLUMNS,
+    FEATURES,
     KEYS,
     NUMERIC_INPUTS,
     PRICE_COLUMNS,
@@ -72,7 +73,7 @@ def _sales_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
         zones.write_by_date(sales, path, mode="overwrite", padded=True)
         return path
 
-    return zones.read_zone(spark, _once(spark, sf_dir, "sales", build))
+    return zones.read_zone(spark, _once(spark, sf_dir, "sales", build), SALES)
 
 
 def _feature_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +82,7 @@ def _feature_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
         zones.write_by_date(_features(Retail(spark, sf_dir, "TR")), path, mode="overwrite")
         return path
 
-    return zones.read_zone(spark, _once(spark, sf_dir, "features", build))
+    return zones.read_zone(spark, _once(spark, sf_dir, "features", build), FEATURES)
 
 
 def _model(spark: SparkSession, sf_dir: str):
@@ -148,7 +149,7 @@ def next_dates(spark, sf_dir):
 def write_features_roundtrip(spark, sf_dir):
     path = fresh_directory(spark, "features")
     zones.write_by_date(_features(Retail(spark, sf_dir, "TR")), path, mode="overwrite")
-    written = zones.read_zone(spark, path).select(*FEATURE_COLUMNS)
+    written = zones.read_zone(spark, path, FEATURES).select(*FEATURE_COLUMNS)
     return _out(written, *_MEAN_PRICES)
 
 
@@ -162,7 +163,7 @@ def ingest_history(spark, sf_dir):
     path = fresh_directory(spark, "history")
     history, _ = split.history_split(Retail(spark, sf_dir, "BN").sales(), ITEMS)
     zones.write_by_date(history, path, mode="overwrite", padded=True)
-    return _out(_per_date(zones.read_zone(spark, path)))
+    return _out(_per_date(zones.read_zone(spark, path, SALES)))
 
 
 def ingest_day(spark, sf_dir):
@@ -173,7 +174,7 @@ def ingest_day(spark, sf_dir):
     zones.write_by_date(earlier, path, mode="overwrite", padded=True)
     jobs.land_day(sales, path, PROCESS_DATE)
     jobs.land_day(sales, path, PROCESS_DATE)
-    return _out(_per_date(zones.read_zone(spark, path)))
+    return _out(_per_date(zones.read_zone(spark, path, SALES)))
 
 
 def _static_tables(retail: Retail) -> dict[str, DataFrame]:

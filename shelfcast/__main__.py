@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from shelfcast.plans import jobs
-from shelfcast.schemas import HORIZON_DAYS, SELECTED_ITEMS
+from shelfcast.schemas import FEATURES, HORIZON_DAYS, SALES, SELECTED_ITEMS
 from shelfcast.sources.zones import WRITE_MODES, next_dates, read_zone
 
 
@@ -56,7 +56,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "land-history":
         jobs.land_history(spark, args.raw, args.root, args.items)
     elif args.job == "land-day":
-        arrivals = read_zone(spark, f"{args.root}/recent")
+        arrivals = read_zone(spark, f"{args.root}/recent", SALES)
         jobs.land_day(arrivals, f"{args.root}/sales", args.ingestion_date)
     elif args.job == "features":
         jobs.build_features(spark, args.root, args.process_date, args.mode)
@@ -83,7 +83,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             jdbc_url=args.jdbc_url,
         )
     else:
-        next_dates(read_zone(spark, f"{args.root}/features")).show()
+        next_dates(read_zone(spark, f"{args.root}/features", FEATURES)).show()
 
 
 def main() -> None:

@@ -25,7 +25,8 @@ def _row_bytes(df: DataFrame) -> Column:
 
 def measured_bytes(*frames: DataFrame) -> list[int]:
     """Sizes of the frames in bytes, by one aggregation job over all of them; only one
-    number per frame reaches the driver."""
+    number per frame reaches the driver. Frames that are dear to work out should be written
+    first: they are read here and again by the join."""
     sizes = [
         df.select(_row_bytes(df).cast("long").alias("width")).agg(
             F.lit(i).alias("frame"), F.coalesce(F.sum("width"), F.lit(0)).alias("size")

@@ -26,7 +26,7 @@ from shelfcast.plans.training import (
     validation_predictions,
     validation_rmse,
 )
-from shelfcast.schemas import HORIZON_DAYS, SALES, SELECTED_ITEMS, STATIC_TABLES
+from shelfcast.schemas import FEATURES, HORIZON_DAYS, SALES, SELECTED_ITEMS, STATIC_TABLES
 from shelfcast.sources.publish import publish_jdbc, publish_parquet, publish_table
 from shelfcast.sources.tables import land_static, read_csv, read_static
 from shelfcast.sources.zones import (
@@ -84,7 +84,7 @@ def build_features(
 ) -> None:
     """Features of the whole history, or of one date from its look-back. A one-date run
     replaces that date and no other unless told otherwise."""
-    sales = read_zone(spark, f"{root}/sales")
+    sales = read_zone(spark, f"{root}/sales", SALES)
     side = [
         read_static(spark, f"{root}/static", name)
         for name in ("catalog", "stores", "markdowns", "discounts_history")
@@ -102,8 +102,8 @@ def train(
 ) -> float | None:
     """Fit on the feature zone, store the model, return the hold-out error. Training ends
     with the last date landed unless a date is given."""
-    end = training_end or last_date(read_zone(spark, f"{root}/sales")).first()[0]
-    features = read_zone(spark, f"{root}/features")
+    end = training_end or last_date(read_zone(spark, f"{root}/sales", SALES)).first()[0]
+    features = read_zone(spark, f"{root}/features", FEATURES)
     model = train_model(features, end)
     if model is None:
         return None
@@ -126,7 +126,7 @@ def forecast(
         read_static(spark, f"{root}/static", name)
         for name in ("catalog", "stores", "markdowns", "discounts_history", "price_history")
     )
-    history = read_zone(spark, f"{root}/features")
+    history = read_zone(spark, f"{root}/features", FEATURES)
     rows = inference_features(
         history, catalog, stores, markdowns, discounts, prices, start, days
     )
@@ -149,8 +149,9 @@ def run_daily(
     """One day's run: land it, build its features, forecast from the day after. The date is
     the one after the last in the feature zone; give one to pass over a day without sales."""
     if process_date is None:
-        process_date = next_dates(read_zone(spark, f"{root}/features")).first()["process_date"]
+        done = read_zone(spark, f"{root}/features", FEATURES)
+        process_date = next_dates(done).first()["process_date"]
     day = as_date(process_date)
-    land_day(read_zone(spark, f"{root}/recent"), f"{root}/sales", day)
+    land_day(read_zone(spark, f"{root}/recent", SALES), f"{root}/sales", day)
     build_features(spark, root, day)
     return forecast(spark, root, model_path, shift(day, 1), **publishing)

@@ -86,6 +86,14 @@ FEATURE_COLUMNS = (
     + SERIES_COLUMNS
     + ATTRIBUTES
 )
+_FEATURE_TYPES = {
+    "date": _DATE,
+    "store_id": _INT,
+    "on_promotion": _INT,
+    **dict.fromkeys(["item_id", *ATTRIBUTES], _TEXT),
+    **dict.fromkeys(CALENDAR_COLUMNS, _INT),
+}
+FEATURES = _schema(**{c: _FEATURE_TYPES.get(c, _NUM) for c in FEATURE_COLUMNS})
 NUMERIC_INPUTS = (
     ["store_id"] + PRICE_COLUMNS + ["on_promotion"] + CALENDAR_COLUMNS + SERIES_COLUMNS
 )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import as_date
 
+# Fixed value: the name readers of the forecasts expect.
 FORECAST_TABLE = "daily_product_store_forecasts"
 
 

@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, StructType
 from shelfcast.functions.calendar import parse_date
 from shelfcast.functions.cleaning import drop_stray_index
 from shelfcast.schemas import STATIC_TABLES, conform
-from shelfcast.sources.zones import write_by_date
+from shelfcast.sources.zones import read_zone, write_by_date
 
 
 def read_csv(
@@ -52,7 +52,9 @@ def land_static(tables: dict[str, DataFrame], root: str) -> None:
 
 
 def read_static(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One side table as landed; the schema's columns, and the partition columns of a dated
-    table so that ``between_dates`` can prune."""
-    df = drop_stray_index(spark.read.parquet(f"{root}/{name}"))
-    return conform(df, STATIC_TABLES[name], keep_rest="date" in df.columns)
+    """One side table as landed: the schema's columns, and the date parts of a dated table so
+    that ``between_dates`` can prune."""
+    schema = STATIC_TABLES[name]
+    if "date" in schema.names:
+        return read_zone(spark, f"{root}/{name}", schema)
+    return spark.read.schema(schema).parquet(f"{root}/{name}")

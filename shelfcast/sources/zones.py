@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from shelfcast.functions.calendar import date_lit, date_parts, partition_path
 from shelfcast.schemas import DATE_PARTS, SERIES
@@ -43,9 +44,13 @@ def write_by_date(
     writer.parquet(path)
 
 
-def read_zone(spark: SparkSession, path: str) -> DataFrame:
-    """The whole zone, partition columns included."""
-    return spark.read.parquet(path)
+def read_zone(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The whole zone, partition columns included. With its schema given no file is opened
+    to find it out."""
+    if schema is None:
+        return spark.read.parquet(path)
+    parts = [StructField(p, IntegerType()) for p in DATE_PARTS if p not in schema.names]
+    return spark.read.schema(StructType([*schema.fields, *parts])).parquet(path)
 
 
 def _partition_date():

@@ -62,7 +62,6 @@ def hot_sales(spark, n_rows=3000, seed=7):
     rows = []
     for _ in range(n_rows):
         item = "hot" if rng.random() < 0.4 else f"item {rng.randrange(20)}"
-        rows.append(
-            (rng.randrange(60), item, rng.randrange(5), float(rng.randrange(9)), rng.choice([None, 2.5, 4.0]))
-        )
+        price = rng.choice([None, 2.5, 4.0])
+        rows.append((rng.randrange(60), item, rng.randrange(5), float(rng.randrange(9)), price))
     return sales(spark, rows)

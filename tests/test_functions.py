@@ -77,7 +77,8 @@ def test_stray_index_and_missing_target(spark):
 
 
 def test_dummies(spark):
-    df = spark.createDataFrame([("a", "b", 1), ("b", "a", 2), ("a", "c", 3)], "A string, B string, C int")
+    rows = [("a", "b", 1), ("b", "a", 2), ("a", "c", 3)]
+    df = spark.createDataFrame(rows, "A string, B string, C int")
     encoded = dummies(df, "A")
     assert encoded.columns == ["B", "C", "A_a", "A_b"]
     assert [tuple(r) for r in encoded.orderBy("C").collect()] == [

@@ -160,5 +160,14 @@ def test_forecast_path():
 
 
 def test_forecast_summary(spark):
-    forecast = spark.createDataFrame([(day(0), 2), (day(0), 3)], "date date, predicted_quantity int")
+    rows = [(day(0), 2), (day(0), 3)]
+    forecast = spark.createDataFrame(rows, "date date, predicted_quantity int")
     assert tuple(publish.forecast_summary(forecast).first()) == (day(0), 2, 5)
+
+
+def test_table_is_replaced_as_a_whole_even_from_another_path(spark, tmp_path):
+    for n in (1, 2):
+        forecast = spark.createDataFrame([(day(n), n)], "date date, predicted_quantity int")
+        written = publish.publish_parquet(forecast, str(tmp_path / "forecasts"), day(n))
+        publish.publish_table(spark.read.parquet(written), "replaced", str(tmp_path / f"t{n}"))
+    assert [tuple(r) for r in spark.table("replaced").collect()] == [(day(2), 2)]

@@ -7,6 +7,7 @@ import frames
 from frames import day
 from shelfcast import schemas
 from shelfcast.plans import jobs
+from shelfcast.plans.features import feature_table
 from shelfcast.sources import tables, zones
 from shelfcast.sources.workspace import SETTING, fresh_directory
 from test_operators import plan, rows
@@ -174,3 +175,28 @@ def test_open_bounds(spark):
     assert zones.between_dates(df, last=day(5)).count() == 4
     assert zones.between_dates(df, day(5)).count() == 4
     assert zones.between_dates(df).count() == 6
+
+
+def test_a_side_table_without_rows_reads_as_empty(spark, tmp_path):
+    tables.land_static({"markdowns": frames.markdowns(spark)}, str(tmp_path))
+    found = tables.read_static(spark, str(tmp_path), "markdowns")
+    assert zones.between_dates(found, day(0), day(9)).isEmpty()
+    assert found.columns == [*schemas.MARKDOWNS.names, "year", "month", "day"]
+
+
+def test_feature_schema_is_what_is_written(spark, tmp_path):
+    table = feature_table(
+        one_day(spark, 0),
+        frames.catalog(spark, "a"),
+        frames.stores(spark, 1),
+        frames.markdowns(spark),
+        frames.discounts(spark),
+    )
+    assert [(f.name, f.dataType) for f in table.schema] == [
+        (f.name, f.dataType) for f in schemas.FEATURES
+    ]
+    path = str(tmp_path / "features")
+    zones.write_by_date(table, path)
+    given = zones.read_zone(spark, path, schemas.FEATURES).select(*schemas.FEATURE_COLUMNS)
+    found = zones.read_zone(spark, path).select(*schemas.FEATURE_COLUMNS)
+    assert rows(given) == rows(found) == rows(table)
