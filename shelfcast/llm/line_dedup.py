@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import ascii_lower, remove, shared_path
+from shelfcast.llm.common import ascii_lower, remove, shared_path, written
 
 HASH = ["h1", "h2"]  # 128 bits of a key
 BLANKS = " \t\n\x0b\x0c\r"
@@ -132,7 +132,9 @@ def dedup_lines(
     runs = LineRuns(spark, min_docs, fanout)
     for n in range(batches):
         runs.add(lines.where(F.col("batch") == n))
-    gone = lines.join(runs.repeated(), HASH).where(F.col("id") != F.col("max_id"))
+    # Written first, so that both sides of the join are plain shuffles, which adaptive execution
+    # can cut where one line is very common.
+    gone = lines.join(written(runs.repeated(), "repeated-lines"), HASH).where(F.col("id") != F.col("max_id"))
     gone = gone.groupBy("id", "text_hash").agg(F.collect_set("pos").alias("gone"))
 
     names = [c for c in docs.columns if c != "deduped"]
