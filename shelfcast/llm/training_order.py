@@ -102,7 +102,7 @@ def token_ids(text: str, layout: Layout) -> np.ndarray:
     rest = words[1:]
     if len(known) > _CACHE_MOST:
         known.clear()
-    for word in set(rest) - known.keys():
+    for word in {w for w in rest if w not in known}:
         known[word] = np.array(encoder.encode_ordinary(f" {word}"), dtype=np.uint16).tobytes()
     return np.frombuffer(
         np.array(first, np.uint16).tobytes() + b"".join(map(known.__getitem__, rest)), np.uint16
