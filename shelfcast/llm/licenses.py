@@ -117,7 +117,7 @@ class LicenseModel:
 def _hashes(tokens: list[str]) -> np.ndarray:
     if len(_cache) > _CACHE_MOST:
         _cache.clear()
-    for token in set(tokens) - _cache.keys():
+    for token in {t for t in tokens if t not in _cache}:
         _cache[token] = zlib.crc32(token.encode("utf-8", "replace"))
     return np.fromiter(map(_cache.__getitem__, tokens), np.uint64, len(tokens))
 

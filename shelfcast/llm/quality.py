@@ -42,7 +42,7 @@ def token_hashes(text: str | None) -> np.ndarray:
     tokens = TOKEN.findall(text or "")
     if len(_cache) > _CACHE_MOST:
         _cache.clear()
-    for token in set(tokens) - _cache.keys():
+    for token in {t for t in tokens if t not in _cache}:
         _cache[token] = _token_hash(token)
     return np.fromiter(map(_cache.__getitem__, tokens), np.uint64, len(tokens))
 
