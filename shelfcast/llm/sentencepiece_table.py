@@ -11,6 +11,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,6 +85,15 @@ def unvarint(data: bytes) -> np.ndarray:
     return out
 
 
+def packed(data: bytes) -> bytes:
+    """Entropy coding takes off what the shuffle's own compression leaves in words and ids."""
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def unpacked(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], block_chars: int):
     """Cut the documents of a partition into blocks: (block, ids, chunk counts, places, words).
     Places number the distinct chunks of the block, frequent ones first."""
@@ -133,7 +143,7 @@ def _position_rows(block_chars: int):
                     pa.array([_mark_of(words)], pa.int64()),
                     pa.array([ids], pa.list_(pa.int64())),
                     pa.array([varint(np.array(counts))], pa.binary()),
-                    pa.array([varint(places)], pa.binary()),
+                    pa.array([packed(varint(places))], pa.binary()),
                 ],
                 ["block", "mark", "ids", "counts", "places"],
             )
@@ -156,7 +166,8 @@ def _word_rows(block_chars: int, parts: int):
                     continue
                 own = sorted(order[a:b].tolist(), key=words.__getitem__)
                 text = " ".join(words[i] for i in own).encode()
-                rows.append((int(part[own[0]]), block, mark, varint(np.array(own)), text))
+                places = packed(varint(np.array(own)))
+                rows.append((int(part[own[0]]), block, mark, places, packed(text)))
             if rows:
                 yield pa.RecordBatch.from_pylist(
                     [dict(zip(_WORDS.names, r, strict=True)) for r in rows], schema=_WORDS
@@ -181,15 +192,15 @@ def _segmenter(model: str):
             for row in batch.to_pylist():
                 if row["part"] != now:  # a chunk is of one part, so the table starts anew
                     now, table = row["part"], {}
-                words = row["words"].decode().split(" ")
+                words = unpacked(row["words"]).decode().split(" ")
                 fresh = [w for w in words if w not in table]
                 for word, ids in zip(fresh, segment(fresh, model), strict=True):
                     table[word] = np.array(ids, dtype=np.uint16).tobytes()
                 found = [table[w] for w in words]
-                lengths = varint(np.fromiter(map(len, found), np.int64, len(found)) // 2)
-                out.append(
-                    dict(zip(_IDS.names, (row["block"], row["mark"], row["places"], lengths, b"".join(found)), strict=True))
-                )
+                lengths = packed(varint(np.fromiter(map(len, found), np.int64, len(found)) // 2))
+                ids = packed(b"".join(found))
+                fields = (row["block"], row["mark"], row["places"], lengths, ids)
+                out.append(dict(zip(_IDS.names, fields, strict=True)))
             yield pa.RecordBatch.from_pylist(out, schema=_IDS)
 
     return run
@@ -214,27 +225,25 @@ def _joiner(model: str, want: tuple[str, ...]):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         columns: dict[str, list] = {name: [] for name in schema.names}
         for row in left.to_pylist():
-            lookup: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-            size = 0
             pieces: list[list[int]] = []
             own: list[np.ndarray] = []
             for found in right.to_pylist():
                 if found["mark"] != row["mark"]:
                     raise RuntimeError("the documents changed between two readings")
-                lengths = unvarint(found["lengths"])
-                ids = np.frombuffer(found["ids"], np.uint16)
-                own.append(unvarint(found["places"]))
+                lengths = unvarint(unpacked(found["lengths"]))
+                ids = np.frombuffer(unpacked(found["ids"]), np.uint16)
+                own.append(unvarint(unpacked(found["places"])))
                 pieces += [p.tolist() for p in np.split(ids, np.cumsum(lengths)[:-1])]
             place = np.concatenate(own) if own else np.empty(0, np.int64)
             size = len(place)
             table: list[list[int]] = [[]] * size
             for at, ids in zip(place.tolist(), pieces, strict=True):
                 table[at] = ids
-            del lookup, pieces
+            del pieces
             lengths = np.fromiter(map(len, table), np.int64, size)
             written = [",".join(map(str, ids)) for ids in table] if "ids_sha256" in want else []
             texts = processor(model).decode(table, num_threads=1) if {"decoded", "decoded_sha256"} & {*want} and table else []
-            places, at = unvarint(row["places"]), 0
+            places, at = unvarint(unpacked(row["places"])), 0
             for ident, n in zip(row["ids"], unvarint(row["counts"]).tolist(), strict=True):
                 mine = places[at : at + n]
                 at += n
