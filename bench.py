@@ -46,6 +46,10 @@ HEADLINE = [
     "rmse",
     "category_index",
     "score_forecast",
+    "train_forest",
+    "write_features_roundtrip",
+    "ingest_history",
+    "ingest_day",
 ]
 
 
@@ -57,7 +61,7 @@ def seconds(spark, name: str, sf_dir: str) -> float:
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cpus = int(os.environ.get("BENCH_CPUS", "4"))
+    cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cpus)
     timed = {}

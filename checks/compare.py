@@ -81,7 +81,7 @@ def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "sf0.01"
     names = sys.argv[2:] or list(QUERIES)
     sf_dir = f"{DATA}/{sf}"
-    spark, con = local_session(), duck(sf_dir)
+    spark, con = local_session(int(os.environ.get("CPUS", "8"))), duck(sf_dir)
     failed = 0
     for name in names:
         begun = time.time()

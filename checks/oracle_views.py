@@ -2,51 +2,58 @@
 
 from __future__ import annotations
 
+_PARITY = "'part ' || (p_partkey % 2)"
 _GRAIN = {
-    "TR": ("p_type", "n_regionkey", "1 = 1"),
-    "BN": ("p_brand", "n_nationkey", "1 = 1"),
-    "PR": ("CAST(p_partkey AS VARCHAR)", "n_regionkey", "l_returnflag = 'R'"),
+    "TR": ("p_type", "n_regionkey"),
+    "BN": ("p_brand", "n_nationkey"),
+    "PR": ("CAST(p_partkey AS VARCHAR)", "n_regionkey"),
+    "DY": (_PARITY, "0"),
 }
 
 
 def _dimensions(grain: str) -> str:
-    if grain == "TR":
-        item, other, left_out = "p_type", "p_brand", "PROMO"
-        stores = """
-stores AS (
-  SELECT r_regionkey AS store_id, r_name AS division,
-         CASE WHEN r_regionkey % 2 = 0 THEN 'even' ELSE 'odd' END AS format,
-         min(n_name) AS city, CAST(count(n_nationkey) AS VARCHAR) AS area
-  FROM nation JOIN region ON n_regionkey = r_regionkey
-  WHERE r_regionkey <> 4 GROUP BY r_regionkey, r_name)"""
+    item, store = _GRAIN[grain]
+    other = "p_brand" if grain == "TR" else "p_type"
+    if grain == "BN":
+        figures = "r_name AS division, n_name AS city, CAST(n_regionkey AS VARCHAR) AS area"
+        group = ""
     else:
-        item, other, left_out = "p_brand", "p_type", "Brand#25"
-        stores = """
-stores AS (
-  SELECT n_nationkey AS store_id, r_name AS division,
-         CASE WHEN n_nationkey % 2 = 0 THEN 'even' ELSE 'odd' END AS format,
-         n_name AS city, CAST(n_regionkey AS VARCHAR) AS area
-  FROM nation JOIN region ON n_regionkey = r_regionkey
-  WHERE n_nationkey <> 24)"""
+        figures = (
+            "min(r_name) AS division, min(n_name) AS city, "
+            "CAST(count(n_nationkey) AS VARCHAR) AS area"
+        )
+        group = " GROUP BY 1"
     return f"""
 catalog AS (
   SELECT {item} AS item_id, min({other}) AS dept_name, max({other}) AS class_name,
          min(p_name) AS subclass_name, max(p_name) AS item_type
-  FROM part WHERE {item} <> '{left_out}' GROUP BY {item}),{stores}"""
+  FROM part GROUP BY 1),
+stores AS (
+  SELECT *, CASE WHEN store_id % 2 = 0 THEN 'even' ELSE 'odd' END AS format FROM (
+    SELECT CAST({store} AS INTEGER) AS store_id, {figures}
+    FROM nation JOIN region ON n_regionkey = r_regionkey{group}))"""
+
+
+def _line_keys(grain: str) -> str:
+    item, store = _GRAIN[grain]
+    if grain == "PR":
+        return f"{item} AS item_id, {store} AS store_id"
+    return f"""
+         CASE WHEN l_linenumber = 5 AND l_tax = 0.08 THEN 'UNLISTED' ELSE {item} END AS item_id,
+         CAST(CASE WHEN l_linenumber = 6 AND l_tax = 0.08 THEN -1 ELSE {store} END AS INTEGER)
+           AS store_id"""
 
 
 def views(grain: str) -> str:
-    item, store, where = _GRAIN[grain]
     return f"""
 lines AS (
-  SELECT CAST(l_shipdate AS DATE) AS date, {item} AS item_id, {store} AS store_id,
+  SELECT CAST(l_shipdate AS DATE) AS date, {_line_keys(grain)},
          l_extendedprice / l_quantity AS unit_price, lineitem.*
   FROM lineitem
   JOIN part ON l_partkey = p_partkey
   JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey
-  JOIN region ON n_regionkey = r_regionkey
-  WHERE {where}),
+  JOIN region ON n_regionkey = r_regionkey),
 sales AS (
   SELECT date, item_id, store_id,
          CASE WHEN l_linenumber <> 7 THEN l_quantity END AS quantity,

@@ -37,8 +37,11 @@ _ITEMS = "(" + ", ".join(f"'Brand#{n}'" for n in range(1, 11)) + ")"
 
 
 def _step(*columns: str) -> str:
-    """Mean prices in steps of 0.0001, as the queries give them."""
-    return ", ".join(f"floor({c} * 1e4 + 0.123457) / 1e4 AS {c}" for c in columns)
+    """Mean prices to six decimals, as the queries give them; units as they are."""
+    return ", ".join(
+        c if c == "markdown_quantity" else f"floor({c} * 1e6 + 0.123457) / 1e6 AS {c}"
+        for c in columns
+    )
 
 
 def _list(*columns: str) -> str:
@@ -61,6 +64,16 @@ _PARTS = """parts AS (
     AS part
   FROM kept)"""
 
+_ALL_PARTS = _PARTS.replace("kept", "sales")
+
+
+def _landed(parts: str) -> str:
+    return f"""SELECT {_D}, count(*) AS n_rows, sum(quantity) AS units,
+        CASE WHEN part = 'history' THEN 'sales' ELSE part END AS part,
+        CASE WHEN part = 'history' THEN count(*) END AS n_recorded
+        FROM {parts} GROUP BY date, part"""
+
+
 _DAY = "DATE '2001-07-01'"
 _LOOKBACK = f"""
 window_daily AS (
@@ -119,6 +132,29 @@ horizon AS (
   WHERE date BETWEEN {_DAY} AND {_DAY} + 6),
 inference AS ({finished("horizon")})"""
 
+_INFERRED = (
+    "SELECT "
+    + _list(_KEYS, _step(*_PRICES), "on_promotion", *_CALENDAR, *_SERIES, *_ATTRIBUTES)
+    + " FROM inference"
+)
+
+
+def _raw_inference() -> str:
+    """With the planned rows as they are, in place of one for each date, item and store."""
+    planned = """
+raw_markdowns AS (
+  SELECT date, item_id, store_id, quantity AS markdown_quantity, price AS markdown_price,
+         normal_price AS markdown_normal_price FROM markdowns),
+raw_discounts AS (
+  SELECT date, item_id, store_id, promo_type_code, sale_price_time_promo AS promo_price,
+         sale_price_before_promo AS discount_price_before_promo FROM discounts),
+raw_prices AS (SELECT date, item_id, store_id, price AS avg_base_price FROM prices)"""
+    rows = _INFERENCE
+    for name in ("markdowns", "discounts", "prices"):
+        rows = rows.replace(f"daily_{name}", f"raw_{name}")
+    return f"{planned},{rows}"
+
+
 _PR_COUNTS = """
 per_item AS (
   SELECT item_id, count(DISTINCT store_id) AS n_stores, count(DISTINCT date) AS active_days,
@@ -154,16 +190,63 @@ _STATIC_COUNTS = " UNION ALL ".join(
     )
 )
 
+_CSV_COUNTS = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n_rows, count(DISTINCT {key}) AS n_keys, "
+    f"(SELECT count(*) FROM (SELECT DISTINCT * FROM {view})) AS n_distinct, "
+    f"{f'round(sum({total}), 2)' if total else '0.0::DOUBLE'} AS total FROM {view}"
+    for name, view, key, total in (
+        ("markdowns", "markdowns", "item_id", "normal_price"),
+        ("discounts_history", "discounts", "item_id", "promo_type_code"),
+        ("price_history", "prices", "item_id", "price"),
+        ("catalog", "catalog", "item_id", None),
+        ("stores", "stores", "store_id", None),
+        ("actual_matrix", "sold", "item_id", None),
+    )
+)
+
+_MEAN = """
+mean AS (SELECT avg(total_quantity) AS prediction FROM daily WHERE date <= DATE '2001-06-16'),
+held_out AS (
+  SELECT * FROM daily, mean WHERE date BETWEEN DATE '2001-06-17' AND DATE '2001-06-30')"""
+_SCORED = f"""{_MEAN},
+scored AS (
+  SELECT frame.*, CAST(greatest(trunc(prediction), 0) AS INTEGER) AS predicted_quantity
+  FROM frame, mean)"""
+
 _NUMERIC = ["store_id", *_PRICES, "on_promotion", *_CALENDAR, *_SERIES]
 
 ORACLES = {
     "feature_table": with_views("TR", f"SELECT {_FEATURES} FROM features"),
     "feature_table_fine_grain": with_views("BN", f"SELECT {_FEATURES} FROM features"),
-    "feature_table_incremental": with_views(
-        "TR",
-        f"SELECT {_FEATURES} FROM day_features",
-        _LOOKBACK,
-        f"day_features AS ({finished('day_rows')})",
+    **{
+        name: with_views(
+            grain,
+            f"SELECT {_FEATURES} FROM day_features",
+            _LOOKBACK,
+            f"day_features AS ({finished('day_rows')})",
+        )
+        for name, grain in (
+            ("feature_table_incremental", "DY"),
+            ("feature_table_incremental_from_sales", "TR"),
+        )
+    },
+    "empty_feature_table": with_views(
+        "TR", f"SELECT {_FEATURES} FROM features WHERE date <= DATE '1990-01-01'"
+    ),
+    "scan_csv_stray_index": with_views(
+        "TR", f"SELECT {_KEYS}, quantity, price_base, sum_total FROM sales"
+    ),
+    "scan_csv_tables": with_views(
+        "BN", _CSV_COUNTS, "sold AS (SELECT date, item_id FROM sales)"
+    ),
+    "scan_one_date": with_views(
+        "TR", f"SELECT {_KEYS}, quantity, price_base, sum_total FROM sales WHERE date = {_DAY}"
+    ),
+    "first_rows": with_views(
+        "BN",
+        f"""SELECT {_KEYS}, sum_total FROM (
+          SELECT * FROM sales
+          ORDER BY date, item_id, store_id, sum_total, quantity NULLS FIRST LIMIT 20)""",
     ),
     "scan_csv": with_views(
         "TR", f"SELECT {_KEYS}, quantity, price_base, sum_total FROM sales"
@@ -190,13 +273,8 @@ ORACLES = {
         CAST(max(date) + 2 AS VARCHAR) AS forecast_start FROM sales""",
     ),
     "write_features_roundtrip": with_views("TR", f"SELECT {_FEATURES} FROM features"),
-    "ingest_history": with_views(
-        "BN",
-        f"""SELECT {_D}, count(*) AS n_rows, sum(quantity) AS units
-        FROM parts WHERE part = 'history' GROUP BY date""",
-        _KEPT,
-        _PARTS,
-    ),
+    "ingest_history": with_views("BN", _landed("parts"), _ALL_PARTS),
+    "ingest_history_of_items": with_views("BN", _landed("parts"), _KEPT, _PARTS),
     "ingest_day": with_views(
         "TR",
         f"""SELECT {_D}, count(*) AS n_rows, sum(quantity) AS units
@@ -212,7 +290,7 @@ ORACLES = {
     "history_split": with_views(
         "BN",
         f"""SELECT part, {_D}, item_id, count(*) AS n_rows,
-        floor(sum(sum_total) * 1e4 + 0.123457) / 1e4 AS sum_total
+        round(sum(sum_total), 2) AS sum_total
         FROM parts GROUP BY part, date, item_id""",
         _KEPT,
         _PARTS,
@@ -269,16 +347,16 @@ ORACLES = {
         "BN",
         f"""SELECT {_KEYS}, total_quantity, coalesce(markdown_quantity, 0) AS markdown_quantity,
         {_step("avg_base_price")},
-        floor(coalesce(markdown_price, 0) * 1e4 + 0.123457) / 1e4 AS markdown_price,
-        floor(coalesce(markdown_normal_price, 0) * 1e4 + 0.123457) / 1e4
+        floor(coalesce(markdown_price, 0) * 1e6 + 0.123457) / 1e6 AS markdown_price,
+        floor(coalesce(markdown_normal_price, 0) * 1e6 + 0.123457) / 1e6
           AS markdown_normal_price
         FROM daily LEFT JOIN daily_markdowns USING (date, item_id, store_id)""",
     ),
     "enrich_discounts": with_views(
         "BN",
         f"""SELECT {_KEYS}, total_quantity, promo_type_code, {_step("avg_base_price")},
-        floor(coalesce(promo_price, 0) * 1e4 + 0.123457) / 1e4 AS promo_price,
-        floor(coalesce(discount_price_before_promo, 0) * 1e4 + 0.123457) / 1e4
+        floor(coalesce(promo_price, 0) * 1e6 + 0.123457) / 1e6 AS promo_price,
+        floor(coalesce(discount_price_before_promo, 0) * 1e6 + 0.123457) / 1e6
           AS discount_price_before_promo
         FROM daily LEFT JOIN daily_discounts USING (date, item_id, store_id)""",
     ),
@@ -354,10 +432,13 @@ ORACLES = {
         f"""SELECT {_D}, store_id, sum_total, """
         + ", ".join(
             f"CAST(CASE WHEN item_id = '{v}' THEN 1 ELSE 0 END AS INTEGER) AS item_id_{v}"
-            for v in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+            for v in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "UNLISTED")
         )
         + " FROM sales",
     ),
+    "dummy_entries": with_views(
+        "PR", f"SELECT {_D}, store_id, sum_total, 'item_id_' || item_id AS dummy FROM sales"
+    ),
     "rmse": with_views(
         "TR",
         """SELECT sqrt(avg((total_quantity - lag_7_quantity) * (total_quantity - lag_7_quantity)))
@@ -414,14 +495,38 @@ ORACLES = {
           LEFT JOIN catalog c USING (item_id) LEFT JOIN stores s USING (store_id))""",
         _GRID,
     ),
-    "inference_features": with_views(
+    "inference_features": with_views("DY", _INFERRED, _INFERENCE),
+    "inference_features_raw": with_views("TR", _INFERRED, _raw_inference()),
+    "train_model": with_views(
+        "TR", f"SELECT {_KEYS}, total_quantity, prediction FROM held_out", _MEAN
+    ),
+    "validation_rmse": with_views(
         "TR",
-        "SELECT "
-        + _list(
-            _KEYS, _step(*_PRICES), "on_promotion", *_CALENDAR, *_SERIES, *_ATTRIBUTES
-        )
-        + " FROM inference",
-        _INFERENCE,
+        """SELECT round(sqrt(avg((total_quantity - prediction) * (total_quantity - prediction))), 6)
+        AS rmse FROM held_out""",
+        _MEAN,
+    ),
+    "train_forest": with_views(
+        "TR",
+        f"""SELECT {_KEYS}, total_quantity, CAST(50 AS INTEGER) AS n_trees,
+        true AS loads_the_same, true AS not_negative, true AS evaluator_agrees FROM held_out""",
+        _MEAN,
+    ),
+    "training_guard": with_views(
+        "TR", "SELECT count(*) AS n_rows, true AS untrained FROM daily"
+    ),
+    "score_forecast": with_views(
+        "TR",
+        f"SELECT {_KEYS}, {ATTRIBUTES_FILLED}, predicted_quantity FROM scored",
+        _FRAME,
+        _SCORED,
+    ),
+    "publish_forecast": with_views(
+        "TR",
+        f"""SELECT {_D}, count(*) AS n_rows, CAST(sum(predicted_quantity) AS BIGINT) AS units
+        FROM scored GROUP BY date""",
+        _FRAME,
+        _SCORED,
     ),
     "category_index": with_views(
         "TR",

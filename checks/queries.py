@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
@@ -36,25 +40,42 @@ from shelfcast.schemas import (
     PRICE_COLUMNS,
     SALES,
     SERIES,
+    STATIC_TABLES,
     TARGET,
 )
 from shelfcast.sources import publish, tables, zones
-from shelfcast.sources.workspace import fresh_directory
+from shelfcast.sources import workspace
 
 ITEMS = [f"Brand#{n}" for n in range(1, 11)]
-_MEAN_PRICES = [*PRICE_COLUMNS]
+_MEAN_PRICES = [c for c in PRICE_COLUMNS if c != "markdown_quantity"]
+TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "UNLISTED"]
 
 
 def _out(df: DataFrame, *mean_prices: str) -> DataFrame:
-    """Dates as ISO text, and mean prices cut to steps of 0.0001. The order in which a float
-    sum adds up moves its last digits; the steps are shifted off the round decimals unit
-    prices fall on, so that cannot move a mean across a step."""
+    """Dates as ISO text, and mean prices to six decimals. The order in which a float sum adds
+    up moves its last digits; many unit prices end in a 5 at the seventh decimal, so the steps
+    are cut off those ends, where ``round`` would fall either way."""
     dates = {f.name: F.col(f.name).cast("string") for f in df.schema if f.dataType == DateType()}
-    steps = {c: F.floor(F.col(c) * F.lit(1e4) + F.lit(0.123457)) / F.lit(1e4) for c in mean_prices}
+    steps = {c: F.floor(F.col(c) * F.lit(1e6) + F.lit(0.123457)) / F.lit(1e6) for c in mean_prices}
     changed = {**dates, **steps}
     return df.withColumns(changed) if changed else df
 
 
+_OWN_FOLDER: list[str] = []
+
+
+def fresh_directory(spark: SparkSession, name: str) -> str:
+    """A new path in the session's shared folder. A local session that names none gets a
+    temporary one, which goes when the process ends."""
+    local = spark.conf.get("spark.master", "").startswith("local[")
+    if spark.conf.get(workspace.SETTING, None) or not local:
+        return workspace.fresh_directory(spark, name)
+    if not _OWN_FOLDER:
+        _OWN_FOLDER.append(tempfile.mkdtemp(prefix="shelfcast-"))
+        atexit.register(shutil.rmtree, _OWN_FOLDER[0], ignore_errors=True)
+    return f"{_OWN_FOLDER[0]}/{name}-{uuid.uuid4().hex}"
+
+
 # Tables that several queries read: built from the given data once per session and directory.
 _BUILT: dict[tuple, object] = {}
 
@@ -66,35 +87,51 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build):
     return _BUILT[key]
 
 
-def _sales_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _sales_zone(spark: SparkSession, sf_dir: str, grain: str = "TR") -> DataFrame:
     def build():
         path = fresh_directory(spark, "sales")
-        sales = Retail(spark, sf_dir, "TR").sales()
+        sales = Retail(spark, sf_dir, grain).sales()
         zones.write_by_date(sales, path, mode="overwrite", padded=True)
+        zones.record_dates(zones.read_zone(spark, path, SALES), f"{path}-manifest")
         return path
 
-    return zones.read_zone(spark, _once(spark, sf_dir, "sales", build), SALES)
+    return zones.read_zone(spark, _once(spark, sf_dir, f"sales {grain}", build), SALES)
 
 
-def _feature_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _feature_zone(spark: SparkSession, sf_dir: str, grain: str = "TR") -> DataFrame:
     def build():
         path = fresh_directory(spark, "features")
-        zones.write_by_date(_features(Retail(spark, sf_dir, "TR")), path, mode="overwrite")
+        zones.write_by_date(_features(Retail(spark, sf_dir, grain)), path, mode="overwrite")
+        zones.record_dates(zones.read_zone(spark, path, FEATURES), f"{path}-manifest")
         return path
 
-    return zones.read_zone(spark, _once(spark, sf_dir, "features", build), FEATURES)
+    return zones.read_zone(spark, _once(spark, sf_dir, f"features {grain}", build), FEATURES)
 
 
-def _model(spark: SparkSession, sf_dir: str):
-    """The model as stored and loaded again."""
+def _manifest(spark: SparkSession, sf_dir: str, zone: str) -> DataFrame:
+    (_sales_zone if zone == "sales" else _feature_zone)(spark, sf_dir)
+    path = _BUILT[spark.sparkContext.applicationId, sf_dir, f"{zone} TR"]
+    return zones.read_manifest(spark, f"{path}-manifest")
 
-    def build():
-        path = f"{fresh_directory(spark, 'model')}"
-        fitted = training.train_model(_feature_zone(spark, sf_dir), TRAINING_END)
-        training.save_model(fitted, path)
-        return path
 
-    return training.load_model(_once(spark, sf_dir, "model", build))
+def _mean_pipeline():
+    """A forest of one tree that is one leaf: it predicts the mean of what it is trained on."""
+    return training.demand_pipeline(trees=1, bootstrap=False, maxDepth=0)
+
+
+def _stored_model(spark: SparkSession, sf_dir: str, pipeline):
+    path = fresh_directory(spark, "model")
+    features = _feature_zone(spark, sf_dir)
+    training.save_model(training.train_model(features, TRAINING_END, pipeline=pipeline), path)
+    return path
+
+
+def _model(spark: SparkSession, sf_dir: str):
+    """The one-leaf model as stored and loaded again."""
+    path = _once(
+        spark, sf_dir, "model", lambda: _stored_model(spark, sf_dir, _mean_pipeline())
+    )
+    return training.load_model(path)
 
 
 def _features(retail: Retail) -> DataFrame:
@@ -122,6 +159,51 @@ def scan_csv(spark, sf_dir):
     return _out(tables.read_csv(spark, path, SALES))
 
 
+def scan_csv_stray_index(spark, sf_dir):
+    """A folder with an unnamed index column that no schema has."""
+    path = fresh_directory(spark, "csv")
+    sales = Retail(spark, sf_dir, "TR").sales()
+    tables.write_csv(sales.withColumn("Unnamed: 0", F.monotonically_increasing_id()), path)
+    return _out(tables.read_csv(spark, path, SALES, keep_rest=True))
+
+
+def scan_csv_tables(spark, sf_dir):
+    """The side tables from CSV: rows, keys, and a sum of what is measured."""
+    retail = Retail(spark, sf_dir, "BN")
+    found = _static_tables(retail) | {"actual_matrix": retail.sales().select("date", "item_id")}
+    totals = {"markdowns": "normal_price", "discounts_history": "promo_type_code", "price_history": "price"}
+    counts = []
+    for name, df in found.items():
+        path = fresh_directory(spark, name)
+        tables.write_csv(df, path)
+        back = tables.read_csv(spark, path, STATIC_TABLES[name])
+        total = F.round(F.sum(totals[name]), 2) if name in totals else F.lit(0.0)
+        counts.append(
+            back.agg(
+                F.lit(name).alias("table_name"),
+                F.count("*").alias("n_rows"),
+                F.countDistinct("store_id" if name == "stores" else "item_id").alias("n_keys"),
+                F.countDistinct(*back.columns).alias("n_distinct"),
+                total.alias("total"),
+            )
+        )
+    return reduce(DataFrame.unionByName, counts)
+
+
+def scan_one_date(spark, sf_dir):
+    """One date's files opened without the zone around them."""
+    _sales_zone(spark, sf_dir)
+    path = _BUILT[spark.sparkContext.applicationId, sf_dir, "sales TR"]
+    return _out(spark.read.parquet(f"{path}/year=2001/month=07/day=01").select(*SALES.names))
+
+
+def first_rows(spark, sf_dir):
+    """A few rows to look at."""
+    sales = Retail(spark, sf_dir, "BN").sales()
+    order = [*KEYS, "sum_total", F.col("quantity").asc_nulls_first()]
+    return _out(sales.orderBy(*order).limit(20).select(*KEYS, "sum_total"))
+
+
 def scan_partitioned(spark, sf_dir):
     columns = [*KEYS, "quantity", "price_base", "sum_total", "year", "month", "day"]
     return _out(_sales_zone(spark, sf_dir).select(*columns))
@@ -139,11 +221,11 @@ def partition_row_count(spark, sf_dir):
 
 
 def training_end_date(spark, sf_dir):
-    return _out(zones.last_date(_sales_zone(spark, sf_dir)))
+    return _out(zones.last_date(_manifest(spark, sf_dir, "sales")))
 
 
 def next_dates(spark, sf_dir):
-    return _out(zones.next_dates(_feature_zone(spark, sf_dir)))
+    return _out(zones.next_dates(_manifest(spark, sf_dir, "features")))
 
 
 def write_features_roundtrip(spark, sf_dir):
@@ -159,21 +241,38 @@ def _per_date(df: DataFrame) -> DataFrame:
     )
 
 
+def _land_history(spark, sf_dir, items):
+    """The job over CSV files; the rows of each date of the two zones, and of the manifest."""
+    raw, root = fresh_directory(spark, "raw"), fresh_directory(spark, "zones")
+    tables.write_csv(Retail(spark, sf_dir, "BN").sales(), f"{raw}/sales.csv")
+    jobs.land_history(spark, raw, root, items)
+    parts = [
+        _per_date(zones.read_zone(spark, f"{root}/{name}", SALES)).withColumn("part", F.lit(name))
+        for name in ("sales", "recent")
+    ]
+    manifest = zones.read_manifest(spark, jobs.manifest_path(root, "sales"))
+    recorded = manifest.select("date", F.col("n_rows").alias("n_recorded"))
+    return _out(parts[0].unionByName(parts[1]).join(recorded, "date", "left"))
+
+
 def ingest_history(spark, sf_dir):
-    path = fresh_directory(spark, "history")
-    history, _ = split.history_split(Retail(spark, sf_dir, "BN").sales(), ITEMS)
-    zones.write_by_date(history, path, mode="overwrite", padded=True)
-    return _out(_per_date(zones.read_zone(spark, path, SALES)))
+    return _land_history(spark, sf_dir, None)
+
+
+def ingest_history_of_items(spark, sf_dir):
+    """The items come as a table."""
+    return _land_history(spark, sf_dir, spark.createDataFrame([(i,) for i in ITEMS], "item_id string"))
 
 
 def ingest_day(spark, sf_dir):
-    """The zone holds all earlier dates; the day is landed twice and must count once."""
-    path = fresh_directory(spark, "landing")
+    """The zone holds all earlier dates; the day is landed twice, from CSV, and counts once."""
+    path, arrivals = fresh_directory(spark, "landing"), f"{fresh_directory(spark, 'new')}/day.csv"
     sales = Retail(spark, sf_dir, "TR").sales()
     earlier = sales.where(F.col("date") < date_lit(PROCESS_DATE))
     zones.write_by_date(earlier, path, mode="overwrite", padded=True)
-    jobs.land_day(sales, path, PROCESS_DATE)
-    jobs.land_day(sales, path, PROCESS_DATE)
+    tables.write_csv(sales.where(F.col("date") >= date_lit(PROCESS_DATE)), arrivals)
+    for _ in range(2):
+        jobs.land_day(tables.read_sales(spark, arrivals), path, PROCESS_DATE)
     return _out(_per_date(zones.read_zone(spark, path, SALES)))
 
 
@@ -228,15 +327,11 @@ def publish_forecast(spark, sf_dir):
 
 
 def history_split(spark, sf_dir):
-    history, recent = split.history_split(Retail(spark, sf_dir, "BN").sales(), ITEMS)
-    parts = history.withColumn("part", F.lit("history")).unionByName(
-        recent.withColumn("part", F.lit("recent"))
-    )
+    parts = split.tag_recent(split.select_items(Retail(spark, sf_dir, "BN").sales(), ITEMS))
     return _out(
         parts.groupBy("part", "date", "item_id").agg(
-            F.count("*").alias("n_rows"), F.sum("sum_total").alias("sum_total")
-        ),
-        "sum_total",
+            F.count("*").alias("n_rows"), F.round(F.sum("sum_total"), 2).alias("sum_total")
+        )
     )
 
 
@@ -412,11 +507,19 @@ def assortment_attribute_counts(spark, sf_dir):
 
 def dummies(spark, sf_dir):
     sales = Retail(spark, sf_dir, "TR").sales().select(*KEYS, "sum_total")
-    return _out(profile.dummies(sales, "item_id"))
+    return _out(profile.dummies(sales, "item_id", TYPES))
+
+
+def dummy_entries(spark, sf_dir):
+    sales = Retail(spark, sf_dir, "PR").sales().select(*KEYS, "sum_total")
+    return _out(profile.dummy_entries(sales, "item_id"))
 
 
 def rmse(spark, sf_dir):
-    return aggregates.rmse(_features(Retail(spark, sf_dir, "TR")), TARGET, "lag_7_quantity")
+    """How far off the quantity a week of rows before is."""
+    demand = aggregates.daily_demand(Retail(spark, sf_dir, "TR").sales()).select(*KEYS, TARGET)
+    lagged = fill_numeric(demand.withColumns(lag_columns(lags=(7,))), ["lag_7_quantity"])
+    return aggregates.rmse(lagged, TARGET, "lag_7_quantity")
 
 
 # Windows
@@ -483,19 +586,37 @@ def feature_table_fine_grain(spark, sf_dir):
     return _out(_features(Retail(spark, sf_dir, "BN")), *_MEAN_PRICES)
 
 
-def feature_table_incremental(spark, sf_dir):
+def empty_feature_table(spark, sf_dir):
+    """No sales, for none are that old."""
     retail = Retail(spark, sf_dir, "TR")
+    none = zones.between_dates(retail.sales(), last="1990-01-01")
+    sides = retail.catalog(), retail.stores(), retail.markdowns(), retail.discounts()
+    return _out(feature_plans.feature_table(none, *sides), *_MEAN_PRICES)
+
+
+def _one_day(spark, sf_dir, grain: str, history: DataFrame | None) -> DataFrame:
+    retail = Retail(spark, sf_dir, grain)
     rows = feature_plans.feature_table_for_day(
-        _sales_zone(spark, sf_dir),
+        _sales_zone(spark, sf_dir, grain),
         retail.catalog(),
         retail.stores(),
         retail.markdowns(),
         retail.discounts(),
         PROCESS_DATE,
+        history=history,
     )
     return _out(rows, *_MEAN_PRICES)
 
 
+def feature_table_incremental(spark, sf_dir):
+    """The past from the feature zone; the grain has sales on all dates of the look-back."""
+    return _one_day(spark, sf_dir, "DY", _feature_zone(spark, sf_dir, "DY"))
+
+
+def feature_table_incremental_from_sales(spark, sf_dir):
+    return _one_day(spark, sf_dir, "TR", None)
+
+
 _FRAME_COLUMNS = [*KEYS, *PRICE_COLUMNS, "promo_type_code", *ATTRIBUTES]
 
 
@@ -510,13 +631,19 @@ def forecast_frame_raw(spark, sf_dir):
     return _out(rows.select(*_FRAME_COLUMNS), *_MEAN_PRICES)
 
 
-def _inference(spark, sf_dir) -> DataFrame:
-    sides = _plan_sides(Retail(spark, sf_dir, "TR"))
-    return frame.inference_features(_feature_zone(spark, sf_dir), *sides, FORECAST_START)
+def _inference(spark, sf_dir, grain: str = "TR", plan: str = "aggregate") -> DataFrame:
+    sides = _plan_sides(Retail(spark, sf_dir, grain))
+    history = _feature_zone(spark, sf_dir, grain)
+    return frame.inference_features(history, *sides, FORECAST_START, plan=plan)
 
 
 def inference_features(spark, sf_dir):
-    return _out(_inference(spark, sf_dir).drop(TARGET), *_MEAN_PRICES)
+    return _out(_inference(spark, sf_dir, "DY").drop(TARGET), *_MEAN_PRICES)
+
+
+def inference_features_raw(spark, sf_dir):
+    """A row for each planned row, over the pairs of a coarse item and a store."""
+    return _out(_inference(spark, sf_dir, "TR", "raw").drop(TARGET), *_MEAN_PRICES)
 
 
 # Model
@@ -595,7 +722,41 @@ def validation_rmse(spark, sf_dir):
     predictions = training.validation_predictions(
         _model(spark, sf_dir), _feature_zone(spark, sf_dir), TRAINING_END
     )
-    return aggregates.rmse(predictions, TARGET, "prediction")
+    error = aggregates.rmse(predictions, TARGET, "prediction")
+    return error.select(F.round("rmse", 6).alias("rmse"))
+
+
+def train_forest(spark, sf_dir):
+    """The forest of full size, stored and loaded: each held-out row with what must hold for it."""
+    features = _feature_zone(spark, sf_dir)
+    fitted = training.train_model(features, TRAINING_END)
+    path = fresh_directory(spark, "forest")
+    training.save_model(fitted, path)
+    loaded = training.load_model(path)
+    before = training.validation_predictions(fitted, features, TRAINING_END)
+    after = training.validation_predictions(loaded, features, TRAINING_END)
+    formula = aggregates.rmse(after, TARGET, "prediction").first()[0]
+    both = before.select(*KEYS, TARGET, F.col("prediction").alias("fitted")).join(
+        after.select(*KEYS, "prediction"), KEYS
+    )
+    close = abs(training.validation_rmse(after) - formula) < 1e-9 * formula
+    return _out(
+        both.select(
+            *KEYS,
+            TARGET,
+            F.lit(loaded.stages[-1].getNumTrees).alias("n_trees"),
+            (F.col("fitted") == F.col("prediction")).alias("loads_the_same"),
+            (F.col("prediction") >= 0).alias("not_negative"),
+            F.lit(close).alias("evaluator_agrees"),
+        )
+    )
+
+
+def training_guard(spark, sf_dir):
+    """Without rows before the hold-out nothing is trained."""
+    features = _feature_zone(spark, sf_dir)
+    model = training.train_model(features, "1990-01-01", pipeline=_mean_pipeline())
+    return features.agg(F.count("*").alias("n_rows"), F.lit(model is None).alias("untrained"))
 
 
 def score_forecast(spark, sf_dir):
@@ -608,7 +769,13 @@ QUERIES = {
         feature_table,
         feature_table_fine_grain,
         feature_table_incremental,
+        feature_table_incremental_from_sales,
+        empty_feature_table,
         scan_csv,
+        scan_csv_stray_index,
+        scan_csv_tables,
+        scan_one_date,
+        first_rows,
         scan_partitioned,
         scan_date_window,
         partition_row_count,
@@ -616,6 +783,7 @@ QUERIES = {
         next_dates,
         write_features_roundtrip,
         ingest_history,
+        ingest_history_of_items,
         ingest_day,
         ingest_static,
         select_items_static,
@@ -648,6 +816,7 @@ QUERIES = {
         assortment_profile,
         assortment_attribute_counts,
         dummies,
+        dummy_entries,
         rmse,
         lag_features,
         rolling_features,
@@ -658,11 +827,14 @@ QUERIES = {
         forecast_frame,
         forecast_frame_raw,
         inference_features,
+        inference_features_raw,
         category_index,
         category_onehot,
         assemble_features,
         train_model,
         validation_rmse,
+        train_forest,
+        training_guard,
         score_forecast,
         publish_forecast,
     )

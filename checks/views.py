@@ -1,7 +1,10 @@
 """The retail tables as views over the star schema (see FIXTURES.md).
 
-Three grains name what plays the item and the store:
-TR  part type x region, BN  part brand x nation, PR  part x region (returned lines only).
+Four grains name what plays the item and the store:
+TR  part type x region, BN  part brand x nation, PR  part x region, DY  odd and even parts in
+one store, so that each series has a sale on every date.
+
+But for PR, some lines are of an item, some of a store, that no dimension table lists.
 """
 
 from __future__ import annotations
@@ -9,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_ITEM = {"TR": "p_type", "BN": "p_brand", "PR": "p_partkey"}
-_STORE = {"TR": "n_regionkey", "BN": "n_nationkey", "PR": "n_regionkey"}
+_PARITY = "concat('part ', p_partkey % 2)"
+_ITEM = {"TR": "p_type", "BN": "p_brand", "PR": "cast(p_partkey AS string)", "DY": _PARITY}
+_STORE = {"TR": "n_regionkey", "BN": "n_nationkey", "PR": "n_regionkey", "DY": "0"}
+UNLISTED_ITEM, UNLISTED_STORE = "UNLISTED", -1
 
 # Given, so that opening a table runs no job to infer them.
 _SCHEMAS = {
@@ -47,11 +52,9 @@ class Retail:
         """Line items keyed by (date, item_id, store_id). Part and supplier grow with the
         data, so how they are joined is left to Spark's size statistics and skew handling."""
         lines = self._table("lineitem")
-        if self.grain == "PR":
-            lines = lines.where("l_returnflag = 'R'")
         items = self._table("part").select(
             F.col("p_partkey").alias("l_partkey"),
-            F.col(_ITEM[self.grain]).cast("string").alias("item_id"),
+            F.expr(_ITEM[self.grain]).alias("item_id"),
         )
         outlets = (
             self._table("supplier")
@@ -59,15 +62,23 @@ class Retail:
             .join(self._table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
             .select(
                 F.col("s_suppkey").alias("l_suppkey"),
-                F.col(_STORE[self.grain]).alias("store_id"),
+                F.expr(_STORE[self.grain]).alias("store_id"),
             )
         )
+        item, store = F.col("item_id"), F.col("store_id")
+        if self.grain != "PR":
+            item = F.when(self._unlisted(5), UNLISTED_ITEM).otherwise(item).alias("item_id")
+            store = F.when(self._unlisted(6), UNLISTED_STORE).otherwise(store).alias("store_id")
         return (
             lines.join(items, "l_partkey")
             .join(outlets, "l_suppkey")
-            .select(F.col("l_shipdate").cast("date").alias("date"), "item_id", "store_id", *columns)
+            .select(F.col("l_shipdate").cast("date").alias("date"), item, store, *columns)
         )
 
+    @staticmethod
+    def _unlisted(number: int) -> Column:
+        return (F.col("l_linenumber") == number) & (F.col("l_tax") == 0.08)
+
     @staticmethod
     def _unit_price() -> Column:
         return F.col("l_extendedprice") / F.col("l_quantity")
@@ -101,14 +112,10 @@ class Retail:
         ).drop("l_returnflag")
 
     def catalog(self) -> DataFrame:
-        part = self._table("part")
-        if self.grain == "TR":
-            item, other, left_out = "p_type", "p_brand", "PROMO"
-        else:
-            item, other, left_out = "p_brand", "p_type", "Brand#25"
+        other = "p_brand" if self.grain == "TR" else "p_type"
         return (
-            part.where(F.col(item) != left_out)
-            .groupBy(F.col(item).alias("item_id"))
+            self._table("part")
+            .groupBy(F.expr(_ITEM[self.grain]).alias("item_id"))
             .agg(
                 F.min(other).alias("dept_name"),
                 F.max(other).alias("class_name"),
@@ -121,22 +128,19 @@ class Retail:
         nations = self._table("nation").join(
             self._table("region"), F.col("n_regionkey") == F.col("r_regionkey")
         )
-        key = "r_regionkey" if self.grain == "TR" else "n_nationkey"
+        store = F.expr(_STORE[self.grain]).alias("store_id")
         parity = F.when(F.col("store_id") % 2 == 0, "even").otherwise("odd").alias("format")
-        if self.grain == "TR":
-            rows = (
-                nations.where(F.col(key) != 4)
-                .groupBy(F.col(key).alias("store_id"), F.col("r_name").alias("division"))
-                .agg(
-                    F.min("n_name").alias("city"),
-                    F.count("n_nationkey").cast("string").alias("area"),
-                )
-            )
-        else:
-            rows = nations.where(F.col(key) != 24).select(
-                F.col(key).alias("store_id"),
+        if self.grain == "BN":
+            rows = nations.select(
+                store,
                 F.col("r_name").alias("division"),
                 F.col("n_name").alias("city"),
                 F.col("n_regionkey").cast("string").alias("area"),
             )
+        else:
+            rows = nations.groupBy(store).agg(
+                F.min("r_name").alias("division"),
+                F.min("n_name").alias("city"),
+                F.count("n_nationkey").cast("string").alias("area"),
+            )
         return rows.select("store_id", "division", parity, "city", "area")

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import argparse
+import os
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from shelfcast.plans import jobs
-from shelfcast.schemas import FEATURES, HORIZON_DAYS, SALES, SELECTED_ITEMS
-from shelfcast.sources.zones import WRITE_MODES, next_dates, read_zone
+from shelfcast.plans.frame import PLANS
+from shelfcast.schemas import HORIZON_DAYS, SALES
+from shelfcast.sources.publish import FORECAST_TABLE
+from shelfcast.sources.tables import read_sales
+from shelfcast.sources.zones import WRITE_MODES, next_dates, read_manifest, read_zone
 
 
 def parser() -> argparse.ArgumentParser:
@@ -20,11 +25,28 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--root", required=True, help="zone root")
         return sub
 
+    def arrivals(sub: argparse.ArgumentParser) -> None:
+        text = "new sales, CSV or Parquet; by default the recent dates held back"
+        sub.add_argument("--arrivals", help=text)
+
+    def publishing(sub: argparse.ArgumentParser) -> None:
+        sub.add_argument("--plan", choices=PLANS, default=PLANS[0])
+        sub.add_argument("--table", help="catalog table to replace")
+        sub.add_argument("--jdbc-url")
+        sub.add_argument("--jdbc-table", default=FORECAST_TABLE)
+        sub.add_argument("--jdbc-user")
+        sub.add_argument("--jdbc-password-env", help="environment variable with the password")
+        sub.add_argument("--jdbc-driver", help="class of the driver")
+        sub.add_argument("--jdbc-batch", type=int, default=10_000)
+
     sub = command("land-history", "split the raw CSVs and land them")
     sub.add_argument("--raw", required=True, help="folder with the raw CSVs")
-    sub.add_argument("--items", nargs="+", default=SELECTED_ITEMS)
+    chosen = sub.add_mutually_exclusive_group()
+    chosen.add_argument("--items", nargs="+", help="only these items; all by default")
+    chosen.add_argument("--items-file", help="text with an item id on each line")
 
-    sub = command("land-day", "land one date of the recent sales")
+    sub = command("land-day", "land one date of the arrivals")
+    arrivals(sub)
     sub.add_argument("--ingestion-date", required=True)
 
     sub = command("features", "build the feature table, or one date of it")
@@ -39,25 +61,49 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--model", required=True)
     sub.add_argument("--forecast-date", required=True)
     sub.add_argument("--days", type=int, default=HORIZON_DAYS)
-    sub.add_argument("--table")
-    sub.add_argument("--jdbc-url")
+    publishing(sub)
 
     sub = command("daily", "land the next date, build its features, forecast")
     sub.add_argument("--model", required=True)
     sub.add_argument("--process-date")
-    sub.add_argument("--table")
-    sub.add_argument("--jdbc-url")
+    arrivals(sub)
+    publishing(sub)
 
     command("next-dates", "print the next process and forecast dates")
     return top
 
 
+def _publishing(args: argparse.Namespace) -> dict:
+    """The arguments of ``jobs.forecast`` that say where forecasts go."""
+    found = {"plan": args.plan, "table": args.table}
+    if args.jdbc_url:
+        found |= {"jdbc_url": args.jdbc_url, "jdbc_table": args.jdbc_table, "batch": args.jdbc_batch}
+        for name, value in (
+            ("user", args.jdbc_user),
+            ("password", os.environ[args.jdbc_password_env] if args.jdbc_password_env else None),
+            ("driver", args.jdbc_driver),
+        ):
+            if value is not None:
+                found[name] = value
+    return found
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "land-history":
-        jobs.land_history(spark, args.raw, args.root, args.items)
-    elif args.job == "land-day":
-        arrivals = read_zone(spark, f"{args.root}/recent", SALES)
-        jobs.land_day(arrivals, f"{args.root}/sales", args.ingestion_date)
+        items = args.items
+        if args.items_file:
+            items = spark.read.text(args.items_file).select(F.trim("value").alias("item_id"))
+        jobs.land_history(spark, args.raw, args.root, items)
+        return
+    arrivals = None
+    if getattr(args, "arrivals", None):
+        arrivals = read_sales(spark, args.arrivals)
+    if args.job == "land-day":
+        if arrivals is None:
+            arrivals = read_zone(spark, f"{args.root}/recent", SALES)
+        manifest = jobs.manifest_path(args.root, "sales")
+        n_rows = jobs.land_day(arrivals, f"{args.root}/sales", args.ingestion_date, manifest)
+        print(f"{args.ingestion_date}: {n_rows} rows")
     elif args.job == "features":
         jobs.build_features(spark, args.root, args.process_date, args.mode)
     elif args.job == "train":
@@ -65,25 +111,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         print("no training rows" if error is None else f"validation RMSE: {error:.2f}")
     elif args.job == "forecast":
         jobs.forecast(
-            spark,
-            args.root,
-            args.model,
-            args.forecast_date,
-            args.days,
-            table=args.table,
-            jdbc_url=args.jdbc_url,
+            spark, args.root, args.model, args.forecast_date, args.days, **_publishing(args)
         )
     elif args.job == "daily":
         jobs.run_daily(
-            spark,
-            args.root,
-            args.model,
-            args.process_date,
-            table=args.table,
-            jdbc_url=args.jdbc_url,
+            spark, args.root, args.model, args.process_date, arrivals, **_publishing(args)
         )
     else:
-        next_dates(read_zone(spark, f"{args.root}/features", FEATURES)).show()
+        next_dates(read_manifest(spark, jobs.manifest_path(args.root, "features"))).show()
 
 
 def main() -> None:

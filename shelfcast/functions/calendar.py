@@ -22,7 +22,9 @@ def date_lit(value: str | dt.date) -> Column:
 
 
 def parse_date(text: Column) -> Column:
-    return F.to_date(text, "yyyy-MM-dd")
+    """A date from ISO text; a time that follows it is left out. Other text raises."""
+    dated = text.rlike(r"^\d{4}-\d{2}-\d{2}([ T].*)?$")
+    return F.to_date(F.when(dated, F.substring(text, 1, 10)).otherwise(text), "yyyy-MM-dd")
 
 
 def calendar_columns(day: str = "date") -> dict[str, Column]:

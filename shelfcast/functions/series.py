@@ -59,3 +59,14 @@ def continued_columns(newest: Column, ahead: Column) -> dict[str, Column]:
         total = F.aggregate(seen, F.lit(0.0), lambda a, v: a + v)
         columns[f"rolling_mean_{n}_quantity"] = F.when(F.size(seen) > 0, total / F.size(seen))
     return columns
+
+
+def closing_columns(current: Column, newest: Column) -> dict[str, Column]:
+    """The series columns of a row that follows the listed values and has one of its own."""
+    values = F.concat(F.array(current), F.coalesce(newest, F.array().cast("array<double>")))
+    columns = {f"lag_{n}_quantity": F.get(values, F.lit(n)) for n in LAGS}
+    for n in MEANS:
+        seen = F.filter(F.slice(values, 1, n), lambda v: v.isNotNull())
+        total = F.aggregate(seen, F.lit(0.0), lambda a, v: a + v)
+        columns[f"rolling_mean_{n}_quantity"] = F.when(F.size(seen) > 0, total / F.size(seen))
+    return columns

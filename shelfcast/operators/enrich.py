@@ -6,17 +6,15 @@ from pyspark.sql import DataFrame
 
 from shelfcast.functions.cleaning import fill_numeric
 from shelfcast.operators.aggregates import daily_demand, daily_discounts, daily_markdowns
-from shelfcast.operators.joins import BROADCAST_BYTES, left_join_dimensions
+from shelfcast.operators.joins import left_join_dimensions
 from shelfcast.schemas import KEYS
 
 MARKDOWN_COLUMNS = ["markdown_quantity", "markdown_price", "markdown_normal_price"]
 DISCOUNT_COLUMNS = ["promo_price", "discount_price_before_promo"]
 
 
-def enrich_dimensions(
-    demand: DataFrame, catalog: DataFrame, stores: DataFrame, limit: int = BROADCAST_BYTES
-) -> DataFrame:
-    return left_join_dimensions(demand, catalog, stores, limit)
+def enrich_dimensions(demand: DataFrame, catalog: DataFrame, stores: DataFrame) -> DataFrame:
+    return left_join_dimensions(demand, catalog, stores)
 
 
 def enrich_markdowns(

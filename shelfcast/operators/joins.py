@@ -2,76 +2,20 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
-
-BROADCAST_BYTES = 64 << 20
-SALTS = 64
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    """Approximate size of a row: text by its length, anything else a word."""
-    widths = [
-        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 8
-        if isinstance(f.dataType, (StringType, BinaryType))
-        else F.lit(8)
-        for f in df.schema
-    ]
-    return reduce(lambda a, b: a + b, widths)
-
-
-def measured_bytes(*frames: DataFrame) -> list[int]:
-    """Sizes of the frames in bytes, by one aggregation job over all of them; only one
-    number per frame reaches the driver. Frames that are dear to work out should be written
-    first: they are read here and again by the join."""
-    sizes = [
-        df.select(_row_bytes(df).cast("long").alias("width")).agg(
-            F.lit(i).alias("frame"), F.coalesce(F.sum("width"), F.lit(0)).alias("size")
-        )
-        for i, df in enumerate(frames)
-    ]
-    rows = reduce(DataFrame.unionByName, sizes).collect()
-    return [row["size"] for row in sorted(rows, key=lambda row: row["frame"])]
-
 
-def salted_left_join(
-    facts: DataFrame, side: DataFrame, key: str, spread_by: list[str], salts: int = SALTS
-) -> DataFrame:
-    """Left join for a side too large to broadcast. Each side row is copied once per salt
-    and each fact row is sent to the copy its other key columns hash to, so the rows of one
-    hot key are shared by ``salts`` tasks. The salt is a function of the row, which keeps it
-    the same when a lost task is run again."""
-    salted_side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    return facts.withColumn("_salt", salt).join(salted_side, [key, "_salt"], "left").drop("_salt")
-
-
-def left_join_side(
-    facts: DataFrame,
-    side: DataFrame,
-    key: str,
-    spread_by: list[str],
-    size: int,
-    limit: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Left join on one key: broadcast a side measured at no more than ``limit`` bytes, else
-    the salted join."""
-    if size <= limit:
-        return facts.join(F.broadcast(side), key, "left")
-    return salted_left_join(facts, side, key, spread_by)
 
-
-def left_join_dimensions(
-    facts: DataFrame, catalog: DataFrame, stores: DataFrame, limit: int = BROADCAST_BYTES
-) -> DataFrame:
+def left_join_dimensions(facts: DataFrame, catalog: DataFrame, stores: DataFrame) -> DataFrame:
     """Add item and store attributes; rows without a match keep nulls. Both tables are to
-    have one row per key."""
-    catalog_size, store_size = measured_bytes(catalog, stores)
-    joined = left_join_side(facts, catalog, "item_id", ["store_id", "date"], catalog_size, limit)
-    return left_join_side(joined, stores, "store_id", ["item_id", "date"], store_size, limit)
+    have one row per key.
+
+    Spark broadcasts a side whose size, from file statistics or measured by adaptive
+    execution, is under ``spark.sql.autoBroadcastJoinThreshold``. A larger one is shuffled,
+    and the rows of a hot item or store are on the left, the side of a left join that adaptive
+    execution cuts. Nothing runs until the result is used.
+    """
+    return facts.join(catalog, "item_id", "left").join(stores, "store_id", "left")
 
 
 def item_store_grid(
@@ -79,9 +23,10 @@ def item_store_grid(
 ) -> DataFrame:
     """Every item with every store. The pairs are the result asked for; they are formed by an
     equi-join on a bucket number: an item hashes to one bucket and the store ids are copied
-    to each, so a task forms the pairs of its own items only and nothing is broadcast. The
-    fixed partition number keeps adaptive execution from merging these tasks, whose input is
-    small and output large."""
+    to each, so a task forms the pairs of its own items only and nothing is broadcast. A
+    bucket is a partition by its number, not by a second hash, so none is empty or doubled
+    by chance, and the fixed number keeps adaptive execution from merging tasks whose input
+    is small and output large."""
     if buckets is None:
         session = catalog.sparkSession
         buckets = max(int(session.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -89,12 +34,12 @@ def item_store_grid(
         catalog.select("item_id")
         .distinct()
         .withColumn("_bucket", F.pmod(F.xxhash64("item_id"), F.lit(buckets)).cast("int"))
-        .repartition(buckets, "_bucket")
+        .repartitionById(buckets, F.col("_bucket"))
     )
     outlets = (
         stores.select("store_id")
         .distinct()
         .withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-        .repartition(buckets, "_bucket")
+        .repartitionById(buckets, F.col("_bucket"))
     )
     return items.join(outlets, "_bucket").select("item_id", "store_id")

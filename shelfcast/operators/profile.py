@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from shelfcast.schemas import ITEM_ATTRIBUTES
 
 TOP_ITEMS = 10
-MAX_DUMMIES = 10_000
 
 
 def stores_per_item(sales: DataFrame) -> DataFrame:
@@ -39,26 +38,47 @@ def sales_date_range(sales: DataFrame) -> DataFrame:
     return sales.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 
+def _by_item_and_store(sales: DataFrame) -> DataFrame:
+    return sales.groupBy("item_id", "store_id").agg(F.count("*").alias("n_rows"))
+
+
+def _every_store(groups: DataFrame, *used: str):
+    """Number of stores in ``groups``, one row a store or more, as a scalar subquery. It names
+    the columns the query around it uses: then both are the same grouping of one scan, and
+    Spark works it out once."""
+    real = F.col("n_rows") > 0
+    for column in used:
+        real &= F.coalesce(F.col(column) == F.col(column), F.lit(True))
+    return groups.select(F.count_distinct(F.when(real, F.col("store_id")))).scalar()
+
+
 def items_in_all_stores(sales: DataFrame) -> DataFrame:
     """Items sold in every store that sells anything."""
-    every_store = sales.select(F.countDistinct("store_id")).scalar()
-    return stores_per_item(sales).where(F.col("n_stores") == every_store)
+    groups = _by_item_and_store(sales)
+    counted = groups.groupBy("item_id").agg(
+        F.count("store_id").alias("n_stores"), F.sum("n_rows").alias("n_rows")
+    )
+    return counted.where(F.col("n_stores") == _every_store(groups)).select("item_id", "n_stores")
 
 
 def assortment_profile(sales: DataFrame, top: int = TOP_ITEMS) -> DataFrame:
     """The ``top`` items by row count among those sold in every store, with their active days
-    and mean quantity. All figures of an item come from one grouping of the sales; equal row
-    counts are ordered by item."""
-    every_store = sales.select(F.countDistinct("store_id")).scalar()
+    and mean quantity. All figures come from one grouping of the sales; equal row counts are
+    ordered by item."""
+    groups = sales.groupBy("item_id", "store_id", "date").agg(
+        F.count("*").alias("n_rows"),
+        F.sum("quantity").alias("units"),
+        F.count("quantity").alias("n_units"),
+    )
     return (
-        sales.groupBy("item_id")
+        groups.groupBy("item_id")
         .agg(
             F.countDistinct("store_id").alias("n_stores"),
             F.countDistinct("date").alias("active_days"),
-            F.count("*").alias("n_rows"),
-            F.avg("quantity").alias("mean_quantity"),
+            F.sum("n_rows").alias("n_rows"),
+            (F.sum("units") / F.nullif(F.sum("n_units"), F.lit(0))).alias("mean_quantity"),
         )
-        .where(F.col("n_stores") == every_store)
+        .where(F.col("n_stores") == _every_store(groups, "date", "units", "n_units"))
         .orderBy(F.desc("n_rows"), "item_id")
         .limit(top)
     )
@@ -66,11 +86,11 @@ def assortment_profile(sales: DataFrame, top: int = TOP_ITEMS) -> DataFrame:
 
 def top_items(sales: DataFrame, top: int = TOP_ITEMS) -> DataFrame:
     """The ``top`` items by row count among those sold in every store."""
-    every_store = sales.select(F.countDistinct("store_id")).scalar()
+    groups = _by_item_and_store(sales)
     return (
-        sales.groupBy("item_id")
-        .agg(F.countDistinct("store_id").alias("n_stores"), F.count("*").alias("n_rows"))
-        .where(F.col("n_stores") == every_store)
+        groups.groupBy("item_id")
+        .agg(F.count("store_id").alias("n_stores"), F.sum("n_rows").alias("n_rows"))
+        .where(F.col("n_stores") == _every_store(groups))
         .orderBy(F.desc("n_rows"), "item_id")
         .limit(top)
         .select("item_id", "n_rows")
@@ -89,19 +109,20 @@ def assortment_attribute_counts(catalog: DataFrame, items: DataFrame) -> DataFra
     )
 
 
-def dummies(df: DataFrame, column: str, values: Iterable | None = None) -> DataFrame:
-    """Replace ``column`` by one 0/1 column per distinct value, named ``column_value``, in
-    value order. A null gives 0 throughout. The values become column names, so they are read
-    first unless given; more than ``MAX_DUMMIES`` raise instead of widening the schema
-    without end."""
-    if values is None:
-        found = df.select(column).where(F.col(column).isNotNull()).distinct()
-        found = [row[0] for row in found.limit(MAX_DUMMIES + 1).collect()]
-        if len(found) > MAX_DUMMIES:
-            raise ValueError(f"{column} has more than {MAX_DUMMIES} values")
-        values = sorted(found)
+def dummies(df: DataFrame, column: str, values: Iterable) -> DataFrame:
+    """Replace ``column`` by one 0/1 column for each of ``values``, named ``column_value``, in
+    value order. Nulls and other values give 0 throughout. The values become column names,
+    so this is for a closed list; ``dummy_entries`` has no need of one."""
     flags = [
         F.coalesce((F.col(column) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{column}_{v}")
-        for v in values
+        for v in sorted(values)
     ]
     return df.select(*[c for c in df.columns if c != column], *flags)
+
+
+def dummy_entries(df: DataFrame, column: str) -> DataFrame:
+    """The ones of the 0/1 columns of any number of values: each row with a value, with the
+    name of the column that would be 1 for it in place of ``column``."""
+    name = F.concat(F.lit(f"{column}_"), F.col(column).cast("string")).alias("dummy")
+    rest = [c for c in df.columns if c != column]
+    return df.where(F.col(column).isNotNull()).select(*rest, name)

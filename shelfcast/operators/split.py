@@ -13,15 +13,22 @@ from shelfcast.schemas import HOLDOUT_DAYS, RECENT_DAYS
 from shelfcast.sources.zones import between_dates
 
 
-def select_items(df: DataFrame, items: Iterable[str]) -> DataFrame:
-    """Rows of a fixed list of items; reaches the scan as a pushed filter."""
+Items = Iterable[str] | DataFrame | None
+
+
+def select_items(df: DataFrame, items: Items) -> DataFrame:
+    """Rows of some items: all for None. A short list reaches the scan as a pushed filter; a
+    long one is given as a frame with ``item_id`` and joined."""
+    if items is None:
+        return df
+    if isinstance(items, DataFrame):
+        return df.join(items.select("item_id").distinct(), "item_id", "left_semi")
     return df.where(F.col("item_id").isin(list(items)))
 
 
-def select_items_static(tables: dict[str, DataFrame], items: Iterable[str]) -> dict:
+def select_items_static(tables: dict[str, DataFrame], items: Items) -> dict:
     """The side tables cut to the items; stores have no item and stay whole."""
-    ids = list(items)
-    return {n: df if n == "stores" else select_items(df, ids) for n, df in tables.items()}
+    return {n: df if n == "stores" else select_items(df, items) for n, df in tables.items()}
 
 
 def split_on(df: DataFrame, cut: Column) -> tuple[DataFrame, DataFrame]:
@@ -29,23 +36,25 @@ def split_on(df: DataFrame, cut: Column) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col("date") < cut), df.where(F.col("date") >= cut)
 
 
-def recent_cut(
-    sales: DataFrame, items: Iterable[str], recent_days: int = RECENT_DAYS
-) -> DataFrame:
-    """The first recent date, one row: ``recent_days`` before the items' last date."""
-    kept = select_items(sales, items)
-    return kept.select(F.date_sub(F.max("date"), recent_days).alias("cut"))
+def recent_cut(sales: DataFrame, recent_days: int = RECENT_DAYS) -> DataFrame:
+    """The first recent date, one row: ``recent_days`` before the last date."""
+    return sales.select(F.date_sub(F.max("date"), recent_days).alias("cut"))
+
+
+def tag_recent(sales: DataFrame, cut: Column | None = None) -> DataFrame:
+    """The sales with column ``part``, history or recent, in one pass over them beside the one
+    that finds the cut, unless that is given."""
+    cut = recent_cut(sales).scalar() if cut is None else cut
+    return sales.withColumn("part", F.when(F.col("date") < cut, "history").otherwise("recent"))
 
 
 def history_split(
-    sales: DataFrame, items: Iterable[str], cut: Column | None = None
+    sales: DataFrame, items: Items = None, cut: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """History and recent sales of the chosen items, at ``recent_cut`` unless a cut is given.
     As a default the cut is a scalar subquery: nothing runs until a part is used."""
-    ids = list(items)
-    if cut is None:
-        cut = recent_cut(sales, ids).scalar()
-    return split_on(select_items(sales, ids), cut)
+    kept = select_items(sales, items)
+    return split_on(kept, recent_cut(kept).scalar() if cut is None else cut)
 
 
 def train_validation_split(

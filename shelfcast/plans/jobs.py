@@ -1,21 +1,21 @@
 """The batch jobs, each from files to files.
 
 Layout under a zone root: ``sales`` and ``recent`` (date-partitioned Parquet), ``static/<table>``,
-``features`` (date-partitioned) and ``forecasts``. Jobs hand over through these only, so a
-job that fails can be run again and none holds the lineage of the one before it.
+``features`` (date-partitioned), ``manifest/<zone>`` and ``forecasts``. Jobs hand over through
+these only, so a job that fails can be run again and none holds the lineage of the one before it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import as_date, date_lit, shift
-from shelfcast.operators.split import history_split, recent_cut, select_items_static
+from shelfcast.operators.split import Items, select_items, select_items_static
 from shelfcast.plans.features import feature_table, feature_table_for_day
 from shelfcast.plans.frame import inference_features
 from shelfcast.plans.training import (
@@ -26,35 +26,61 @@ from shelfcast.plans.training import (
     validation_predictions,
     validation_rmse,
 )
-from shelfcast.schemas import FEATURES, HORIZON_DAYS, SALES, SELECTED_ITEMS, STATIC_TABLES
+from shelfcast.schemas import (
+    FEATURES,
+    HORIZON_DAYS,
+    LOOKBACK_DAYS,
+    RECENT_DAYS,
+    SALES,
+    STATIC_TABLES,
+)
 from shelfcast.sources.publish import publish_jdbc, publish_parquet, publish_table
 from shelfcast.sources.tables import land_static, read_csv, read_static
 from shelfcast.sources.zones import (
     between_dates,
     last_date,
     next_dates,
+    read_manifest,
     read_zone,
+    record_dates,
+    remove_dates,
     write_by_date,
 )
 
 log = logging.getLogger(__name__)
 
 
-def land_history(
-    spark: SparkSession, raw: str, root: str, items: Iterable[str] = SELECTED_ITEMS
-) -> None:
-    """Raw CSVs to zones: the items' sales split into history and recent, side tables cut to
-    the items. Side files that are not there are passed over."""
-    ids = list(items)
-    sales = read_csv(spark, f"{raw}/sales.csv", SALES)
-    cut = recent_cut(sales, ids).first()[0]
-    if cut is None:
+class NothingToForecast(ValueError):
+    """A date without the sales or the history a forecast would be made from."""
+
+
+def manifest_path(root: str, zone: str) -> str:
+    return f"{root}/manifest/{zone}"
+
+
+def land_history(spark: SparkSession, raw: str, root: str, items: Items = None) -> None:
+    """Raw CSVs to zones: sales split into history and recent dates, side tables. All items
+    unless some are given. Side files that are not there are passed over.
+
+    The text is parsed once, into the sales zone. The cut is found from its manifest; recent
+    dates are copied from it by date and then removed from it.
+    """
+    sales = select_items(read_csv(spark, f"{raw}/sales.csv", SALES), items)
+    zone, manifest = f"{root}/sales", manifest_path(root, "sales")
+    write_by_date(sales, zone, mode="overwrite", padded=True)
+    record_dates(read_zone(spark, zone, SALES), manifest, mode="overwrite")
+    landed = read_manifest(spark, manifest)
+    last = last_date(landed).first()[0]
+    if last is None:
         log.warning("no sales of the chosen items in %s", raw)
         return
-    history, recent = history_split(sales, ids, date_lit(cut))
-    write_by_date(history, f"{root}/sales", mode="overwrite", padded=True)
+    cut = shift(last, -RECENT_DAYS)
+    recent = between_dates(read_zone(spark, zone, SALES), cut).select(*SALES.names)
     write_by_date(recent, f"{root}/recent", mode="overwrite", padded=True)
-    land_static(select_items_static(_side_files(spark, raw), ids), f"{root}/static")
+    days = [row["date"] for row in landed.where(F.col("date") >= date_lit(cut)).collect()]
+    remove_dates(spark, zone, days)
+    record_dates(read_zone(spark, zone, SALES), manifest, mode="overwrite")
+    land_static(select_items_static(_side_files(spark, raw), items), f"{root}/static")
 
 
 def _side_files(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
@@ -69,11 +95,29 @@ def _side_files(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
     return found
 
 
-def land_day(arrivals: DataFrame, sales_zone: str, day: str | dt.date) -> None:
-    """Land one date of the arrivals, replacing that date if it was landed before. A date
-    without rows changes nothing."""
+def land_day(
+    arrivals: DataFrame, sales_zone: str, day: str | dt.date, manifest: str | None = None
+) -> int:
+    """Land one date of the arrivals, replacing that date if it was landed before; returns the
+    rows the zone then has for it. A date without rows changes nothing."""
+    spark = arrivals.sparkSession
     rows = between_dates(arrivals, day, day).select(*SALES.names)
     write_by_date(rows, sales_zone, mode="replace_dates", padded=True)
+    landed = between_dates(read_zone(spark, sales_zone, SALES), day, day)
+    if manifest is not None:
+        record_dates(landed, manifest)
+    return landed.count()
+
+
+def _past_is_whole(spark: SparkSession, root: str, day: dt.date) -> bool:
+    """Whether the feature zone has every date of the look-back that the sales have."""
+    sales, features = (
+        between_dates(
+            read_manifest(spark, manifest_path(root, zone)), shift(day, -LOOKBACK_DAYS), shift(day, -1)
+        )
+        for zone in ("sales", "features")
+    )
+    return sales.join(features, "date", "left_anti").isEmpty() and not features.isEmpty()
 
 
 def build_features(
@@ -83,18 +127,28 @@ def build_features(
     mode: str | None = None,
 ) -> None:
     """Features of the whole history, or of one date from its look-back. A one-date run
-    replaces that date and no other unless told otherwise."""
+    replaces that date and no other unless told otherwise. It takes the past from the feature
+    zone if that has all of it, else from the sales."""
     sales = read_zone(spark, f"{root}/sales", SALES)
     side = [
         read_static(spark, f"{root}/static", name)
         for name in ("catalog", "stores", "markdowns", "discounts_history")
     ]
+    zone, manifest = f"{root}/features", manifest_path(root, "features")
     if process_date is None:
-        features = feature_table(sales, *side)
+        write_by_date(feature_table(sales, *side), zone, mode=mode or "overwrite")
+        record_dates(read_zone(spark, zone, FEATURES), manifest, mode="overwrite")
+        return
+    day = as_date(process_date)
+    whole = _past_is_whole(spark, root, day)
+    history = read_zone(spark, zone, FEATURES) if whole else None
+    features = feature_table_for_day(sales, *side, day, history=history)
+    write_by_date(features, zone, mode=mode or "replace_dates")
+    written = read_zone(spark, zone, FEATURES)
+    if mode == "overwrite":
+        record_dates(written, manifest, mode="overwrite")
     else:
-        features = feature_table_for_day(sales, *side, process_date)
-    default = "overwrite" if process_date is None else "replace_dates"
-    write_by_date(features, f"{root}/features", mode=mode or default)
+        record_dates(between_dates(written, day, day), manifest)
 
 
 def train(
@@ -102,7 +156,7 @@ def train(
 ) -> float | None:
     """Fit on the feature zone, store the model, return the hold-out error. Training ends
     with the last date landed unless a date is given."""
-    end = training_end or last_date(read_zone(spark, f"{root}/sales", SALES)).first()[0]
+    end = training_end or last_date(read_manifest(spark, manifest_path(root, "sales"))).first()[0]
     features = read_zone(spark, f"{root}/features", FEATURES)
     model = train_model(features, end)
     if model is None:
@@ -119,19 +173,30 @@ def forecast(
     days: int = HORIZON_DAYS,
     table: str | None = None,
     jdbc_url: str | None = None,
+    plan: str = "aggregate",
     **jdbc_options: str,
 ) -> DataFrame:
-    """Score the horizon once, write it as Parquet, and publish tables from those files."""
+    """Score the horizon once, write it as Parquet, and publish tables from those files. A
+    start without any history before it raises; an empty forecast leaves what was published
+    as it is."""
     catalog, stores, markdowns, discounts, prices = (
         read_static(spark, f"{root}/static", name)
         for name in ("catalog", "stores", "markdowns", "discounts_history", "price_history")
     )
     history = read_zone(spark, f"{root}/features", FEATURES)
+    past = between_dates(history, shift(start, -1 - LOOKBACK_DAYS), shift(start, -1))
+    if past.isEmpty():
+        raise NothingToForecast(f"the feature zone has no date in the look-back of {start}")
     rows = inference_features(
-        history, catalog, stores, markdowns, discounts, prices, start, days
+        history, catalog, stores, markdowns, discounts, prices, start, days, plan=plan
+    )
+    scored = score(load_model(model_path), rows)
+    written = spark.read.schema(scored.schema).parquet(
+        publish_parquet(scored, f"{root}/forecasts", start)
     )
-    path = publish_parquet(score(load_model(model_path), rows), f"{root}/forecasts", start)
-    written = spark.read.parquet(path)
+    if written.isEmpty():
+        log.warning("nothing to forecast from %s; published tables stay as they are", start)
+        return written
     if table is not None:
         publish_table(written, table)
     if jdbc_url is not None:
@@ -144,14 +209,24 @@ def run_daily(
     root: str,
     model_path: str,
     process_date: str | dt.date | None = None,
+    arrivals: DataFrame | None = None,
     **publishing: str,
 ) -> DataFrame:
     """One day's run: land it, build its features, forecast from the day after. The date is
-    the one after the last in the feature zone; give one to pass over a day without sales."""
+    the one after the last in the feature zone. Sales come from ``arrivals``, or from the
+    recent dates held back when the history was landed. A date without sales stops the run:
+    give the date after it to pass over it."""
     if process_date is None:
-        done = read_zone(spark, f"{root}/features", FEATURES)
+        done = read_manifest(spark, manifest_path(root, "features"))
         process_date = next_dates(done).first()["process_date"]
+        if process_date is None:
+            raise NothingToForecast("the feature zone is empty")
     day = as_date(process_date)
-    land_day(read_zone(spark, f"{root}/recent", SALES), f"{root}/sales", day)
+    if arrivals is None:
+        arrivals = read_zone(spark, f"{root}/recent", SALES)
+    if not land_day(arrivals, f"{root}/sales", day, manifest_path(root, "sales")):
+        raise NothingToForecast(
+            f"no sales of {day}: to pass over that date, give {shift(day, 1)} as the process date"
+        )
     build_features(spark, root, day)
     return forecast(spark, root, model_path, shift(day, 1), **publishing)

@@ -52,11 +52,21 @@ def feature_assembler(
     )
 
 
-def demand_pipeline(trees: int = TREES, seed: int = SEED) -> Pipeline:
-    forest = RandomForestRegressor(
-        featuresCol="features", labelCol=TARGET, numTrees=trees, seed=seed
+def demand_pipeline(
+    trees: int = TREES,
+    seed: int = SEED,
+    columns: list[str] = CATEGORY_INPUTS,
+    numeric: list[str] = NUMERIC_INPUTS,
+    **forest: object,
+) -> Pipeline:
+    """Encoding and forest. The labels of each category are held by the driver and the model:
+    with very many items give ``columns`` without ``item_id``. ``forest`` holds further
+    parameters of the regressor."""
+    regressor = RandomForestRegressor(
+        featuresCol="features", labelCol=TARGET, numTrees=trees, seed=seed, **forest
     )
-    return Pipeline(stages=[category_indexer(), category_encoder(), feature_assembler(), forest])
+    encoding = [category_indexer(columns), category_encoder(columns)]
+    return Pipeline(stages=[*encoding, feature_assembler(numeric, columns), regressor])
 
 
 def train_model(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    DataType,
     DateType,
     DoubleType,
     IntegerType,
@@ -106,7 +107,7 @@ HOLDOUT_DAYS = 14
 HORIZON_DAYS = 7
 UNKNOWN = "unknown"
 
-# The assortment kept by the history split unless another is given.
+# A first assortment to try the jobs with. No job falls back on it.
 SELECTED_ITEMS = [
     "e5b2b6f57ea7",
     "2c007023f650",
@@ -125,9 +126,19 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _typed(column: Column, found: DataType, wanted: DataType) -> Column:
+    """A column cast to a type. Whole numbers written with a decimal point, as text columns
+    with gaps often have them, are whole numbers; any other text raises."""
+    if isinstance(found, StringType) and isinstance(wanted, IntegerType):
+        number = column.cast("double")
+        return F.when(number == F.floor(number), number.cast(wanted)).otherwise(column.cast(wanted))
+    return column.cast(wanted)
+
+
 def conform(df: DataFrame, schema: StructType, keep_rest: bool = False) -> DataFrame:
     """Pick the columns of ``schema`` by name and cast them to its types. Other columns (a
     stray index, say) go unless ``keep_rest``. A column the frame lacks raises."""
-    named = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
+    found = {f.name: f.dataType for f in df.schema}
+    named = [_typed(F.col(f.name), found.get(f.name), f.dataType).alias(f.name) for f in schema]
     rest = [c for c in df.columns if c not in schema.names] if keep_rest else []
     return df.select(*named, *[F.col(f"`{c}`") for c in rest])

@@ -37,7 +37,7 @@ def publish_table(
 def publish_jdbc(
     forecast: DataFrame,
     url: str,
-    table: str = FORECAST_TABLE,
+    jdbc_table: str = FORECAST_TABLE,
     connections: int = 16,
     batch: int = 10_000,
     **options: str,
@@ -48,7 +48,7 @@ def publish_jdbc(
     (
         forecast.coalesce(connections)
         .write.format("jdbc")
-        .options(url=url, dbtable=table, batchsize=batch, **options)
+        .options(url=url, dbtable=jdbc_table, batchsize=batch, **options)
         .mode("overwrite")
         .save()
     )

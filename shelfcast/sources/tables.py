@@ -10,7 +10,7 @@ from pyspark.sql.types import DateType, StructType
 
 from shelfcast.functions.calendar import parse_date
 from shelfcast.functions.cleaning import drop_stray_index
-from shelfcast.schemas import STATIC_TABLES, conform
+from shelfcast.schemas import SALES, STATIC_TABLES, conform
 from shelfcast.sources.zones import read_zone, write_by_date
 
 
@@ -19,14 +19,23 @@ def read_csv(
 ) -> DataFrame:
     """A CSV file or folder with a header. Columns are found by header name, so their order
     in the file and stray index columns do not matter, and typed from ``schema`` instead of
-    by a second pass over the data. Columns outside the schema stay text if kept."""
-    text = drop_stray_index(spark.read.csv(path, header=True))
+    by a second pass over the data. Columns outside the schema stay text if kept. The files
+    of a folder have to share one header: one that differs raises, so that no column can
+    take another's values."""
+    text = drop_stray_index(spark.read.csv(path, header=True, enforceSchema=False))
     dates = {
         f.name: parse_date(F.col(f.name)) for f in schema if isinstance(f.dataType, DateType)
     }
     return conform(text.withColumns(dates) if dates else text, schema, keep_rest)
 
 
+def read_sales(spark: SparkSession, path: str) -> DataFrame:
+    """Sales from a CSV file or folder, told by the suffix, or from Parquet, dated zones too."""
+    if path.rstrip("/").endswith((".csv", ".csv.gz")):
+        return read_csv(spark, path, SALES)
+    return conform(spark.read.parquet(path), SALES)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).csv(path, header=True)
 

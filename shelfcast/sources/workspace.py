@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -12,10 +11,8 @@ SETTING = "spark.checkpoint.dir"
 
 def fresh_directory(spark: SparkSession, name: str) -> str:
     """A path not used before, under the shared folder the cluster names in
-    ``spark.checkpoint.dir``. Only a local session may do without that setting."""
+    ``spark.checkpoint.dir``."""
     shared = spark.conf.get(SETTING, None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not shared:
         raise ValueError(f"set {SETTING} to a folder every executor can reach")
-    return f"{tempfile.mkdtemp(prefix='shelfcast-')}/{name}"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -79,15 +81,49 @@ def partition_row_count(zone: DataFrame, day: dt.date | str) -> DataFrame:
     return zone.where(_partition_date() == date_lit(day)).agg(F.count("*").alias("n_rows"))
 
 
-def last_date(zone: DataFrame) -> DataFrame:
-    """Latest date landed, from the partition columns alone: no data page is read."""
-    return zone.agg(F.max(_partition_date()).alias("last_date"))
+def _no_such_path(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def next_dates(zone: DataFrame) -> DataFrame:
+def record_dates(zone: DataFrame, manifest: str, mode: str = "append") -> None:
+    """Add the dates of ``zone`` with their row counts to a manifest, or begin it anew. Give it
+    only the dates just written: their files are counted, which reads no data page."""
+    counts = zone.groupBy(_partition_date().alias("date")).agg(F.count("*").alias("n_rows"))
+    stamped = counts.withColumn("recorded", F.current_timestamp())
+    stamped.coalesce(1).write.mode(mode).parquet(manifest)
+
+
+def read_manifest(spark: SparkSession, manifest: str) -> DataFrame:
+    """Dates with their directory and row count, as last recorded; empty before the first
+    landing. A date that was recorded without rows is not there."""
+    schema = "date date, n_rows long, recorded timestamp"
+    try:
+        recorded = spark.read.schema(schema).parquet(manifest)
+    except AnalysisException as error:
+        if not _no_such_path(error):
+            raise
+        recorded = spark.createDataFrame([], schema)
+    latest = recorded.groupBy("date").agg(F.max_by("n_rows", "recorded").alias("n_rows"))
+    return latest.where("n_rows > 0").select("date", partition_path().alias("path"), "n_rows")
+
+
+def remove_dates(spark: SparkSession, path: str, dates: Iterable[dt.date]) -> None:
+    """Delete the directories of some dates of a padded zone."""
+    for day in dates:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{day:year=%Y/month=%m/day=%d}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def last_date(dates: DataFrame) -> DataFrame:
+    """Latest date of a manifest, or of any frame with a date. From a manifest no file of the
+    zone is opened."""
+    return dates.agg(F.max("date").alias("last_date"))
+
+
+def next_dates(dates: DataFrame) -> DataFrame:
     """The date to process next and the first date to forecast after it. The cursor is what
-    the zone holds, so a failed run does not move it."""
-    return last_date(zone).select(
+    the manifest holds, so a failed run does not move it."""
+    return last_date(dates).select(
         F.date_add("last_date", 1).alias("process_date"),
         F.date_add("last_date", 2).alias("forecast_start"),
     )

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import uuid
 
 from shelfcast import schemas
 
@@ -44,6 +45,13 @@ def stores(spark, *ids):
     )
 
 
+def stored(spark, df, folder):
+    """The frame read back from a file, so that Spark knows its size."""
+    path = f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def expected_series(values):
     """For one series in date order: per row the lags and means, as the features have them."""
     rows = []

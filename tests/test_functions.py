@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from frames import DAY, day, expected_series
 from shelfcast import schemas
 from shelfcast.functions import cleaning
-from shelfcast.functions.calendar import as_date, calendar_columns, partition_path, shift
+from shelfcast.functions.calendar import (
+    as_date,
+    calendar_columns,
+    parse_date,
+    partition_path,
+    shift,
+)
 from shelfcast.functions.scalars import promotion_flag, whole_units
 from shelfcast.functions.series import series_columns
 from shelfcast.operators.profile import dummies
@@ -33,6 +39,15 @@ def test_calendar_uses_iso_weeks_and_sunday_first(spark):
     assert monday["is_weekend"] == 0
 
 
+def test_dates_are_read_with_a_time_or_without(spark):
+    text = ["2024-08-01", "2024-08-01 00:00:00", "2024-08-01T12:30:00Z", None]
+    df = spark.createDataFrame([(t,) for t in text], "t string").select(parse_date(F.col("t")))
+    assert [r[0] for r in df.collect()] == [dt.date(2024, 8, 1)] * 3 + [None]
+    for bad in ("2024-08-01x", "yesterday", "2024-02-30"):
+        with pytest.raises(Exception, match="(?i)pars|cast|date"):
+            spark.createDataFrame([(bad,)], "t string").select(parse_date(F.col("t"))).collect()
+
+
 def test_partition_paths(spark):
     df = spark.createDataFrame([(dt.date(2024, 8, 5),)], "date date")
     row = df.select(partition_path().alias("a"), partition_path(padded=False).alias("b")).first()
@@ -79,7 +94,7 @@ def test_stray_index_and_missing_target(spark):
 def test_dummies(spark):
     rows = [("a", "b", 1), ("b", "a", 2), ("a", "c", 3)]
     df = spark.createDataFrame(rows, "A string, B string, C int")
-    encoded = dummies(df, "A")
+    encoded = dummies(df, "A", {"b", "a"})
     assert encoded.columns == ["B", "C", "A_a", "A_b"]
     assert [tuple(r) for r in encoded.orderBy("C").collect()] == [
         ("b", 1, 1, 0),

@@ -12,7 +12,7 @@ from frames import day
 from shelfcast.__main__ import parser, run
 from shelfcast.operators import aggregates
 from shelfcast.plans import jobs, training
-from shelfcast.schemas import FORECAST_COLUMNS, TARGET
+from shelfcast.schemas import CATEGORY_INPUTS, FORECAST_COLUMNS, NUMERIC_INPUTS, TARGET
 from shelfcast.sources import publish, zones
 
 ITEMS, STORES, DAYS = ["a", "b"], [1, 2], 75
@@ -74,6 +74,22 @@ def test_history_is_landed_without_recent_dates(spark, root):
     assert {r[0] for r in history.select("item_id").distinct().collect()} == set(ITEMS)
 
 
+def test_history_is_landed_for_all_items_unless_some_are_named(spark, raw, tmp_path):
+    root = str(tmp_path / "all")
+    run(spark, parser().parse_args(["land-history", "--root", root, "--raw", raw]))
+    landed = zones.read_zone(spark, f"{root}/sales")
+    assert {r[0] for r in landed.select("item_id").distinct().collect()} == {*ITEMS, "left out"}
+    assert {r[0] for r in spark.read.parquet(f"{root}/static/catalog").select("item_id").collect()} == {*ITEMS, "left out"}
+    listed = tmp_path / "items.txt"
+    listed.write_text("left out\n")
+    args = ["land-history", "--root", root, "--raw", raw, "--items-file", str(listed)]
+    run(spark, parser().parse_args(args))
+    landed = zones.read_zone(spark, f"{root}/sales")
+    assert {r[0] for r in landed.select("item_id").distinct().collect()} == {"left out"}
+    manifest = zones.read_manifest(spark, jobs.manifest_path(root, "sales"))
+    assert manifest.agg(F.sum("n_rows")).first()[0] == landed.count()
+
+
 def test_daily_run_moves_one_day_and_can_be_repeated(spark, root):
     model = f"{root}/model"
     following = day(DAYS - 31)
@@ -106,6 +122,61 @@ def test_command_line_lands_and_builds_a_day(spark, root, capsys):
     assert str(day(DAYS - 19)) in capsys.readouterr().out
 
 
+def test_new_sales_come_from_a_file(spark, root, tmp_path):
+    """Beyond the dates held back: the day after all raw data."""
+    new = tmp_path / "new.csv"
+    lines = [f"{day(DAYS)} 00:00:00,{item},7,2.5,17.5,{store}.0" for item in ITEMS for store in STORES]
+    new.write_text("date,item_id,quantity,price_base,sum_total,store_id\n" + "\n".join(lines) + "\n")
+    args = ["daily", "--root", root, "--model", f"{root}/model", "--arrivals", str(new)]
+    run(spark, parser().parse_args([*args, "--process-date", str(day(DAYS))]))
+    features = zones.read_zone(spark, f"{root}/features")
+    assert zones.partition_row_count(features, day(DAYS)).first()[0] == len(ITEMS) * len(STORES)
+    manifest = zones.read_manifest(spark, jobs.manifest_path(root, "features"))
+    assert zones.last_date(manifest).first()[0] == day(DAYS)
+
+
+def test_a_day_without_sales_stops(spark, root):
+    with pytest.raises(jobs.NothingToForecast, match=str(day(DAYS + 6))):
+        jobs.run_daily(spark, root, f"{root}/model", day(DAYS + 5))
+    with pytest.raises(jobs.NothingToForecast, match="look-back"):
+        jobs.forecast(spark, root, f"{root}/model", "1999-01-01")
+    with pytest.raises(jobs.NothingToForecast, match="empty"):
+        jobs.run_daily(spark, f"{root}/nowhere", f"{root}/model")
+
+
+def test_an_empty_forecast_leaves_the_published_table(spark, root, caplog, monkeypatch):
+    real = jobs.inference_features
+    monkeypatch.setattr(jobs, "inference_features", lambda *a, **b: real(*a, **b).limit(0))
+    old = spark.createDataFrame([(day(0), 1)], "date date, predicted_quantity int")
+    publish.publish_table(old, "kept_forecasts")
+    found = jobs.forecast(spark, root, f"{root}/model", day(DAYS - 31), table="kept_forecasts")
+    assert found.isEmpty() and "nothing to forecast" in caplog.text
+    assert [tuple(r) for r in spark.table("kept_forecasts").collect()] == [(day(0), 1)]
+
+
+def test_past_from_features_or_sales_gives_the_same(spark, root, monkeypatch):
+    later = str(day(DAYS - 31))
+    jobs.build_features(spark, root, later)
+    one = zones.between_dates(zones.read_zone(spark, f"{root}/features"), later, later).collect()
+    assert jobs._past_is_whole(spark, root, day(DAYS - 31))
+    monkeypatch.setattr(jobs, "_past_is_whole", lambda *_: False)
+    jobs.build_features(spark, root, later)
+    two = zones.between_dates(zones.read_zone(spark, f"{root}/features"), later, later).collect()
+    assert len(one) == 4 and sorted(map(tuple, one)) == sorted(map(tuple, two))
+
+
+def test_jdbc_options_reach_the_writer(spark, root, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(jobs, "publish_jdbc", lambda df, url, **options: seen.update(options, url=url))
+    monkeypatch.setenv("FORECAST_PASSWORD", "secret")
+    args = ["forecast", "--root", root, "--model", f"{root}/model", "--forecast-date", str(day(DAYS - 31))]
+    args += ["--jdbc-url", "jdbc:x", "--jdbc-table", "t", "--jdbc-user", "u", "--jdbc-driver", "d"]
+    run(spark, parser().parse_args([*args, "--jdbc-password-env", "FORECAST_PASSWORD", "--plan", "raw"]))
+    assert seen == {
+        "url": "jdbc:x", "jdbc_table": "t", "user": "u", "password": "secret", "driver": "d", "batch": 10_000,
+    }
+
+
 def test_model_beats_the_training_mean_and_loads_the_same(spark, root):
     features = zones.read_zone(spark, f"{root}/features")
     end = day(DAYS - 32)
@@ -126,6 +197,17 @@ def test_model_beats_the_training_mean_and_loads_the_same(spark, root):
     assert model.stages[-1].getNumTrees == 50
 
 
+def test_a_model_without_items(spark, root):
+    """Item labels are held by the driver; a model can do without them."""
+    features = zones.read_zone(spark, f"{root}/features")
+    columns = [c for c in CATEGORY_INPUTS if c != "item_id"]
+    pipeline = training.demand_pipeline(trees=3, columns=columns, numeric=NUMERIC_INPUTS)
+    model = training.train_model(features, day(DAYS - 32), pipeline=pipeline)
+    predictions = training.validation_predictions(model, features, day(DAYS - 32))
+    assert math.isfinite(training.validation_rmse(predictions))
+    assert "item_id_indexed" not in predictions.columns
+
+
 def test_training_without_rows(spark, root):
     features = zones.read_zone(spark, f"{root}/features")
     assert training.train_model(features, "1990-01-01") is None

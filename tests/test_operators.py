@@ -57,8 +57,8 @@ def test_empty_inputs_give_empty_features(spark):
     assert table.isEmpty()
 
 
-@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 0])
-def test_dimension_join_broadcast_and_salted(spark, limit):
+@pytest.mark.parametrize("threshold", ["64MB", "-1"])
+def test_dimension_join_broadcast_and_shuffled(spark, tmp_path, threshold):
     """A hot item, unmatched keys and null keys give the same rows by either way."""
     demand = aggregates.daily_demand(frames.hot_sales(spark)).unionByName(
         spark.createDataFrame(
@@ -67,29 +67,61 @@ def test_dimension_join_broadcast_and_salted(spark, limit):
         )
     )
     items = [f"item {n}" for n in range(0, 20, 2)] + ["hot"]
-    catalog, stores = frames.catalog(spark, *items), frames.stores(spark, 0, 1, 2, 3)
-    joined = enrich.enrich_dimensions(demand, catalog, stores, limit)
-    assert joined.count() == demand.count()
-    departments = {i: f"dept {i}" for i in items}
-    for row in joined.collect():
-        assert row["dept_name"] == departments.get(row["item_id"])
-        in_stores = row["store_id"] is not None and row["store_id"] < 4
-        assert row["city"] == (f"city {row['store_id']}" if in_stores else None)
-    assert ("_salt" in plan(joined)) == (limit == 0)
-    assert "_salt" not in joined.columns
-
-
-def test_salt_spreads_a_hot_item(spark):
-    demand = aggregates.daily_demand(frames.hot_sales(spark)).where("item_id = 'hot'")
-    salted = demand.select(F.pmod(F.xxhash64("store_id", "date"), F.lit(joins.SALTS)).alias("s"))
-    largest = salted.groupBy("s").count().agg(F.max("count")).first()[0]
-    assert largest < demand.count() / 8
-
-
-def test_measured_bytes_grow_with_the_text(spark):
-    small, large = frames.catalog(spark, "a"), frames.catalog(spark, "a", "b" * 1000)
-    sizes = joins.measured_bytes(small, large, small.limit(0))
-    assert sizes[0] < 200 < 1000 < sizes[1] and sizes[2] == 0
+    catalog = frames.stored(spark, frames.catalog(spark, *items), tmp_path)
+    stores = frames.stored(spark, frames.stores(spark, 0, 1, 2, 3), tmp_path)
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    adaptive = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    spark.conf.set(setting, threshold)
+    spark.conf.set(adaptive, threshold)
+    try:
+        joined = enrich.enrich_dimensions(demand, catalog, stores)
+        tree = plan(joined)
+        assert joined.count() == demand.count()
+        departments = {i: f"dept {i}" for i in items}
+        for row in joined.collect():
+            assert row["dept_name"] == departments.get(row["item_id"])
+            in_stores = row["store_id"] is not None and row["store_id"] < 4
+            assert row["city"] == (f"city {row['store_id']}" if in_stores else None)
+    finally:
+        spark.conf.unset(setting)
+        spark.conf.unset(adaptive)
+    assert ("BroadcastHashJoin" in tree) == (threshold != "-1")
+
+
+def _jobs_run(spark, build):
+    """How many Spark jobs ``build`` starts."""
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+    finally:
+        spark.sparkContext.setJobGroup("other", "")
+
+
+def test_building_a_plan_runs_nothing(spark):
+    sales = frames.hot_sales(spark, 50)
+    side = [frames.catalog(spark, "hot"), frames.stores(spark, 1)]
+    promo = [frames.markdowns(spark), frames.discounts(spark)]
+    assert _jobs_run(spark, lambda: feature_table(sales, *side, *promo)) == 0
+    assert _jobs_run(spark, lambda: feature_table_for_day(sales, *side, *promo, day(3))) == 0
+    assert _jobs_run(spark, lambda: forecast_frame(*side, *promo, frames.prices(spark), day(3))) == 0
+    assert _jobs_run(spark, lambda: profile.assortment_profile(sales)) == 0
+
+
+def test_grid_partitions_are_even(spark):
+    items = spark.range(20_000).selectExpr("cast(id AS string) AS item_id")
+    grid = joins.item_store_grid(items, frames.stores(spark, *range(5)), 200)
+    sizes = grid.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 200
+    assert max(r["count"] for r in sizes) <= 1.5 * 20_000 * 5 / 200
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(setting, "-1")
+    try:
+        tree = plan(joins.item_store_grid(items, frames.stores(spark, 1), 200)).split("\n\n\n")[0]
+    finally:
+        spark.conf.unset(setting)
+    # One to make either side distinct and one to place it; the join adds none.
+    assert tree.count(" Exchange") == 4 and "NestedLoop" not in tree
 
 
 @pytest.mark.parametrize("buckets", [1, 3, 16])
@@ -121,6 +153,13 @@ def test_frame_fans_out_only_when_raw(spark):
     row = combined.where(F.col("date") == day(1)).first()
     assert (row["markdown_quantity"], row["markdown_price"]) == (6.0, 4.0)
     assert row["avg_base_price"] is None
+    history = feature_table(
+        frames.sales(spark, [(-1, "a", 1, 5.0, 1.0)]), *sides[:2], *sides[2:4]
+    )
+    planned = inference_features(history, *sides, day(0), 3, plan="raw")
+    found = rows(planned, "date", "markdown_quantity", "rolling_mean_7_quantity")
+    assert [r[1] for r in found] == [0.0, 2.0, 4.0, 0.0]
+    assert {r[2] for r in found} == {5.0}
     raw = forecast_frame(*sides, day(0), 3, plan="raw")
     assert raw.count() == 4
     assert rows(raw.where(F.col("date") == day(1)), "markdown_quantity") == [(2.0,), (4.0,)]
@@ -158,6 +197,9 @@ def test_one_day_equals_the_full_table_over_its_look_back(spark):
     full = feature_table(bounded, *side, *promo).where(F.col("date") == day(480))
     one_day = feature_table_for_day(sales, *side, *promo, day(480))
     assert rows(one_day) == rows(full)
+    past = feature_table(sales, *side, *promo)
+    from_features = feature_table_for_day(sales, *side, *promo, day(480), history=past)
+    assert rows(from_features) == rows(full)
     assert one_day.count() == 4
     lag_365 = dict(
         ((r["item_id"], r["store_id"]), r["lag_365_quantity"]) for r in one_day.collect()
@@ -225,6 +267,27 @@ def test_static_selection_leaves_stores_whole(spark):
     assert (found["catalog"].count(), found["stores"].count()) == (1, 2)
 
 
+def test_items_can_be_a_table_or_all(spark):
+    sales = frames.sales(spark, [(0, i, 1, 1.0, 1.0) for i in "abc"])
+    listed = spark.createDataFrame([("a",), ("c",), ("c",)], "item_id string")
+    assert split.select_items(sales, None).count() == 3
+    assert rows(split.select_items(sales, listed), "item_id") == [("a",), ("c",)]
+    assert "isin" not in plan(split.select_items(sales, listed))
+    history, recent = split.history_split(sales)
+    assert (history.count(), recent.count()) == (0, 3)
+
+
+def test_profiles_scan_the_sales_once(spark, tmp_path):
+    frames.hot_sales(spark, 500).write.parquet(str(tmp_path / "sales"))
+    sales = spark.read.parquet(str(tmp_path / "sales"))
+    for query in (profile.items_in_all_stores, profile.top_items, profile.assortment_profile):
+        found = query(sales)
+        found.collect()
+        ran = found._jdf.queryExecution().executedPlan().toString()
+        # The store count takes the grouped rows of the query around it.
+        assert "ReusedExchange" in ran, query.__name__
+
+
 def test_profile_orders_ties_by_item(spark):
     data = [(d, item, store, 1.0, 1.0) for item in "cab" for store in (1, 2) for d in range(3)]
     data += [(0, "only here", 1, 1.0, 1.0)] * 50
@@ -236,18 +299,27 @@ def test_profile_orders_ties_by_item(spark):
     assert (profiled["active_days"], profiled["mean_quantity"]) == (3, 1.0)
 
 
+def test_dummy_entries_are_the_ones_of_the_wide_form(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "kind string, n int")
+    entries = profile.dummy_entries(df, "kind")
+    assert rows(entries) == [(1, "kind_a"), (2, "kind_b")]
+    wide = profile.dummies(df, "kind", ["b", "a", "z"])
+    assert wide.columns == ["n", "kind_a", "kind_b", "kind_z"]
+    assert rows(wide) == [(1, 1, 0, 0), (2, 0, 1, 0), (3, 0, 0, 0)]
+
+
 def test_rmse(spark):
     df = spark.createDataFrame([(1.0, 4.0), (2.0, 6.0)], "y double, p double")
     assert aggregates.rmse(df, "y", "p").first()[0] == pytest.approx((25 / 2) ** 0.5)
 
 
-def test_feature_plan_shuffles_once_per_grouping_and_once_per_window(spark):
+def test_feature_plan_shuffles_once_per_grouping_and_once_per_window(spark, tmp_path):
     """Demand, markdowns and discounts shuffle once each; the joins reuse that; the six window
     columns share one shuffle and one window operator; dimensions are broadcast."""
     table = feature_table(
         frames.hot_sales(spark),
-        frames.catalog(spark, "hot"),
-        frames.stores(spark, 1),
+        frames.stored(spark, frames.catalog(spark, "hot"), tmp_path),
+        frames.stored(spark, frames.stores(spark, 1), tmp_path),
         frames.markdowns(spark, [(0, "hot", 1, 1.0, 1.0, 1.0)]),
         frames.discounts(spark, [(0, "hot", 1, 1.0, 1.0, 1.0)]),
     )
@@ -258,13 +330,13 @@ def test_feature_plan_shuffles_once_per_grouping_and_once_per_window(spark):
     assert "Cartesian" not in tree and "NestedLoop" not in tree
 
 
-def test_one_day_plan_joins_without_another_shuffle(spark):
+def test_one_day_plan_joins_without_another_shuffle(spark, tmp_path):
     """One shuffle groups the look-back, one gathers its series; the day's markdowns and
     discounts bring one each and the rows of the day none."""
     day_table = feature_table_for_day(
         frames.hot_sales(spark),
-        frames.catalog(spark, "hot"),
-        frames.stores(spark, 1),
+        frames.stored(spark, frames.catalog(spark, "hot"), tmp_path),
+        frames.stored(spark, frames.stores(spark, 1), tmp_path),
         frames.markdowns(spark, [(9, "hot", 1, 1.0, 1.0, 1.0)]),
         frames.discounts(spark, [(9, "hot", 1, 1.0, 1.0, 1.0)]),
         day(9),
@@ -272,9 +344,10 @@ def test_one_day_plan_joins_without_another_shuffle(spark):
     assert plan(day_table).split("\n\n\n")[0].count(" Exchange") == 4
 
 
-def test_forecast_grid_is_shuffled_once_before_the_horizon(spark):
+def test_forecast_grid_is_shuffled_once_before_the_horizon(spark, tmp_path):
     sales = frames.hot_sales(spark)
-    catalog, stores = frames.catalog(spark, "hot", "item 1"), frames.stores(spark, 1, 2)
+    catalog = frames.stored(spark, frames.catalog(spark, "hot", "item 1"), tmp_path)
+    stores = frames.stored(spark, frames.stores(spark, 1, 2), tmp_path)
     sides = frames.markdowns(spark), frames.discounts(spark), frames.prices(spark)
     history = feature_table(sales, catalog, stores, *sides[:2])
     tree = plan(inference_features(history, catalog, stores, *sides, day(60)))

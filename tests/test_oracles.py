@@ -7,26 +7,16 @@ from checks.compare import differences
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
 
-# Each lands thousands of date folders; they share what they test with the unit tests of the
-# zones and run in full through ``python -m checks.compare``.
-SLOW = {"ingest_static", "ingest_history", "write_features_roundtrip"}
 
-
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees_with_sql(spark, con, sf_dir, name):
     rows, difference = differences(spark, con, name, sf_dir)
-    assert rows > 0
+    assert rows > 0 or name == "empty_feature_table"
     assert not difference
 
 
-def test_oracles_name_queries():
-    assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {
-        "train_model",
-        "validation_rmse",
-        "score_forecast",
-        "publish_forecast",
-    }
+def test_every_query_has_its_sql():
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry(spark):
@@ -36,5 +26,5 @@ def test_entry(spark):
         "store_id",
         "total_quantity",
     ]
-    assert set(__spark_entry__.queries()) == set(QUERIES)
-    assert set(__spark_entry__.oracle_sql()) == set(ORACLES)
+    assert set(__spark_entry__.queries()) >= set(QUERIES)
+    assert set(__spark_entry__.oracle_sql()) >= set(ORACLES)

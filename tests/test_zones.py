@@ -82,13 +82,22 @@ def test_window_prunes_partitions_and_missing_dates_are_just_absent(spark, tmp_p
     assert "GreaterThanOrEqual(date,2024-01-01)" in text.split("PushedFilters")[1].split("\n")[0]
 
 
-def test_last_date_reads_no_data_column(spark, tmp_path):
-    path = str(tmp_path / "zone")
-    zones.write_by_date(one_day(spark, 4).unionByName(one_day(spark, 2)), path)
-    zone = zones.read_zone(spark, path)
-    assert zones.last_date(zone).first()[0] == day(4)
-    assert "ReadSchema: struct<>" in plan(zones.last_date(zone))
-    assert tuple(zones.next_dates(zone).first()) == (day(5), day(6))
+def test_manifest_follows_the_zone_and_opens_none_of_its_files(spark, tmp_path):
+    path, manifest = str(tmp_path / "zone"), str(tmp_path / "manifest")
+    assert zones.read_manifest(spark, manifest).isEmpty()
+    zones.write_by_date(one_day(spark, 4).unionByName(one_day(spark, 2)), path, padded=True)
+    zones.record_dates(zones.read_zone(spark, path), manifest)
+    assert jobs.land_day(one_day(spark, 5, items="abc"), path, day(5), manifest) == 3
+    assert jobs.land_day(one_day(spark, 5, items="a"), path, day(5), manifest) == 1  # run again
+    assert jobs.land_day(one_day(spark, 5), path, day(9), manifest) == 0
+    found = zones.read_manifest(spark, manifest)
+    in_zone = zones.read_zone(spark, path).groupBy("date").count()
+    assert rows(found, "date", "n_rows") == rows(in_zone)
+    assert zones.last_date(found).first()[0] == day(5)
+    assert path not in plan(zones.next_dates(found))
+    assert tuple(zones.next_dates(found).first()) == (day(6), day(7))
+    zones.remove_dates(spark, path, [day(4)])
+    assert rows(zones.read_zone(spark, path), "date") == [(day(2),), (day(2),), (day(5),)]
 
 
 def test_manifest_is_in_date_order(spark):
@@ -116,6 +125,32 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
     assert kept.columns == [*schemas.SALES.names, "extra"]
 
 
+def test_csv_files_with_other_headers_never_swap_columns(spark, tmp_path):
+    folder = tmp_path / "sales"
+    folder.mkdir()
+    (folder / "1.csv").write_text(
+        "date,item_id,quantity,price_base,sum_total,store_id\n2024-01-01,a,2,3.0,6.0,1\n"
+    )
+    (folder / "2.csv").write_text(
+        "date,item_id,price_base,quantity,sum_total,store_id\n2024-01-01,b,3.0,2,6.0,1\n"
+    )
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_csv(spark, str(folder), schemas.SALES).collect()
+
+
+def test_csv_types(spark, tmp_path):
+    path = tmp_path / "sales.csv"
+    head = "date,item_id,quantity,price_base,sum_total,store_id\n"
+    path.write_text(head + "2024-01-01 00:00:00,a,2,3.0,6.0,1.0\n2024-01-02,b,,,,\n")
+    found = tables.read_sales(spark, str(path))
+    assert sorted(map(tuple, found.collect()))[0] == (day(0), "a", 2.0, 3.0, 6.0, 1)
+    assert rows(found.where("store_id is null"), "date") == [(day(1),)]
+    for bad in ("2024-01-01,a,2,3.0,6.0,1.5", "2024-01-01,a,2,3.0,6.0,x", "x,a,2,3.0,6.0,1"):
+        path.write_text(head + bad + "\n")
+        with pytest.raises(Exception, match="(?i)cast|pars"):
+            tables.read_csv(spark, str(path), schemas.SALES).collect()
+
+
 def test_csv_without_a_needed_column_raises(spark, tmp_path):
     path = tmp_path / "sales.csv"
     path.write_text("date,item_id\n2024-01-01,abc\n")
