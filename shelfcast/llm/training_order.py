@@ -7,6 +7,8 @@ import hashlib
 import json
 import re
 import uuid
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,9 +22,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.common import one_text, shared_path
 
-_UNEVEN = re.compile(r"^ | \s|\s | $")
-_CACHE_MOST = 300_000
-_encoders: dict[str, tuple[tiktoken.Encoding, dict[str, list[int]]]] = {}
+_OTHER_BLANK = re.compile(r"[^\S ]")
+_encoders: dict[str, tuple[tiktoken.Encoding, np.ndarray]] = {}
 
 
 @dataclass(frozen=True)
@@ -87,33 +88,63 @@ def _encoder(layout: Layout):
         made = tiktoken.Encoding(
             "ids", pat_str=layout.pattern, mergeable_ranks=ranks, special_tokens={}
         )
-        _encoders[layout.ranks] = (made, {})
+        begins = np.zeros(1 << 16, dtype=bool)  # whether an id begins with a blank
+        begins[[i for piece, i in ranks.items() if piece[:1] == b" "]] = True
+        _encoders[layout.ranks] = (made, begins)
     return _encoders[layout.ranks]
 
 
+def _single_blanks(text: str) -> bool:
+    """Whether each blank of a text stands by itself between two characters that are none."""
+    if text[0] == " " or text[-1] == " " or "  " in text:
+        return False
+    padded = f"x{text}x"
+    found = (m.start() for m in _OTHER_BLANK.finditer(padded))
+    return all(padded[i - 1] != " " and padded[i + 1] != " " for i in found)
+
+
 def token_ids(text: str, layout: Layout) -> np.ndarray:
-    """Ids of a whole text. Single blanks between other characters always begin a token, so
-    such texts are cut there and words met before come from a bounded cache."""
-    encoder, known = _encoder(layout)
-    if _UNEVEN.search(text):
-        return np.array(encoder.encode_ordinary(text), dtype=np.uint16)
-    words = text.split(" ")
-    first = encoder.encode_ordinary(words[0])
-    rest = words[1:]
-    if len(known) > _CACHE_MOST:
-        known.clear()
-    for word in {w for w in rest if w not in known}:
-        known[word] = np.array(encoder.encode_ordinary(f" {word}"), dtype=np.uint16).tobytes()
-    return np.frombuffer(
-        np.array(first, np.uint16).tobytes() + b"".join(map(known.__getitem__, rest)), np.uint16
-    )
+    encoder, _ = _encoder(layout)
+    return np.frombuffer(array("H", encoder.encode_ordinary(text)), np.uint16)
+
+
+def count_ids(texts: Iterator[str], layout: Layout, most: int = 600_000) -> int:
+    """Number of ids of all texts. Single blanks between other characters always begin a token,
+    so such texts are cut there and each distinct word is encoded once for up to ``most``."""
+    encoder, begins = _encoder(layout)
+    total, words = 0, Counter()
+
+    def counted() -> int:
+        if not words:
+            return 0
+        ids = encoder.encode_ordinary(f" {' '.join(words)}")
+        starts = np.flatnonzero(begins[ids])
+        return int(np.diff(starts, append=len(ids)) @ np.fromiter(words.values(), np.int64))
+
+    for text in texts:
+        if not _single_blanks(text):
+            total += len(encoder.encode_ordinary(text))
+            continue
+        first, *rest = text.split(" ")
+        total += len(encoder.encode_ordinary(first))
+        words.update(rest)
+        if len(words) > most:
+            total += counted()
+            words.clear()
+    return total + counted()
 
 
 def _counter(layout: Layout):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = 0
-        for batch in batches:
-            total += sum(len(token_ids(t, layout)) + 1 for t in batch["text"])
+        n = 0
+
+        def texts() -> Iterator[str]:
+            nonlocal n
+            for batch in batches:
+                n += len(batch)
+                yield from batch["text"]
+
+        total = count_ids(texts(), layout) + n  # each text has an end
         part = TaskContext.get().partitionId()
         yield pd.DataFrame({"part": [part], "n": [-(-total // layout.length)]})
 
@@ -237,9 +268,9 @@ def materialise(
     texts = one_text(docs, id_col, text_col)
     texts = texts.withColumn("doc_id", F.col("doc_id").cast("long"))
     texts = texts.where(F.col("text") != "")
-    rows = texts.mapInPandas(_counter(layout), "part int, n long").orderBy("part").collect()
+    rows = texts.mapInPandas(_counter(layout), "part int, n long").collect()
     counts, offsets, n = {}, {}, 0
-    for row in rows:
+    for row in sorted(rows):
         counts[row["part"]], offsets[row["part"]] = row["n"], n
         n += row["n"]
     files, base = pafs.FileSystem.from_uri(root if "://" in root or root[:5] == "file:" else f"file://{root}")
