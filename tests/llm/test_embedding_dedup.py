@@ -10,7 +10,9 @@ def brute(rows, threshold=0.95):
     vectors = {}
     for ident, v in rows:
         ok = v is not None and len(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
-        vectors[ident] = np.array(v) / np.linalg.norm(v) if ok and ident is not None else None
+        if ok:
+            v = np.array(v) / np.abs(v).max()
+        vectors[ident] = v / np.linalg.norm(v) if ok and ident is not None else None
     ids = [i for i in vectors if i is not None]
     near = {i: [j for j in ids if j != i and linked(vectors[i], vectors[j], threshold)] for i in ids}
     out = {}

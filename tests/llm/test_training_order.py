@@ -1,12 +1,13 @@
 import hashlib
 import os
+import random
 
 import numpy as np
 import pytest
 import tiktoken
 
 from shelfcast.llm.queries import LAYOUT
-from shelfcast.llm.training_order import Layout, _encoder, materialise, permute, read_slots, token_ids
+from shelfcast.llm.training_order import Layout, _encoder, count_ids, materialise, permute, read_slots, token_ids
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 5, 16, 17, 1000, 4097])
@@ -30,6 +31,18 @@ def test_token_ids(text):
     assert token_ids(text, LAYOUT).tolist() == encoder.encode_ordinary(text)
 
 
+def test_counts_agree_with_ids():
+    rng = random.Random(1)
+    parts = ["a", "the", " ", " ", " ", "  ", "\n", "é", "漢", "'s", "9", "\t", "\x1c", "\x85", "!?", "\u3000"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 14))) for _ in range(3_000)]
+    encoder = _encoder(LAYOUT)[0]
+    want = [len(encoder.encode_ordinary(t)) for t in texts]
+    assert [count_ids([t], LAYOUT) for t in texts] == want
+    for most in (0, 7, 600_000):
+        assert count_ids(texts, LAYOUT, most) == sum(want)
+    assert count_ids([], LAYOUT) == 0
+
+
 def layout(**changes):
     return Layout(**(LAYOUT.__dict__ | {"length": 8, "shard_slots": 4} | changes))
 
