@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import crc_mod, shared_path, table
+from shelfcast.llm.common import crc_mod, shared_path, ship_package, table
 from shelfcast.llm.decontaminate import scan_columns
 from shelfcast.llm.line_dedup import dedup_lines
 from shelfcast.llm.quality import Ftrl, fit_quality, score_column
@@ -14,6 +16,15 @@ from shelfcast.llm.sentencepiece_table import encode_documents
 from shelfcast.llm.simhash import simhash_components
 
 
+def _stage(f):
+    @functools.wraps(f)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return f(spark, docs, sf_dir)
+
+    return run
+
+
 def _with_text(docs: DataFrame, text) -> DataFrame:
     """The columns of ``docs`` in their order, with another text and its length."""
     changed = docs.withColumn("text", text)
@@ -22,6 +33,7 @@ def _with_text(docs: DataFrame, text) -> DataFrame:
     return changed
 
 
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.3 or more. Learnt as in the query, from rows that it does not hold out."""
     params = Ftrl()
@@ -30,6 +42,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(score_column(docs, F.col("text"), weights, params.bits) >= 0.3)
 
 
+@_stage
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that others repeat. None goes, even if no line is left."""
     found = dedup_lines(docs)
@@ -37,6 +50,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_text(found, text).drop("deduped")
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group; one row of those with that id. Rows
     without an id stay."""
@@ -46,12 +60,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return one.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
+@_stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     found = scan_columns(docs, table(spark, sf_dir, "benchmark"))
     return found.where(F.size("contamination.hit") == 0).drop("contamination")
 
 
+@_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, with digests of them and of what they decode to."""
     return encode_documents(docs, PIECES, ("n_tokens", "ids", "ids_sha256", "decoded_sha256"))

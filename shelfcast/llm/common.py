@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local["):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="llm-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -31,6 +35,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this library to the executors, once for each application, for sessions that were
+    started without it in their ``--py-files``."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parent.parent
+        folder = tempfile.mkdtemp(prefix="llm-code-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = shutil.make_archive(f"{folder}/{root.name}", "zip", root.parent, root.name)
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that nothing reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import crc_mod, table
+from shelfcast.llm.common import crc_mod, ship_package, table
 from shelfcast.llm.decontaminate import scan_columns
 from shelfcast.llm.embedding_dedup import embedding_links
 from shelfcast.llm.language import fit_languages, language_column
@@ -147,8 +149,17 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+def _query(f):
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return f(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
-    f.__name__: f
+    f.__name__: _query(f)
     for f in (
         op1_warc_derivatives,
         op2_line_dedup,
