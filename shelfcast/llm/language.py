@@ -24,6 +24,7 @@ class Centroids:
     orders: tuple[int, ...] = (1, 2, 3)
     clusters: int = 4
     rounds: int = 8
+    share: float = 0.02  # of a language's texts, that a cluster has at least
     sample: int = 1_500  # documents clustered for each language, those least by hash of their id
     quantile: float = 0.001  # of the sample's own cosines, below which a text is rejected
 
@@ -79,23 +80,28 @@ def unit(found: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def cluster(vectors: np.ndarray, params: Centroids) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means from rows far apart: centroids, and each one's least cosine."""
-    chosen = [0]
-    nearest = vectors @ vectors[0]
-    while len(chosen) < min(params.clusters, len(vectors)):
-        far = int(np.argmin(nearest))
-        if nearest[far] > 1 - 1e-9:
-            break
-        chosen.append(far)
-        nearest = np.maximum(nearest, vectors @ vectors[far])
-    centroids = vectors[chosen].astype(np.float64)
-    for _ in range(params.rounds):
+    """Spherical k-means: centroids, and each one's least cosine. It starts from rows at even
+    steps of the distance from the mean, not from the farthest rows, which may carry the wrong
+    language. Clusters that hold less than ``share`` of the rows are given up, and the rest go
+    on without them."""
+    mean = vectors.sum(axis=0, dtype=np.float64)
+    order = np.argsort(vectors @ mean, kind="stable")
+    steps = (np.arange(params.clusters) + 0.5) / params.clusters * len(vectors)
+    centroids = np.unique(vectors[order[steps.astype(int)]], axis=0).astype(np.float64)
+    left = params.rounds
+    while left:
         owner = np.argmax(vectors @ centroids.T, axis=1)
         for k in range(len(centroids)):
             mine = vectors[owner == k]
             if len(mine):
                 mean = mine.sum(axis=0, dtype=np.float64)
                 centroids[k] = mean / (np.linalg.norm(mean) or 1.0)
+        left -= 1
+        if not left:
+            held = np.bincount(np.argmax(vectors @ centroids.T, axis=1), minlength=len(centroids))
+            large = held >= params.share * len(vectors)
+            if not large.all():
+                centroids, left = centroids[large], params.rounds
     cosines = vectors @ centroids.T
     owner, best = np.argmax(cosines, axis=1), cosines.max(axis=1)
     floor = float(np.quantile(best, params.quantile))
