@@ -69,6 +69,14 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def hashed_share(key: Column, wanted: int, n: int) -> Column:
+    """Whether a row is in a share of the rows, told by the hash of its key, that holds some
+    four times the rows wanted of n; all rows if there are few. Taking the least hashes of such a
+    share instead of the whole table bounds what meets in one task."""
+    share = min(1.0, 4 * wanted / n) if n else 1.0
+    return F.pmod(F.xxhash64(key, F.lit(1)), F.lit(1 << 31)) < int(share * (1 << 31))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

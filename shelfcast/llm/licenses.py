@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import UPPER
+from shelfcast.llm.common import UPPER, hashed_share
 
 # Sentences by which licences are named or granted, by family.
 TEMPLATES = {
@@ -238,14 +238,15 @@ def fit_rows(unknown: list[str], params: Scan) -> LicenseModel:
 
 
 def fit_licenses(docs: DataFrame, text_col: str = "text", params: Scan = Scan()) -> LicenseModel:
-    """The model for a corpus. Of it, at most ``sample`` distinct paragraphs are learnt from;
-    they are fitted in one task, and the weights come to the driver (2 ** bits rows)."""
-    paragraphs = docs.select(F.explode(F.split(F.col(f"`{text_col}`"), "\n")).alias("p"))
-    paragraphs = paragraphs.where(F.length("p").between(12, 2_000))
+    """The model for a corpus. Of it, at most ``sample`` distinct paragraphs are learnt from, of
+    some 4 * sample texts; they are fitted in one task, and the weights come to the driver
+    (2 ** bits rows). A corpus without paragraphs gives a model to which all are unknown."""
+    texts = docs.select(F.col(f"`{text_col}`").alias("text"))
+    texts = texts.where(hashed_share(F.col("text"), params.sample, docs.count()))
+    paragraphs = texts.select(F.explode(F.split("text", "\n")).alias("p"))
+    paragraphs = paragraphs.where(F.length("p").between(12, 2_000)).distinct()
     ranked = paragraphs.select("p", F.xxhash64("p").alias("rank"))
-    # The least hashes of all; equal paragraphs lie together, so few ranks are lost to them.
-    share = ranked.orderBy("rank", "p").limit(4 * params.sample).distinct()
-    chosen = share.orderBy("rank", "p").limit(params.sample)
+    chosen = ranked.orderBy("rank", "p").limit(params.sample)
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = fit_rows([p for b in batches for p in b["p"]], params)
