@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.common import hashed_share
+
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 SCALE = 10.0  # shares are small; this brings them near the intercept's 1
 _CACHE_MOST = 400_000
@@ -123,6 +125,7 @@ def labelled_sample(
     ).where(F.col("id").isNotNull() & F.col("label").isin(0, 1))
     if usable is not None:
         rows = rows.where(usable)
+    rows = rows.where(hashed_share(F.col("id"), most, rows.count()))
     rows = rows.groupBy("id").agg(F.min("label").alias("label"))
     rows = rows.withColumn("rank", F.xxhash64("id")).orderBy("rank", "id").limit(most)
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
