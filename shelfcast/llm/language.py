@@ -12,7 +12,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.common import written
+
 UNDETERMINED = "und"
+BROADCAST_ROWS = 200_000
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -165,10 +168,19 @@ def fit_languages(
         )
 
     rows = rows.where(F.col("text").isNotNull())
-    ranked = rows.select("id", "lang", F.xxhash64("id", "lang").alias("rank"))
-    # A bounded number of ids for each language: the window keeps no more in any task.
-    ranked = ranked.distinct().withColumn("place", F.expr("row_number() over (partition by lang order by rank, id)"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # A share of each language, so that the window below meets a bounded number of rows.
+    share = F.least(F.lit(1.0), F.lit(4.0 * params.sample) / F.col("n"))
+    place = F.pmod(F.xxhash64("id", "lang", F.lit(1)), F.lit(1 << 31))
+    ranked = rows.select("id", "lang").distinct().join(sizes, "lang")
+    ranked = ranked.where(place < share * (1 << 31))
+    ranked = ranked.withColumn("rank", F.xxhash64("id", "lang")).withColumn(
+        "place", F.expr("row_number() over (partition by lang order by rank, id)")
+    )
     chosen = ranked.where(F.col("place") <= params.sample).select("id", "lang", "rank")
+    chosen = written(chosen, "language-sample")
+    if chosen.count() <= BROADCAST_ROWS:  # that is, unless there are very many languages
+        chosen = F.broadcast(chosen)
     sample = rows.join(chosen, ["id", "lang"]).select("lang", "rank", "text")
     found = (
         sample.mapInPandas(vectors, "lang string, rank long, vector binary")
