@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import written
+from shelfcast.llm.common import hashed_share, written
 from shelfcast.llm.components import connected_components
 
 _log = logging.getLogger(__name__)
@@ -357,7 +357,8 @@ def audit_recall(vectors: DataFrame, counts: DataFrame, params: Descent) -> tupl
     comparing those with all vectors, and the number of such links. The queries are a bounded
     number; the work grows with the table alone."""
     spark = vectors.sparkSession
-    queries = vectors.select("id", "n", "full").orderBy(F.xxhash64("id"), "id").limit(params.audit)
+    share = vectors.where(hashed_share(F.col("id"), params.audit, vectors.count()))
+    queries = share.select("id", "n", "full").orderBy(F.xxhash64("id"), "id").limit(params.audit)
     rows = queries.collect()
     if not rows:
         return 1.0, 0
