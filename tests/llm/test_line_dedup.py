@@ -99,5 +99,6 @@ def test_runs_compact_and_leave_settled_keys_out(spark):
     assert [len(level) for level in runs.levels] == [1, 1]
     (row,) = runs.repeated().collect()
     assert row["max_id"] == 9
-    plan = runs.runs()[0].join(runs.runs()[1], HASH)._jdf.queryExecution().toString()
-    assert "Bucketed: true" in plan
+    joined = runs.runs()[0].hint("merge").join(runs.runs()[1], HASH)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
