@@ -8,10 +8,10 @@ from functools import reduce
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import UPPER
+from shelfcast.llm.common import UPPER, written
 
 # A word is a run of anything but the ASCII characters that are neither letter
 # nor digit; A-Z count as a-z.
@@ -40,6 +40,31 @@ def item_windows(text: str | None, size: int) -> list[str]:
     return [f" {' '.join(words[i : i + size])} " for i in range(last)]
 
 
+def hit_spans(text: str, places: list[int]) -> list[tuple[int, int]]:
+    """Spans in the original text of the words at some places, in order; words that follow each
+    other share one."""
+    spans: list[tuple[int, int]] = []
+    last, wanted = -2, set(places)
+    for at, word in enumerate(WORD.finditer(text)):
+        if at in wanted:
+            if at == last + 1:
+                spans[-1] = (spans[-1][0], word.end())
+            else:
+                spans.append(word.span())
+            last = at
+    return spans
+
+
+def _joined_spans(text: Column, places: Column) -> Column:
+    @F.pandas_udf("array<struct<start:long,stop:long>>")
+    def of(texts: pd.Series, places: pd.Series) -> pd.Series:
+        rows = zip(texts, places, strict=True)
+        found = (hit_spans(t, list(p)) if len(p) else [] for t, p in rows)
+        return pd.Series([[{"start": a, "stop": b} for a, b in f] for f in found], dtype="object")
+
+    return of(text, places)
+
+
 class WindowScanner:
     """The automaton over the windows of many items. Windows end and begin in a space, so
     they match whole words only, and several items may own one window."""
@@ -72,17 +97,7 @@ class WindowScanner:
         if not hit:
             return n_words, [], [], []
         places = sorted(hit)
-        spans: list[tuple[int, int]] = []
-        last = -2
-        wanted = set(places)
-        for at, word in enumerate(WORD.finditer(text)):
-            if at in wanted:
-                if at == last + 1:
-                    spans[-1] = (spans[-1][0], word.end())
-                else:
-                    spans.append(word.span())
-                last = at
-        return n_words, places, sorted(items), spans
+        return n_words, places, sorted(items), hit_spans(text, places)
 
 
 def _slices(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> list[DataFrame]:
@@ -128,29 +143,37 @@ def scan_columns(
     inside any window of an item), items (ids, sorted), spans (of hits in the original text).
 
     A benchmark of up to ``slice_chars`` characters is one automaton, and documents are scanned
-    once. A larger one is cut into slices of about that size, each an automaton that replaces
-    the one before; hits of all slices are joined. So what is broadcast at once is bounded, and
-    no item is left out. Null and empty texts have no words; a null item id or text is no
-    item; an empty benchmark finds nothing. A column named ``name`` already is replaced.
+    once. A larger one is cut into slices of about that size. Each is a scan of its own, whose
+    result is written before the next automaton takes its place; hits of all slices are joined.
+    So what is broadcast at once is bounded, and no item is left out.
+
+    Null and empty texts have no words; a null item id or text is no item; an empty benchmark
+    finds nothing. A column named ``name`` already is replaced.
     """
     spark = docs.sparkSession
     work, parts = docs.drop(name), []
     base = work.columns
-    for n, items in enumerate(_slices(benchmark, item_col, item_text_col, slice_chars)):
+    slices = _slices(benchmark, item_col, item_text_col, slice_chars)
+    for n, items in enumerate(slices):
         rows = [(r["item"], r["text"]) for r in items.toLocalIterator()]
         shared = spark.sparkContext.broadcast(rows)
 
         parts.append(f"{name}__{n}")
         work = work.withColumn(parts[-1], _scanner(shared, size)(F.col(f"`{text_col}`")))
+        if len(slices) > 1:
+            work = written(work, "scanned")
+            shared.unpersist()
     if len(parts) == 1:
         return work.withColumnRenamed(parts[0], name)
     union = {
         field: F.array_sort(reduce(F.array_union, [F.col(f"`{p}`.{field}") for p in parts]))
-        for field in ("hit", "items", "spans")
+        for field in ("hit", "items")
     }
     found = F.struct(
         F.col(f"`{parts[0]}`.n_words").alias("n_words"),
-        *[column.alias(field) for field, column in union.items()],
+        union["hit"].alias("hit"),
+        union["items"].alias("items"),
+        _joined_spans(F.col(f"`{text_col}`"), union["hit"]).alias("spans"),
     )
     return work.select(*[F.col(f"`{c}`") for c in base], found.alias(name))
 
