@@ -66,6 +66,9 @@ def test_slices_and_rows(spark, docs_of):
         rows = {r.doc_id: r.contamination for r in found.collect()}
         assert {i: (rows[i].n_words, rows[i].hit, rows[i].items) for i in want} == want
         assert rows[len(docs) - 1].n_words == 40_000
+        for i in want:
+            inside = [w for s in rows[i].spans for w in words(docs[i][s.start : s.stop])]
+            assert inside == [words(docs[i])[k] for k in rows[i].hit]
 
 
 def test_empty_tables(spark, docs_of):
