@@ -219,50 +219,79 @@ _DDL = {
 }
 
 
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length says, one run after another."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
+class _Table:
+    """Ids of the distinct chunks of one block, by place."""
+
+    def __init__(self, parts: pa.Table, mark: int):
+        if any(m != mark for m in parts["mark"].to_pylist()):
+            raise RuntimeError("the documents changed between two readings")
+        columns = [
+            [kind(unpacked(blob.as_py())) for blob in parts[name]]
+            for name, kind in (
+                ("places", unvarint),
+                ("lengths", unvarint),
+                ("ids", lambda data: np.frombuffer(data, np.uint16)),
+            )
+        ]
+        places, lengths, ids = (np.concatenate(c) if c else np.empty(0, np.int64) for c in columns)
+        self.lengths = np.zeros(len(places), dtype=np.int64)
+        self.lengths[places] = lengths
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.zeros(len(ids), dtype=np.uint16)
+        self.flat[_spread(self.starts[places], lengths)] = ids
+
+    def ids(self, places: np.ndarray) -> np.ndarray:
+        return self.flat[_spread(self.starts[places], self.lengths[places])]
+
+    def each(self, make, step: int = 20_000) -> list[str]:
+        """``make`` of the ids of some chunks at a time, for all chunks."""
+        out: list[str] = []
+        for at in range(0, len(self.lengths), step):
+            ends = (self.starts + self.lengths)[at : at + step].tolist()
+            starts = self.starts[at : at + step].tolist()
+            out += make([self.flat[a:b].tolist() for a, b in zip(starts, ends, strict=True)])
+        return out
+
+
 def _joiner(model: str, want: tuple[str, ...]):
     schema = pa.schema([("doc_id", pa.int64()), *[(w, FIELDS[w]) for w in want]])
 
+    def digests(words: list[str], between: str, docs: list[np.ndarray]) -> list[str]:
+        joined = (between.join(map(words.__getitem__, d.tolist())) for d in docs)
+        return [hashlib.sha256(text.encode()).hexdigest() for text in joined]
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        columns: dict[str, list] = {name: [] for name in schema.names}
+        tables = []
         for row in left.to_pylist():
-            pieces: list[list[int]] = []
-            own: list[np.ndarray] = []
-            for found in right.to_pylist():
-                if found["mark"] != row["mark"]:
-                    raise RuntimeError("the documents changed between two readings")
-                lengths = unvarint(unpacked(found["lengths"]))
-                ids = np.frombuffer(unpacked(found["ids"]), np.uint16)
-                own.append(unvarint(unpacked(found["places"])))
-                pieces += [p.tolist() for p in np.split(ids, np.cumsum(lengths)[:-1])]
-            place = np.concatenate(own) if own else np.empty(0, np.int64)
-            size = len(place)
-            table: list[list[int]] = [[]] * size
-            for at, ids in zip(place.tolist(), pieces, strict=True):
-                table[at] = ids
-            del pieces
-            lengths = np.fromiter(map(len, table), np.int64, size)
-            written = [",".join(map(str, ids)) for ids in table] if "ids_sha256" in want else []
-            texts = processor(model).decode(table, num_threads=1) if {"decoded", "decoded_sha256"} & {*want} and table else []
-            places, at = unvarint(unpacked(row["places"])), 0
-            for ident, n in zip(row["ids"], unvarint(row["counts"]).tolist(), strict=True):
-                mine = places[at : at + n]
-                at += n
-                columns["doc_id"].append(ident)
-                if "n_tokens" in want:
-                    columns["n_tokens"].append(int(lengths[mine].sum()))
-                order = mine.tolist()
-                if "ids" in want:
-                    columns["ids"].append([i for k in order for i in table[k]])
-                if "ids_sha256" in want:
-                    joined = ",".join(map(written.__getitem__, order))
-                    columns["ids_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
-                if texts or "decoded" in want or "decoded_sha256" in want:
-                    text = " ".join(map(texts.__getitem__, order))
-                    if "decoded" in want:
-                        columns["decoded"].append(text)
-                    if "decoded_sha256" in want:
-                        columns["decoded_sha256"].append(hashlib.sha256(text.encode()).hexdigest())
-        return pa.table(columns, schema=schema)
+            table = _Table(right, row["mark"])
+            places = unvarint(unpacked(row["places"]))
+            ends = np.cumsum(unvarint(row["counts"]))
+            docs = np.split(places, ends[:-1])
+            columns: dict[str, object] = {"doc_id": pa.array(row["ids"], pa.int64())}
+            if "n_tokens" in want:
+                columns["n_tokens"] = [int(table.lengths[d].sum()) for d in docs]
+            if "ids" in want:
+                after = np.r_[0, np.cumsum(table.lengths[places])][np.r_[0, ends]]
+                values = pa.array(table.ids(places).astype(np.int32))
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(after.astype(np.int32)), values)
+            if "ids_sha256" in want:
+                words = table.each(lambda part: [",".join(map(str, ids)) for ids in part])
+                columns["ids_sha256"] = digests(words, ",", docs)
+            if {"decoded", "decoded_sha256"} & {*want}:
+                words = table.each(lambda part: processor(model).decode(part, num_threads=1))
+                if "decoded" in want:
+                    texts = (map(words.__getitem__, d.tolist()) for d in docs)
+                    columns["decoded"] = [" ".join(text) for text in texts]
+                if "decoded_sha256" in want:
+                    columns["decoded_sha256"] = digests(words, " ", docs)
+            tables.append(pa.table({f.name: columns[f.name] for f in schema}, schema=schema))
+        return pa.concat_tables(tables) if tables else schema.empty_table()
 
     return run
 
