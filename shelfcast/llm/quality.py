@@ -16,7 +16,7 @@ from shelfcast.llm.common import hashed_share
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 SCALE = 10.0  # shares are small; this brings them near the intercept's 1
-_CACHE_MOST = 400_000
+_CACHE_MOST = 200_000
 _cache: dict[str, int] = {}
 
 
@@ -171,5 +171,6 @@ def score_column(docs: DataFrame, text: Column, weights: np.ndarray, bits: int)
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series([score(t, shared.value, bits) for t in batch], dtype="float64")
+        _cache.clear()  # the worker may serve another stage next
 
     return of(text)
