@@ -86,7 +86,7 @@ FAMILIES = [UNKNOWN, *TEMPLATES]
 _TOKEN = re.compile(r"\w+|\n")
 _WORD = re.compile(r"\w+")
 _LOWER = str.maketrans(UPPER, UPPER.lower())
-_CACHE_MOST = 400_000
+_CACHE_MOST = 200_000
 _cache: dict[str, int] = {}
 
 
@@ -301,5 +301,6 @@ def license_column(docs: DataFrame, text: Column, model: LicenseModel) -> Column
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series([scan(t, shared.value) for t in batch], dtype="object")
+        _cache.clear()
 
     return of(text)
