@@ -43,22 +43,21 @@ def _by_item_and_store(sales: DataFrame) -> DataFrame:
 
 
 def _every_store(groups: DataFrame, *used: str):
-    """Number of stores in ``groups``, one row a store or more, as a scalar subquery. It names
-    the columns the query around it uses: then both are the same grouping of one scan, and
-    Spark works it out once."""
+    """Number of stores in ``groups``, one row a store or more, as a scalar subquery. It reads
+    the columns the query around it uses, in a test that always holds: then both are the same
+    grouping of one scan, and Spark works it out once."""
     real = F.col("n_rows") > 0
-    for column in used:
-        real &= F.coalesce(F.col(column) == F.col(column), F.lit(True))
+    if used:
+        real &= F.xxhash64(*used) >= F.lit(-(1 << 63))
     return groups.select(F.count_distinct(F.when(real, F.col("store_id")))).scalar()
 
 
 def items_in_all_stores(sales: DataFrame) -> DataFrame:
     """Items sold in every store that sells anything."""
     groups = _by_item_and_store(sales)
-    counted = groups.groupBy("item_id").agg(
-        F.count("store_id").alias("n_stores"), F.sum("n_rows").alias("n_rows")
-    )
-    return counted.where(F.col("n_stores") == _every_store(groups)).select("item_id", "n_stores")
+    sold = F.when(F.col("n_rows") > 0, F.col("store_id"))
+    counted = groups.groupBy("item_id").agg(F.count(sold).alias("n_stores"))
+    return counted.where(F.col("n_stores") == _every_store(groups))
 
 
 def assortment_profile(sales: DataFrame, top: int = TOP_ITEMS) -> DataFrame:
