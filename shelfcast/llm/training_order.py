@@ -4,16 +4,15 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import json
-import re
 import uuid
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import tiktoken
 from pyspark import TaskContext
@@ -22,7 +21,10 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.common import one_text, shared_path
 
-_OTHER_BLANK = re.compile(r"[^\S ]")
+# The characters that count as white space.
+_WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_UNEVEN = f"^ | $| {_WHITE}|{_WHITE} "
+_COUNT_BYTES = 16_000_000
 _encoders: dict[str, tuple[tiktoken.Encoding, np.ndarray]] = {}
 
 
@@ -94,59 +96,48 @@ def _encoder(layout: Layout):
     return _encoders[layout.ranks]
 
 
-def _single_blanks(text: str) -> bool:
-    """Whether each blank of a text stands by itself between two characters that are none."""
-    if text[0] == " " or text[-1] == " " or "  " in text:
-        return False
-    padded = f"x{text}x"
-    found = (m.start() for m in _OTHER_BLANK.finditer(padded))
-    return all(padded[i - 1] != " " and padded[i + 1] != " " for i in found)
-
-
 def token_ids(text: str, layout: Layout) -> np.ndarray:
     encoder, _ = _encoder(layout)
     return np.frombuffer(array("H", encoder.encode_ordinary(text)), np.uint16)
 
 
-def count_ids(texts: Iterator[str], layout: Layout, most: int = 600_000) -> int:
-    """Number of ids of all texts. Single blanks between other characters always begin a token,
-    so such texts are cut there and each distinct word is encoded once for up to ``most``."""
+def count_ids(texts: pa.Array, layout: Layout) -> int:
+    """Number of ids of all texts, none of which is empty or null. A blank that stands by itself
+    between two characters that are none always begins a token. Texts all of whose blanks do
+    so are cut there, and each distinct word is encoded once."""
     encoder, begins = _encoder(layout)
-    total, words = 0, Counter()
-
-    def counted() -> int:
-        if not words:
-            return 0
-        ids = encoder.encode_ordinary(f" {' '.join(words)}")
-        starts = np.flatnonzero(begins[ids])
-        return int(np.diff(starts, append=len(ids)) @ np.fromiter(words.values(), np.int64))
-
-    for text in texts:
-        if not _single_blanks(text):
-            total += len(encoder.encode_ordinary(text))
-            continue
-        first, *rest = text.split(" ")
-        total += len(encoder.encode_ordinary(first))
-        words.update(rest)
-        if len(words) > most:
-            total += counted()
-            words.clear()
-    return total + counted()
+    uneven = pc.match_substring_regex(texts, _UNEVEN)
+    total = sum(len(encoder.encode_ordinary(t.as_py())) for t in texts.filter(uneven))
+    lists = pc.split_pattern(texts.filter(pc.invert(uneven)), " ")
+    if not len(lists):
+        return total
+    words = lists.flatten()
+    first = np.zeros(len(words), dtype=bool)
+    first[np.asarray(lists.offsets)[:-1] - lists.offsets[0].as_py()] = True
+    total += sum(len(encoder.encode_ordinary(w.as_py())) for w in words.filter(pa.array(first)))
+    found = pc.value_counts(words.filter(pa.array(~first)))
+    if len(found):
+        listed = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), found.field("values"))
+        ids = encoder.encode_ordinary(f" {pc.binary_join(listed, ' ')[0].as_py()}")
+        lengths = np.diff(np.flatnonzero(begins[ids]), append=len(ids))
+        total += int(lengths @ np.asarray(found.field("counts")))
+    return total
 
 
 def _counter(layout: Layout):
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = 0
-
-        def texts() -> Iterator[str]:
-            nonlocal n
-            for batch in batches:
-                n += len(batch)
-                yield from batch["text"]
-
-        total = count_ids(texts(), layout) + n  # each text has an end
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for batch in batches:
+            texts = batch.column(0)
+            total += len(texts)  # each text has an end
+            part = np.cumsum(np.asarray(pc.binary_length(texts)), dtype=np.int64) // _COUNT_BYTES
+            cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(part)].tolist()
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                total += count_ids(texts.slice(a, b - a), layout) if b > a else 0
         part = TaskContext.get().partitionId()
-        yield pd.DataFrame({"part": [part], "n": [-(-total // layout.length)]})
+        yield pa.RecordBatch.from_pydict(
+            {"part": pa.array([part], pa.int32()), "n": pa.array([-(-total // layout.length)])}
+        )
 
     return count
 
@@ -219,7 +210,10 @@ def _writer(layout: Layout, root: str):
         def close() -> None:
             if sink is not None:
                 sink.close()
-                files.move(f"{base}/{name}", f"{base}/shard-{shard:08d}.bin")
+                whole = f"{base}/shard-{shard:08d}.bin"
+                if files.get_file_info(whole).type != pafs.FileType.NotFound:
+                    files.delete_file(whole)  # of an attempt that ended before its task did
+                files.move(f"{base}/{name}", whole)
 
         for batch in batches:
             for number, slot, ids in zip(batch["shard"], batch["slot"], batch["ids"], strict=True):
@@ -268,7 +262,7 @@ def materialise(
     texts = one_text(docs, id_col, text_col)
     texts = texts.withColumn("doc_id", F.col("doc_id").cast("long"))
     texts = texts.where(F.col("text") != "")
-    rows = texts.mapInPandas(_counter(layout), "part int, n long").collect()
+    rows = texts.select("text").mapInArrow(_counter(layout), "part int, n long").collect()
     counts, offsets, n = {}, {}, 0
     for row in sorted(rows):
         counts[row["part"]], offsets[row["part"]] = row["n"], n
@@ -309,8 +303,3 @@ def read_slots(root: str, layout: Layout, first: int, many: int) -> Iterator[np.
                     return
                 yield np.frombuffer(data, "<u2")
                 slot += 1
-
-
-def describe(layout: Layout) -> str:
-    """What a reader needs besides the shards, as JSON."""
-    return json.dumps(layout.__dict__ | {"stride": layout.stride, "dtype": "<u2"}, sort_keys=True)
