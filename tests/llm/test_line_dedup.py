@@ -1,9 +1,6 @@
-import hashlib
 import random
 from collections import defaultdict
 
-import pytest
-
 from shelfcast.llm.line_dedup import HASH, LineRuns, dedup_lines, line_hashes
 from pyspark.sql import functions as F
 

@@ -3,6 +3,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -33,14 +34,15 @@ def test_token_ids(text):
 
 def test_counts_agree_with_ids():
     rng = random.Random(1)
-    parts = ["a", "the", " ", " ", " ", "  ", "\n", "é", "漢", "'s", "9", "\t", "\x1c", "\x85", "!?", "\u3000"]
+    parts = ["a", "the", " ", " ", " ", "  ", "\n", "é", "漢", "'s", "9", "\t", "\x1c", "\x85", "!?", "\u3000", "\xa0", "\x0b"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 14))) for _ in range(3_000)]
     encoder = _encoder(LAYOUT)[0]
     want = [len(encoder.encode_ordinary(t)) for t in texts]
-    assert [count_ids([t], LAYOUT) for t in texts] == want
-    for most in (0, 7, 600_000):
-        assert count_ids(texts, LAYOUT, most) == sum(want)
-    assert count_ids([], LAYOUT) == 0
+    column = pa.array(texts)
+    assert [count_ids(column.slice(i, 1), LAYOUT) for i in range(len(texts))] == want
+    assert count_ids(column, LAYOUT) == sum(want)
+    assert count_ids(column.slice(7, 900), LAYOUT) == sum(want[7:907])
+    assert count_ids(column.slice(0, 0), LAYOUT) == 0
 
 
 def layout(**changes):
