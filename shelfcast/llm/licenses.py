@@ -251,7 +251,8 @@ def fit_licenses(docs: DataFrame, text_col: str = "text", params: Scan = Scan())
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = fit_rows([p for b in batches for p in b["p"]], params)
         at = np.flatnonzero(np.any(model.weights != 0, axis=1))
-        yield pd.DataFrame({"slot": np.r_[-1, at], "w": [np.array([model.temperature, model.least]), *model.weights[at]]})
+        setting = np.array([model.temperature, model.least])
+        yield pd.DataFrame({"slot": np.r_[-1, at], "w": [setting, *model.weights[at]]})
 
     weights, setting = np.zeros((1 << params.bits, len(FAMILIES))), (1.0, 0.5)
     one = chosen.repartition(1).sortWithinPartitions("rank", "p").select("p")
@@ -263,7 +264,10 @@ def fit_licenses(docs: DataFrame, text_col: str = "text", params: Scan = Scan())
     return LicenseModel(weights, *setting, params)
 
 
-FOUND = "array<struct<paragraph:long,family:string,probability:double,similarity:double,confirmed:boolean>>"
+FOUND = (
+    "array<struct<paragraph:long,family:string,probability:double,similarity:double,"
+    "confirmed:boolean>>"
+)
 
 
 def scan(text: str | None, model: LicenseModel) -> list[dict]:
