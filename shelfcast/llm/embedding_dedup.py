@@ -30,7 +30,7 @@ class Descent:
     margin: float = 0.01  # half precision is used in the search; links are verified in double
     audit: int = 256  # queries compared with every vector, those least by hash of their id
     recall: float = 0.99  # wanted of the audit; below it the search goes on with longer lists
-    widest: int = 32  # neighbours at most in such further searches
+    widest: int = 32  # neighbours at most in such further searches; after them all pairs are compared
     chunk: int = 1024  # vectors of a component compared at once
     seed: int = 17
 
@@ -67,19 +67,19 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["id", "n", "full", "half"])
 
 
-def _orders(params: Descent):
-    """(tree, code, place, id, half): each vector's place in each random order. The code is
-    made of signs of projections, the place within a code is one more projection."""
+def _orders(params: Descent, seed: int):
+    """(tree, code, place, id, component, half): each vector's place in each random order. The
+    code is made of signs of projections, the place within a code is one more projection."""
 
     def run(batches):
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
-            matrix = _matrix(batch.column(1), np.float16).astype(np.float32)
+            matrix = _matrix(batch.column(2), np.float16).astype(np.float32)
             for tree in range(params.tables):
                 if not len(matrix):
                     continue
                 if tree not in planes:
-                    rng = np.random.default_rng(params.seed + tree)
+                    rng = np.random.default_rng(seed + tree)
                     planes[tree] = rng.standard_normal((matrix.shape[1], 33)).astype(np.float32)
                 at = matrix @ planes[tree]
                 # Gray order: neighbouring codes differ in one sign.
@@ -93,17 +93,18 @@ def _orders(params: Descent):
                         pa.array(at[:, 32].astype(np.float32)),
                         batch.column(0),
                         batch.column(1),
+                        batch.column(2),
                     ],
-                    ["tree", "code", "place", "id", "half"],
+                    ["tree", "code", "place", "id", "component", "half"],
                 )
 
     return run
 
 
-def _best(ids: np.ndarray, matrix: np.ndarray, k: int, floor: np.ndarray | None = None):
-    """The k nearest of each row among the others, above ``floor``: (v, u, sim)."""
+def _best(ids: np.ndarray, part: np.ndarray, matrix: np.ndarray, k: int, floor: np.ndarray | None = None):
+    """The k nearest of each row among those of other components, above ``floor``: (v, u, sim)."""
     sims = matrix @ matrix.T
-    sims[ids[:, None] == ids[None, :]] = -2
+    sims[part[:, None] == part[None, :]] = -2
     k = min(k, len(ids) - 1)
     if k < 1:
         empty = np.empty(0, np.int64)
@@ -123,28 +124,29 @@ def _leaves(params: Descent, k: int):
         kept = None
         tree = None
 
-        def compare(ids, rows):
-            v, u, s = _best(ids, rows, k)
+        def compare(ids, part, rows):
+            v, u, s = _best(ids, part, rows, k)
             return pa.RecordBatch.from_arrays([pa.array(v), pa.array(u), pa.array(s)], schema=_EDGES)
 
         for batch in batches:
             trees = batch.column(0).to_numpy()
             ids = batch.column(1).to_numpy()
-            rows = _matrix(batch.column(2), np.float16).astype(np.float32)
+            part = batch.column(2).to_numpy()
+            rows = _matrix(batch.column(3), np.float16).astype(np.float32)
             for one in np.unique(trees):
                 mine = trees == one
                 if one != tree and kept is not None and len(kept[0]):
                     yield compare(*kept)
                     kept = None
                 tree = one
-                joined = (ids[mine], rows[mine])
+                joined = (ids[mine], part[mine], rows[mine])
                 if kept is not None:
                     joined = tuple(np.concatenate(pair) for pair in zip(kept, joined, strict=True))
                 at = 0
                 while len(joined[0]) - at >= params.leaf:
-                    yield compare(joined[0][at : at + params.leaf], joined[1][at : at + params.leaf])
+                    yield compare(*(x[at : at + params.leaf] for x in joined))
                     at += step
-                kept = (joined[0][at:], joined[1][at:])
+                kept = tuple(x[at:] for x in joined)
         if kept is not None and len(kept[0]):
             yield compare(*kept)
 
@@ -161,6 +163,7 @@ def _local_joins(params: Descent, k: int):
         def compare(rows: pa.Table):
             at = rows["node"].to_numpy()
             ids = rows["member"].to_numpy()
+            part = rows["component"].to_numpy()
             floor = rows["worst"].to_numpy()
             matrix = _matrix(rows["half"], np.float16).astype(np.float32)
             cuts = np.r_[0, np.flatnonzero(np.diff(at)) + 1, len(at)].tolist()
@@ -169,9 +172,9 @@ def _local_joins(params: Descent, k: int):
                 for i in range(a, b, params.leaf):
                     j = min(b, i + params.leaf)
                     if j - i > 1:
-                        out.append(_best(ids[i:j], matrix[i:j], k, floor[i:j]))
+                        out.append(_best(ids[i:j], part[i:j], matrix[i:j], k, floor[i:j]))
             if out:
-                v, u, s = (np.concatenate(part) for part in zip(*out, strict=True))
+                v, u, s = (np.concatenate(column) for column in zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(u), pa.array(s)], schema=_EDGES)
 
         for batch in batches:
@@ -200,20 +203,24 @@ def _nearest(edges: DataFrame, k: int) -> DataFrame:
     return ranked.where(F.col("rank") <= k).select("v", "u", "sim")
 
 
-def neighbour_graph(vectors: DataFrame, params: Descent, k: int) -> DataFrame:
-    """NN-descent over (id, half): a first graph from random orders, refined by comparing the
-    neighbours of each vector, in either direction, with each other until little changes.
-    Each round is written to the shared folder."""
-    plain = vectors.select("id", "half")
+def neighbour_graph(
+    vectors: DataFrame, params: Descent, k: int, seed: int, known: DataFrame | None = None
+) -> DataFrame:
+    """NN-descent over (id, component, half): a first graph from random orders, refined by
+    comparing the neighbours of each vector, in either direction, with each other until little
+    changes. Lists hold vectors of other components than their own; pairs ``known`` (v, u) are
+    gone along as well, so that a find spreads through a component. Each round is written to
+    the shared folder."""
+    plain = vectors.select("id", "component", "half")
     orders = plain.mapInArrow(
-        _orders(params), "tree int, code long, place float, id long, half binary"
+        _orders(params, seed), "tree int, code long, place float, id long, component long, half binary"
     )
     orders = written(orders, "orders")
     n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     leaves = orders.repartitionByRange(n, "tree", "code", "place").sortWithinPartitions(
         "tree", "code", "place", "id"
     )
-    found = leaves.select("tree", "id", "half").mapInArrow(
+    found = leaves.select("tree", "id", "component", "half").mapInArrow(
         _leaves(params, k), "v long, u long, sim float"
     )
     graph = written(_nearest(found, k), "neighbours")
@@ -224,14 +231,17 @@ def neighbour_graph(vectors: DataFrame, params: Descent, k: int) -> DataFrame:
             F.col("v").alias("id"),
             F.when(F.col("n") >= k, F.col("sim")).otherwise(F.lit(-1.5)).cast("float").alias("worst"),
         )
-        carried = plain.join(worst, "id")
-        pairs = graph.select(F.col("v").alias("node"), F.col("u").alias("member"))
-        back = graph.select(F.col("u").alias("node"), F.col("v").alias("member"))
-        own = worst.select(F.col("id").alias("node"), F.col("id").alias("member"))
+        carried = plain.join(worst, "id", "left").fillna(-1.5, "worst")
+        ways = graph.select("v", "u")
+        if known is not None:
+            ways = ways.unionByName(known)
+        pairs = ways.select(F.col("v").alias("node"), F.col("u").alias("member"))
+        back = ways.select(F.col("u").alias("node"), F.col("v").alias("member"))
+        own = plain.select(F.col("id").alias("node"), F.col("id").alias("member"))
         pairs = pairs.unionByName(back).distinct().unionByName(own)
         members = pairs.join(carried, pairs["member"] == carried["id"]).drop("id")
         grouped = members.repartition("node").sortWithinPartitions("node", "member")
-        nearer = grouped.select("node", "member", "worst", "half").mapInArrow(
+        nearer = grouped.select("node", "member", "component", "worst", "half").mapInArrow(
             _local_joins(params, k), "v long, u long, sim float"
         )
         new = written(_nearest(graph.unionByName(nearer), k), "neighbours")
@@ -335,6 +345,64 @@ def _link_counts(members: DataFrame, params: Descent) -> DataFrame:
     return counted.groupBy("id").agg(F.sum("linked").alias("linked"))
 
 
+def _crosser(params: Descent):
+    """Rows (i, j, side, id, component, full), sorted: for each pair of chunks, one link for
+    each two components that link there."""
+
+    def run(batches):
+        kept = None
+
+        def cross(rows: pa.Table):
+            side, ids, part = (rows[c].to_numpy() for c in ("side", "id", "component"))
+            matrix = _matrix(rows["full"], np.float64)
+            i, j = rows["i"].to_numpy(), rows["j"].to_numpy()
+            cuts = np.r_[0, np.flatnonzero((np.diff(i) != 0) | (np.diff(j) != 0)) + 1, len(ids)].tolist()
+            out = [np.empty((0, 2), np.int64)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                x = y = np.arange(a, b)
+                if i[a] != j[a]:
+                    x, y = a + np.flatnonzero(side[a:b] == 0), a + np.flatnonzero(side[a:b] == 1)
+                near = matrix[x] @ matrix[y].T >= params.threshold
+                one, two = np.nonzero(near & (part[x][:, None] != part[y][None, :]))
+                one, two = x[one], y[two]
+                _, first = np.unique(np.c_[part[one], part[two]], axis=0, return_index=True)
+                out.append(np.c_[ids[one[first]], ids[two[first]]])
+            v, u = np.concatenate(out).T
+            return pa.RecordBatch.from_arrays([pa.array(v), pa.array(u)], ["v", "u"])
+
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            kept = now if kept is None else pa.concat_tables([kept, now])
+            i, j = kept["i"].to_numpy(), kept["j"].to_numpy()
+            other = np.flatnonzero((i != i[-1]) | (j != j[-1])) if len(kept) else []
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield cross(kept.slice(0, cut))
+                kept = kept.slice(cut)
+        if kept is not None and len(kept):
+            yield cross(kept)
+
+    return run
+
+
+def links_between(vectors: DataFrame, params: Descent) -> DataFrame:
+    """(v, u): links between the components of (id, component, full), at least one for each two
+    components that link. Every pair is compared, in chunks of about ``chunk`` vectors: the work
+    grows with the square of the table, and nothing is missed."""
+    chunks = max(1, -(-vectors.count() // params.chunk))
+    rows = vectors.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).select(
+        F.least("own", "other").alias("i"),
+        F.greatest("own", "other").alias("j"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"),
+        "id",
+        "component",
+        "full",
+    )
+    rows = rows.repartition("i", "j").sortWithinPartitions("i", "j", "id")
+    return rows.mapInArrow(_crosser(params), "v long, u long").distinct()
+
+
 def _audit_counts(shared, threshold: float):
     def run(batches):
         ids, queries = shared.value
@@ -384,10 +452,13 @@ def embedding_links(
     Equal vectors are one row of the search that stands for n. Vectors that are null, empty,
     zero or hold a null or a number that is not finite link with nothing, nor do vectors of
     different lengths with each other: each length is searched by itself. Links found by the
-    search are verified in double. Within the components they make, every pair is compared, so
-    the counts hold all links of a component even where lists of neighbours are full; what the
-    search can miss is a link between two components, which the audit measures against brute
-    force. While that finds too few, the search is done again with lists twice as long. Ids
+    search are verified in double. A list full of links
+    says nothing of those beyond it, so the search is done again for neighbours in other
+    components, from other random orders, until it finds no link more. Within the components
+    every pair is compared, so the counts hold all links of a component; what is left to miss
+    is a link between two components that no list was too short for, which the audit measures
+    against brute force. While that finds too few, lists get twice as long, and after
+    ``widest`` all pairs are compared. Ids
     are taken as unique; rows with a null id link with nothing and have a null component; an
     empty table gives an empty result.
     """
@@ -422,20 +493,48 @@ def embedding_links(
 
 def _one_length(vectors: DataFrame, params: Descent) -> DataFrame:
     """(rep, linked, component) of the distinct vectors that link with another."""
-    k = params.neighbours
+    k, searches = params.neighbours, 0
+    labelled = vectors.withColumn("component", F.col("id"))
+    known = merged = None
     while True:
-        graph = neighbour_graph(vectors, params, k)
-        parts = connected_components(_verified(graph, vectors, params), "v", "u")
-        parts = written(parts, "parts")
-        roots = parts.select(F.col("component").alias("node"), "component").distinct()
-        named = parts.unionByName(roots).withColumnRenamed("node", "id")
-        members = vectors.select("id", "n", "full").join(named, "id")
-        counts = written(_link_counts(members.select("component", "id", "n", "full"), params), "counts")
-        recall, links = audit_recall(vectors, counts, params)
-        _log.info("%d neighbours: recall %.4f of %d audited links", k, recall, links)
-        if recall >= params.recall or 2 * k > params.widest:
+        graph = neighbour_graph(labelled, params, k, params.seed + searches * params.tables, known)
+        links = written(_verified(graph, vectors, params), "links")
+        found = links.count()
+        known = (graph.select("v", "u") if known is None else known).unionByName(links)
+        searches += 1
+        if found:
+            labelled, merged = _merged(vectors, links, merged)
+        _log.info("search %d, %d neighbours: %d links between components", searches, k, found)
+        if found or searches == 1:  # until a search with orders of its own finds nothing
+            continue
+        counts = _counted(labelled, params)
+        recall, audited = audit_recall(labelled, counts, params)
+        _log.info("%d neighbours: recall %.4f, %d audited", k, recall, audited)
+        if recall >= params.recall:
+            break
+        if 2 * k > params.widest:
+            _log.warning("recall %.4f with %d neighbours: comparing all vectors", recall, k)
+            labelled, _ = _merged(vectors, links_between(labelled, params), merged)
+            counts = _counted(labelled, params)
             break
         k *= 2
-    return counts.join(named, "id").select(
-        F.col("id").alias("rep"), "linked", F.col("component").alias("component")
+    return counts.join(labelled.select("id", "component"), "id").select(
+        F.col("id").alias("rep"), "linked", "component"
     )
+
+
+def _merged(vectors: DataFrame, links: DataFrame, before: DataFrame | None):
+    """The vectors with the components that ``links`` make of those ``before``, and these as
+    (v, u) edges."""
+    edges = links if before is None else links.unionByName(before)
+    parts = written(connected_components(edges, "v", "u"), "parts")
+    named = vectors.join(parts.withColumnRenamed("node", "id"), "id", "left")
+    labelled = named.withColumn("component", F.coalesce("component", "id"))
+    return written(labelled, "labelled"), parts.select(F.col("node").alias("v"), F.col("component").alias("u"))
+
+
+def _counted(labelled: DataFrame, params: Descent) -> DataFrame:
+    """(id, linked) of the vectors in components of two or more."""
+    sizes = labelled.groupBy("component").agg(F.count("*").alias("size")).where(F.col("size") > 1)
+    members = labelled.join(sizes.select("component"), "component")
+    return written(_link_counts(members.select("component", "id", "n", "full"), params), "counts")

@@ -91,3 +91,19 @@ def test_recall_on_pairs_among_noise(spark, seed):
     assert total > 1000
     assert sum(min(found[i][0], want[i][0]) for i in want) >= 0.98 * total
     assert all(found[i][0] <= want[i][0] for i in want)
+
+
+def tight(rng, centre, n, spread):
+    rows = centre + spread * rng.standard_normal((n, len(centre)))
+    return rows / np.linalg.norm(rows, axis=1)[:, None]
+
+
+def test_links_between_full_lists(spark):
+    """Two groups of 40: the nearest 32 of each vector are of its own group."""
+    rng = np.random.default_rng(6)
+    a, b = np.eye(16)[:2]
+    groups = np.r_[tight(rng, a, 40, 0.002), tight(rng, 0.9575 * a + math.sqrt(1 - 0.9575**2) * b, 40, 0.002)]
+    sims = groups @ groups.T
+    assert sims[:40, :40].min() > sims[:40, 40:].max() and sims[:40, 40:].min() >= 0.95
+    rows = [(i, v.tolist()) for i, v in enumerate(np.r_[groups, rng.standard_normal((60, 16))])]
+    assert got(frame(spark, rows)) == brute(rows)
