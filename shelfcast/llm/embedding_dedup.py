@@ -28,7 +28,7 @@ class Descent:
     rounds: int = 8  # of refinement, at most
     still: float = 0.002  # share of changed neighbours below which refinement ends
     margin: float = 0.01  # half precision is used in the search; links are verified in double
-    audit: int = 256  # queries compared with every vector, those least by hash of their id
+    audit: int = 256  # queries of each kind compared with all, those least by hash of their id
     recall: float = 0.99  # wanted of the audit; below it the search goes on with longer lists
     widest: int = 32  # neighbours at most in such further searches; after them all pairs are compared
     chunk: int = 1024  # vectors of a component compared at once
@@ -421,13 +421,27 @@ def _audit_counts(shared, threshold: float):
 
 
 def audit_recall(vectors: DataFrame, counts: DataFrame, params: Descent) -> tuple[float, int]:
-    """Share of the true links of ``audit`` vectors that ``counts`` (id, linked) holds, by
-    comparing those with all vectors, and the number of such links. The queries are a bounded
-    number; the work grows with the table alone."""
+    """Least of two shares, and the number of audited vectors with links: of the links of a
+    vector, the share that ``counts`` (id, linked) holds, as the mean over vectors that have
+    any, for those in components of more than ``audit`` vectors and for all others.
+
+    Queries are taken from (id, component, n, full) by the size of component they were given:
+    ``audit`` each of those alone, of those in smaller and of those in larger components. So as
+    many have links outside large components as were found there, up to ``audit``, and a hot
+    group decides only on its own share. Vectors alone and in smaller components are weighed by
+    how many there are. The queries, compared with all vectors, are a bounded number; the work
+    grows with the table alone."""
     spark = vectors.sparkSession
-    share = vectors.where(hashed_share(F.col("id"), params.audit, vectors.count()))
-    queries = share.select("id", "n", "full").orderBy(F.xxhash64("id"), "id").limit(params.audit)
-    rows = queries.collect()
+    sizes = vectors.groupBy("component").agg(F.count("*").alias("size"))
+    kind = F.when(F.col("size") == 1, 0).when(F.col("size") <= params.audit, 1).otherwise(2)
+    kinds = sizes.select("component", kind.alias("kind"), "size")
+    numbers = {r["kind"]: r["n"] for r in kinds.groupBy("kind").agg(F.sum("size").alias("n")).collect()}
+    rows = []
+    for one, number in sorted(numbers.items()):
+        share = vectors.where(hashed_share(F.col("id"), params.audit, number))
+        share = share.join(kinds.where(F.col("kind") == one), "component")
+        queries = share.select("id", "kind", "full").orderBy(F.xxhash64("id"), "id").limit(params.audit)
+        rows += queries.collect()
     if not rows:
         return 1.0, 0
     ids = np.array([r["id"] for r in rows])
@@ -440,8 +454,20 @@ def audit_recall(vectors: DataFrame, counts: DataFrame, params: Descent) -> tupl
     found = true.join(counts, "id", "left").join(vectors.select("id", "n"), "id")
     real = F.col("true") - F.col("n")
     got = F.least(F.coalesce("linked", F.lit(0)), real)
-    total = found.agg(F.sum(real).alias("real"), F.sum(got).alias("got")).first()
-    return (total["got"] / total["real"] if total["real"] else 1.0), total["real"]
+    shares = {r["id"]: r["share"] for r in found.where(real > 0).select("id", (got / real).alias("share")).collect()}
+    asked, linked, held = np.zeros(3), np.zeros(3), np.zeros(3)
+    for row in rows:
+        asked[row["kind"]] += 1
+        if row["id"] in shares:
+            linked[row["kind"]] += 1
+            held[row["kind"]] += shares[row["id"]]
+    weight = np.array([numbers.get(k, 0) for k in range(3)]) / np.maximum(asked, 1)
+    recalls = [
+        float(weight[of] @ held[of] / (weight[of] @ linked[of]))
+        for of in (slice(0, 2), slice(2, 3))
+        if linked[of].any()
+    ]
+    return min(recalls, default=1.0), int(linked.sum())
 
 
 def embedding_links(
@@ -509,7 +535,7 @@ def _one_length(vectors: DataFrame, params: Descent) -> DataFrame:
             continue
         counts = _counted(labelled, params)
         recall, audited = audit_recall(labelled, counts, params)
-        _log.info("%d neighbours: recall %.4f, %d audited", k, recall, audited)
+        _log.info("%d neighbours: recall %.4f, %d audited vectors with links", k, recall, audited)
         if recall >= params.recall:
             break
         if 2 * k > params.widest:

@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from shelfcast.llm.embedding_dedup import Descent, embedding_links
+from shelfcast.llm.embedding_dedup import Descent, audit_recall, embedding_links
 
 
 def brute(rows, threshold=0.95):
@@ -107,3 +107,28 @@ def test_links_between_full_lists(spark):
     assert sims[:40, :40].min() > sims[:40, 40:].max() and sims[:40, 40:].min() >= 0.95
     rows = [(i, v.tolist()) for i, v in enumerate(np.r_[groups, rng.standard_normal((60, 16))])]
     assert got(frame(spark, rows)) == brute(rows)
+
+
+@pytest.mark.parametrize("lost, low, high", [(0, 1.0, 1.0), (5, 0.7, 0.85), (20, 0.0, 0.0)])
+def test_audit_is_not_outweighed_by_a_hot_group(spark, lost, low, high):
+    """300 vectors that all link, and 20 pairs of which some were missed."""
+    rng = np.random.default_rng(7)
+    hot = tight(rng, np.eye(32)[0], 300, 0.002)
+    pairs = rng.standard_normal((40, 32))
+    pairs[1::2] = pairs[::2] + 0.02 * rng.standard_normal((20, 32))
+    pairs /= np.linalg.norm(pairs, axis=1)[:, None]
+    parts = [0] * 300 + [300 + (i if i < 2 * lost else i // 2 * 2) for i in range(40)]
+    rows = [(i, parts[i], 1, bytearray(v.tobytes())) for i, v in enumerate(np.r_[hot, pairs])]
+    vectors = spark.createDataFrame(rows, "id long, component long, n long, full binary")
+    counts = [(i, 299) for i in range(300)] + [(300 + i, 1) for i in range(2 * lost, 40)]
+    recall, _ = audit_recall(vectors, spark.createDataFrame(counts, "id long, linked long"), Descent())
+    assert low <= recall <= high
+
+
+def test_all_are_compared_where_recall_stays_low(spark, monkeypatch):
+    """A search that finds nothing leaves every link to the last comparison."""
+    from shelfcast.llm import embedding_dedup
+
+    monkeypatch.setattr(embedding_dedup, "_verified", lambda graph, vectors, params: graph.select("v", "u").limit(0))
+    rows = [(i, v.tolist()) for i, v in enumerate(clustered(8, 80, 12))]
+    assert got(frame(spark, rows), rounds=1, widest=8, chunk=16) == brute(rows)
