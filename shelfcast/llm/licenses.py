@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import random
 import re
 import zlib
@@ -171,6 +172,63 @@ def template_similarity(paragraph: str, family: str, params: Scan) -> float:
     return max(shares)
 
 
+@functools.cache
+def _template_shingles(words: int):
+    """Family and number of shingles of each template sentence; shingle: sentences it is in."""
+    sentences = [(f, shingles(t, words)) for f, texts in TEMPLATES.items() for t in texts]
+    where: dict[tuple[str, ...], list[int]] = {}
+    for n, (_, wanted) in enumerate(sentences):
+        for shingle in wanted:
+            where.setdefault(shingle, []).append(n)
+    return [(f, len(wanted)) for f, wanted in sentences], where
+
+
+def wrapped_sentences(text: str, params: Scan) -> list[tuple[str, int, int, float, str]]:
+    """Template sentences of which ``similarity`` of the shingles stand in a run of words over
+    more than one line: family, first and last line, share, and the words. Comment marks are
+    no words; a run is at most twice as long as the sentence."""
+    tokens = _TOKEN.findall(text.translate(_LOWER))
+    words = [t for t in tokens if t != "\n"]
+    sentences, where = _template_shingles(params.words)
+    runs = zip(*(words[i:] for i in range(params.words)), strict=False)
+    places: dict[int, list[tuple[int, tuple[str, ...]]]] = {}
+    for i, run in enumerate(runs):
+        if run in where:
+            for n in where[run]:
+                places.setdefault(n, []).append((i, run))
+    if not places:
+        return []
+    mark = np.fromiter((t == "\n" for t in tokens), bool, len(tokens))
+    line = np.cumsum(mark)[~mark]
+    out = []
+    for n, found in places.items():
+        family, size = sentences[n]
+        at = 0
+        while at < len(found):
+            start, seen, end, last = found[at][0], set(), at, at
+            while end < len(found) and found[end][0] < start + 2 * size:
+                if found[end][1] not in seen:
+                    seen.add(found[end][1])
+                    last = end
+                end += 1
+            if len(seen) < params.similarity * size:
+                at += 1
+                continue
+            stop = found[last][0] + params.words
+            out.append((start, stop, len(seen) / size, family))
+            at = last + 1
+    # Words that another family's sentence matches better are no sentence of this one.
+    best = [
+        x for x in out
+        if not any(y[3] != x[3] and y[2] > x[2] and y[0] < x[1] and x[0] < y[1] for y in out)
+    ]
+    return [
+        (family, int(line[start]), int(line[stop - 1]), share, " ".join(words[start:stop]))
+        for start, stop, share, family in best
+        if line[start] != line[stop - 1]
+    ]
+
+
 def _variants(params: Scan, filler: list[str]) -> list[tuple[str, int]]:
     """Template sentences with words left out, in other case, or among words of the corpus."""
     rng, out = random.Random(params.seed), []
@@ -271,29 +329,33 @@ FOUND = (
 
 
 def scan(text: str | None, model: LicenseModel) -> list[dict]:
-    """Paragraphs of a text given a family, with the best share of a template they hold."""
+    """Paragraphs of a text given a family, with the best share of a template they hold. A
+    sentence wrapped over lines counts as a paragraph at its first line, whatever the classifier
+    makes of the pieces; unconfirmed pieces of it with the same family are left out."""
     if not text:
         return []
     probable = paragraph_probabilities(text, model)
     best = probable[:, 1:].argmax(axis=1) + 1
     value = probable[np.arange(len(best)), best]
     hits = np.flatnonzero((probable.argmax(axis=1) > 0) & (value >= model.least))
-    if not len(hits):
+    wrapped = wrapped_sentences(text, model.params)
+    if not len(hits) and not wrapped:
         return []
-    lines, out = text.split("\n"), []
+    lines, out = text.split("\n"), {}
     for i in hits.tolist():
         family = FAMILIES[best[i]]
         similar = template_similarity(lines[i], family, model.params)
-        out.append(
-            {
-                "paragraph": i,
-                "family": family,
-                "probability": float(value[i]),
-                "similarity": similar,
-                "confirmed": similar >= model.params.similarity,
-            }
-        )
-    return out
+        confirmed = similar >= model.params.similarity
+        if confirmed or not any(f == family and a <= i <= b for f, a, b, *_ in wrapped):
+            out[i, family] = (float(value[i]), similar, confirmed)
+    for family, i, _, similar, run in wrapped:
+        if similar > out.get((i, family), (0, 0))[1]:
+            probability = paragraph_probabilities(run, model)[0, FAMILIES.index(family)]
+            out[i, family] = (float(probability), similar, True)
+    return [
+        {"paragraph": i, "family": f, "probability": p, "similarity": similar, "confirmed": confirmed}
+        for (i, f), (p, similar, confirmed) in sorted(out.items())
+    ]
 
 
 def license_column(docs: DataFrame, text: Column, model: LicenseModel) -> Column:

@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 import numpy as np
 import pytest
@@ -74,3 +75,15 @@ def test_empty(docs_of):
     assert scan(TEMPLATES["MIT"][2], model) == []
     alone = fit_rows([], PARAMS)  # only the templates to learn from
     assert alone.least == 0.5 and scan(TEMPLATES["MIT"][2], alone)[0]["family"] == "MIT"
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "// "])
+def test_wrapped_notices(model, mark):
+    """Sentences wrapped at 76 columns, with or without comment marks."""
+    for family, sentences in TEMPLATES.items():
+        for sentence in sentences:
+            notice = textwrap.wrap(sentence, 76 - len(mark), break_on_hyphens=False)
+            text = "\n".join([prose(30, sentence), "", *(mark + x for x in notice), "", prose(12, 3)])
+            found = [f for f in scan(text, model) if f["confirmed"]]
+            assert {f["family"] for f in found} == {family}, sentence
+            assert found[0]["paragraph"] == 2 and max(f["similarity"] for f in found) == 1.0
