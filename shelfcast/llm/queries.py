@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import crc_mod, ship_package, table
+from shelfcast.llm.common import crc_mod, ship_package, table, written
+from shelfcast.llm.cover_tree import top_k
 from shelfcast.llm.decontaminate import scan_columns
 from shelfcast.llm.embedding_dedup import embedding_links
 from shelfcast.llm.language import fit_languages, language_column
 from shelfcast.llm.licenses import fit_licenses, license_column
 from shelfcast.llm.line_dedup import dedup_lines
+from shelfcast.llm.merkle import build_manifest, document_leaves
 from shelfcast.llm.quality import Ftrl, fit_quality, score_column
+from shelfcast.llm.resampling import importance_ranks
 from shelfcast.llm.sentencepiece_table import encode_documents
 from shelfcast.llm.simhash import simhash_components
 from shelfcast.llm.training_order import Layout, materialise
@@ -143,6 +146,31 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return importance_ranks(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every leaf with its proof; every third document, by hash, tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    leaves = written(document_leaves(docs, tampered=crc_mod(F.col("doc_id"), 3) == 0), "leaves")
+    proofs = build_manifest(leaves, ["doc_id"]).proofs({"folded_root": "claim"})
+    return proofs.select(
+        "doc_id",
+        F.col("node").alias("leaf"),
+        "subroot",
+        "root",
+        F.sha2("proof", 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -171,6 +199,9 @@ QUERIES = {
         op8_training_order,
         op9_sentencepiece,
         op10_embedding_dedup,
+        op11_importance_resampling,
+        op12_merkle_manifest,
+        op13_top_k,
         pipeline,
     )
 }

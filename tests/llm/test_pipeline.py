@@ -22,7 +22,7 @@ def test_entry_points_name_the_queries():
     assert set(QUERIES) <= set(__spark_entry__.queries())
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
     names = [n for n in QUERIES if n != "pipeline"]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
