@@ -27,7 +27,8 @@ class Resampling:
     percent: int = 5  # of the documents that are long enough
     seed: int = 42  # of the noise that makes the highest scores a sample
     scale: int = 1000  # weights are whole numbers of this part
-    chunk: int = 1 << 17  # words whose features share one table
+    chunk: int = 1 << 13  # words whose features share one table
+    piece: int = 1 << 20  # bytes of texts whose words are found at once, if not one text is longer
 
 
 # Bytes of a word are 0-9, a-z and all beyond ASCII, after A-Z have been lowered.
@@ -164,6 +165,15 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _LOWER[data], offsets - offsets[0]
 
 
+def pieces(batch: pa.RecordBatch, texts: int, size: int) -> Iterator[pa.RecordBatch]:
+    """A batch cut between rows, into pieces whose texts have some ``size`` bytes each."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(texts)), 0).to_numpy(zero_copy_only=False)
+    number = (np.cumsum(lengths) - lengths) // size
+    edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for first, last in zip(edges[:-1], edges[1:]):
+        yield batch.slice(first, last - first)
+
+
 class Words:
     """The words of a column of texts: one buffer of them, a blank after each, their places and
     the row each is of."""
@@ -214,8 +224,9 @@ def bucket_counts(texts: DataFrame, params: Resampling = Resampling()) -> DataFr
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(params.buckets, np.int64)
         for batch in batches:
-            for found, _ in Words(batch.column(0)).features(params):
-                total += found.per_bucket(params.buckets)
+            for piece in pieces(batch, 0, params.piece):
+                for found, _ in Words(piece.column(0)).features(params):
+                    total += found.per_bucket(params.buckets)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["bucket", "n"])
 
@@ -248,7 +259,7 @@ def weighed(docs: DataFrame, gains: list[int], params: Resampling = Resampling()
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole, 1, params.piece)):
             words = Words(batch.column(1))
             weight = np.zeros(batch.num_rows)
             n_features = np.zeros(batch.num_rows, np.int64)
