@@ -53,6 +53,11 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--process-date")
     sub.add_argument("--mode", choices=WRITE_MODES)
 
+    command("correct", "bring past days that were landed again into the features")
+
+    sub = command("land-static", "land side tables by themselves")
+    sub.add_argument("--raw", required=True, help="folder with the CSVs that are new")
+
     sub = command("train", "fit, validate and store the model")
     sub.add_argument("--model", required=True)
     sub.add_argument("--training-end-date")
@@ -106,6 +111,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         print(f"{args.ingestion_date}: {n_rows} rows")
     elif args.job == "features":
         jobs.build_features(spark, args.root, args.process_date, args.mode)
+    elif args.job == "correct":
+        print(f"{len(jobs.correct_features(spark, args.root))} dates rewritten")
+    elif args.job == "land-static":
+        print(f"landed: {', '.join(jobs.land_side_tables(spark, args.raw, args.root)) or 'nothing'}")
     elif args.job == "train":
         error = jobs.train(spark, args.root, args.model, args.training_end_date)
         print("no training rows" if error is None else f"validation RMSE: {error:.2f}")

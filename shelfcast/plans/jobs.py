@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import as_date, date_lit, shift
 from shelfcast.operators.split import Items, select_items, select_items_static
+from shelfcast.plans.corrections import corrected_features
 from shelfcast.plans.features import feature_table, feature_table_for_day
 from shelfcast.plans.frame import inference_features
 from shelfcast.plans.training import (
@@ -39,17 +41,28 @@ from shelfcast.sources.tables import land_static, read_csv, read_static
 from shelfcast.sources.zones import (
     between_dates,
     last_date,
+    last_version,
     next_dates,
+    on_dates,
+    per_date,
     read_manifest,
     read_zone,
+    record_counts,
     record_dates,
     remove_dates,
+    remove_folder,
+    replace_folder,
+    stale_dates,
     write_by_date,
 )
 
 log = logging.getLogger(__name__)
 
 
+class NothingToLand(ValueError):
+    """A landing that would leave a zone without rows."""
+
+
 class NothingToForecast(ValueError):
     """A date without the sales or the history a forecast would be made from."""
 
@@ -62,27 +75,43 @@ def land_history(spark: SparkSession, raw: str, root: str, items: Items = None)
     """Raw CSVs to zones: sales split into history and recent dates, side tables. All items
     unless some are given. Side files that are not there are passed over.
 
-    The text is parsed once, into the sales zone. The cut is found from its manifest; recent
-    dates are copied from it by date and then removed from it.
+    The text is parsed once, into a folder beside the sales zone, whose footers give the dates
+    and counts; the cut, the manifest and the dates to hold back come from those. Recent dates are
+    copied by date and taken out, and only then the folder takes the zone's place. If it has no
+    rows the job raises, and what was landed before stays.
     """
     sales = select_items(read_csv(spark, f"{raw}/sales.csv", SALES), items)
     zone, manifest = f"{root}/sales", manifest_path(root, "sales")
-    write_by_date(sales, zone, mode="overwrite", padded=True)
-    record_dates(read_zone(spark, zone, SALES), manifest, mode="overwrite")
-    landed = read_manifest(spark, manifest)
-    last = last_date(landed).first()[0]
-    if last is None:
-        log.warning("no sales of the chosen items in %s", raw)
-        return
-    cut = shift(last, -RECENT_DAYS)
-    recent = between_dates(read_zone(spark, zone, SALES), cut).select(*SALES.names)
+    beside = f"{zone}-{uuid.uuid4().hex}"
+    write_by_date(sales, beside, mode="overwrite", padded=True)
+    written = read_zone(spark, beside, SALES)
+    counts = {r["date"]: r["n_rows"] for r in per_date(written).collect() if r["date"]}
+    if not counts:
+        remove_folder(spark, beside)
+        raise NothingToLand(f"no sales of the chosen items in {raw}; {zone} is as it was")
+    cut = shift(max(counts), -RECENT_DAYS)
+    recent = between_dates(written, cut).select(*SALES.names)
     write_by_date(recent, f"{root}/recent", mode="overwrite", padded=True)
-    days = [row["date"] for row in landed.where(F.col("date") >= date_lit(cut)).collect()]
-    remove_dates(spark, zone, days)
-    record_dates(read_zone(spark, zone, SALES), manifest, mode="overwrite")
+    remove_dates(spark, beside, [day for day in counts if day >= cut])
+    replace_folder(spark, beside, zone)
+    kept = [(day, n) for day, n in counts.items() if day < cut]
+    landed = spark.createDataFrame(kept, "date date, n_rows long")
+    record_counts(landed, manifest, mode="overwrite")
     land_static(select_items_static(_side_files(spark, raw), items), f"{root}/static")
 
 
+def land_side_tables(spark: SparkSession, raw: str, root: str, items: Items = None) -> list[str]:
+    """Side tables by themselves, as new items, plans and prices arrive after the history. Dated
+    tables are replaced by date, the others as a whole; tables without a file, and tables whose
+    file has no row that is chosen, stay as they are. Returns the names of those landed."""
+    found = select_items_static(_side_files(spark, raw), items)
+    chosen = {name: df for name, df in found.items() if not df.isEmpty()}
+    for name in found.keys() - chosen.keys():
+        log.warning("%s.csv in %s has no row to land; the table stays as it is", name, raw)
+    land_static(chosen, f"{root}/static", mode="replace_dates")
+    return sorted(chosen)
+
+
 def _side_files(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
     found = {}
     for name, schema in STATIC_TABLES.items():
@@ -109,15 +138,65 @@ def land_day(
     return landed.count()
 
 
+def _manifests(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    sales, features = (read_manifest(spark, manifest_path(root, z)) for z in ("sales", "features"))
+    return sales, features
+
+
 def _past_is_whole(spark: SparkSession, root: str, day: dt.date) -> bool:
-    """Whether the feature zone has every date of the look-back that the sales have."""
+    """Whether the feature zone has every date of the look-back that the sales have, built from
+    the sales as they were last landed."""
     sales, features = (
-        between_dates(
-            read_manifest(spark, manifest_path(root, zone)), shift(day, -LOOKBACK_DAYS), shift(day, -1)
-        )
-        for zone in ("sales", "features")
+        between_dates(manifest, shift(day, -LOOKBACK_DAYS), shift(day, -1))
+        for manifest in _manifests(spark, root)
     )
-    return sales.join(features, "date", "left_anti").isEmpty() and not features.isEmpty()
+    return stale_dates(sales, features).isEmpty() and not features.isEmpty()
+
+
+def _sides(spark: SparkSession, root: str) -> list[DataFrame]:
+    names = ("catalog", "stores", "markdowns", "discounts_history")
+    return [read_static(spark, f"{root}/static", name) for name in names]
+
+
+def correct_features(
+    spark: SparkSession, root: str, until: str | dt.date | None = None
+) -> list[dt.date]:
+    """Bring sales that were landed again, or late, into the feature zone: the dates whose sales
+    record is newer than what their features were built from, up to ``until`` or the last date
+    the zone has, and every later date one of their changes reaches. Other dates are not
+    rewritten. Returns the dates that were. An empty feature zone is left to a full build."""
+    sales, features = _manifests(spark, root)
+    last = last_date(features).first()[0]
+    if last is None:
+        return []
+    version = last_version(spark, manifest_path(root, "sales"))
+    late = between_dates(stale_dates(sales, features), None, until or last)
+    dates = sorted(r["date"] for r in late.collect())
+    if not dates:
+        return []
+    zone, work = f"{root}/features", f"{root}/work/corrections-{uuid.uuid4().hex}"
+    steps = iter(("changes", "reached"))
+
+    def store_rows(df: DataFrame) -> DataFrame:
+        path = f"{work}/{next(steps)}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    rows, touched = corrected_features(
+        read_zone(spark, zone, FEATURES),
+        read_zone(spark, f"{root}/sales", SALES),
+        *_sides(spark, root),
+        dates,
+        store_rows,
+    )
+    write_by_date(rows, zone)
+    record_dates(
+        on_dates(read_zone(spark, zone, FEATURES), touched),
+        manifest_path(root, "features"),
+        source=version,
+    )
+    remove_folder(spark, work)
+    return touched
 
 
 def build_features(
@@ -128,16 +207,14 @@ def build_features(
 ) -> None:
     """Features of the whole history, or of one date from its look-back. A one-date run
     replaces that date and no other unless told otherwise. It takes the past from the feature
-    zone if that has all of it, else from the sales."""
+    zone if that has all of it as it was last landed, else from the sales."""
     sales = read_zone(spark, f"{root}/sales", SALES)
-    side = [
-        read_static(spark, f"{root}/static", name)
-        for name in ("catalog", "stores", "markdowns", "discounts_history")
-    ]
+    side = _sides(spark, root)
     zone, manifest = f"{root}/features", manifest_path(root, "features")
+    version = last_version(spark, manifest_path(root, "sales"))
     if process_date is None:
         write_by_date(feature_table(sales, *side), zone, mode=mode or "overwrite")
-        record_dates(read_zone(spark, zone, FEATURES), manifest, mode="overwrite")
+        record_dates(read_zone(spark, zone, FEATURES), manifest, "overwrite", version)
         return
     day = as_date(process_date)
     whole = _past_is_whole(spark, root, day)
@@ -146,9 +223,9 @@ def build_features(
     write_by_date(features, zone, mode=mode or "replace_dates")
     written = read_zone(spark, zone, FEATURES)
     if mode == "overwrite":
-        record_dates(written, manifest, mode="overwrite")
+        record_dates(written, manifest, "overwrite", version)
     else:
-        record_dates(between_dates(written, day, day), manifest)
+        record_dates(between_dates(written, day, day), manifest, source=version)
 
 
 def train(
@@ -212,7 +289,8 @@ def run_daily(
     arrivals: DataFrame | None = None,
     **publishing: str,
 ) -> DataFrame:
-    """One day's run: land it, build its features, forecast from the day after. The date is
+    """One day's run: land it, bring corrected past days into the features, build those of the
+    day, forecast from the day after. The date is
     the one after the last in the feature zone. Sales come from ``arrivals``, or from the
     recent dates held back when the history was landed. A date without sales stops the run:
     give the date after it to pass over it."""
@@ -228,5 +306,6 @@ def run_daily(
         raise NothingToForecast(
             f"no sales of {day}: to pass over that date, give {shift(day, 1)} as the process date"
         )
+    correct_features(spark, root, shift(day, -1))
     build_features(spark, root, day)
     return forecast(spark, root, model_path, shift(day, 1), **publishing)

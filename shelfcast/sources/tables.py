@@ -40,22 +40,23 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).csv(path, header=True)
 
 
-def _land_table(df: DataFrame, path: str) -> None:
+def _land_table(df: DataFrame, path: str, mode: str) -> None:
     if "date" in df.columns:
-        write_by_date(df, path, mode="overwrite")
+        write_by_date(df, path, mode=mode)
     else:
         df.write.mode("overwrite").parquet(path)
 
 
-def land_static(tables: dict[str, DataFrame], root: str) -> None:
+def land_static(tables: dict[str, DataFrame], root: str, mode: str = "overwrite") -> None:
     """Write the side tables under ``root``. Tables with a date become date-partitioned
-    zones, so that the daily jobs open only the dates they use; the rest plain Parquet. The
+    zones, so that the daily jobs open only the dates they use; the rest plain Parquet. The mode
+    ``replace_dates`` keeps the dates of a dated table that are not among the rows. The
     writes are independent jobs and run at once, so one fills the slots another's last tasks
     leave idle."""
     if not tables:
         return
     with ThreadPoolExecutor(len(tables)) as pool:
-        jobs = [pool.submit(_land_table, df, f"{root}/{name}") for name, df in tables.items()]
+        jobs = [pool.submit(_land_table, df, f"{root}/{name}", mode) for name, df in tables.items()]
         for job in jobs:
             job.result()
 
