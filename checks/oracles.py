@@ -139,6 +139,33 @@ _INFERRED = (
 )
 
 
+# The forest of one leaf forecasts the same units for every row; each day sees those before it.
+_RECURSIVE = f"""{_GRID.replace("range(7)", "range(9)")},
+combined AS (
+  SELECT date, item_id, store_id, total_quantity FROM daily
+  WHERE date BETWEEN {_DAY} - 366 AND {_DAY} - 1
+  UNION ALL SELECT date, item_id, store_id, greatest(trunc(prediction), 0) FROM grid, mean),
+combined_series AS (
+  SELECT *,
+         lag(total_quantity, 7) OVER w AS lag_7_quantity,
+         lag(total_quantity, 30) OVER w AS lag_30_quantity,
+         lag(total_quantity, 90) OVER w AS lag_90_quantity,
+         lag(total_quantity, 365) OVER w AS lag_365_quantity,
+         avg(total_quantity) OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING)
+           AS rolling_mean_7_quantity,
+         avg(total_quantity) OVER (w ROWS BETWEEN 29 PRECEDING AND 1 PRECEDING)
+           AS rolling_mean_30_quantity
+  FROM combined WINDOW w AS (PARTITION BY item_id, store_id ORDER BY date)),
+horizon AS (
+  SELECT combined_series.*, avg_base_price FROM combined_series
+  LEFT JOIN daily_prices USING (date, item_id, store_id)
+  WHERE date BETWEEN {_DAY} AND {_DAY} + 8),
+inferred AS ({finished("horizon")}),
+inference AS (
+  SELECT inferred.*, CAST(greatest(trunc(prediction), 0) AS INTEGER) AS predicted_quantity
+  FROM inferred, mean)"""
+
+
 def _raw_inference() -> str:
     """With the planned rows as they are, in place of one for each date, item and store."""
     planned = """
@@ -226,10 +253,12 @@ ORACLES = {
             f"day_features AS ({finished('day_rows')})",
         )
         for name, grain in (
-            ("feature_table_incremental", "DY"),
+            ("feature_table_incremental", "TR"),
+            ("feature_table_incremental_daily", "DY"),
             ("feature_table_incremental_from_sales", "TR"),
         )
     },
+    "feature_table_corrected": with_views("TR", f"SELECT {_FEATURES} FROM features"),
     "empty_feature_table": with_views(
         "TR", f"SELECT {_FEATURES} FROM features WHERE date <= DATE '1990-01-01'"
     ),
@@ -495,7 +524,11 @@ ORACLES = {
           LEFT JOIN catalog c USING (item_id) LEFT JOIN stores s USING (store_id))""",
         _GRID,
     ),
-    "inference_features": with_views("DY", _INFERRED, _INFERENCE),
+    "inference_features": with_views("TR", _INFERRED, _INFERENCE),
+    "inference_features_daily": with_views("DY", _INFERRED, _INFERENCE),
+    "inference_recursive": with_views(
+        "TR", _INFERRED.replace(" FROM", ", predicted_quantity FROM"), _MEAN, _RECURSIVE
+    ),
     "inference_features_raw": with_views("TR", _INFERRED, _raw_inference()),
     "train_model": with_views(
         "TR", f"SELECT {_KEYS}, total_quantity, prediction FROM held_out", _MEAN

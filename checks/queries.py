@@ -16,6 +16,7 @@ from pyspark.sql.types import DateType
 
 from checks.views import FORECAST_START, PROCESS_DATE, TRAINING_END, Retail
 from shelfcast.functions.calendar import (
+    as_date,
     calendar_columns,
     date_lit,
     date_parts,
@@ -29,7 +30,7 @@ from shelfcast.functions.series import lag_columns, rolling_mean_columns
 from shelfcast.operators import aggregates, enrich, profile, split
 from shelfcast.operators.joins import item_store_grid
 from shelfcast.plans import features as feature_plans
-from shelfcast.plans import frame, jobs, training
+from shelfcast.plans import corrections, frame, jobs, recursive, training
 from shelfcast.schemas import (
     ATTRIBUTES,
     CATEGORY_INPUTS,
@@ -76,6 +77,14 @@ def fresh_directory(spark: SparkSession, name: str) -> str:
     return f"{_OWN_FOLDER[0]}/{name}-{uuid.uuid4().hex}"
 
 
+def _stored_under(folder: str):
+    def store_rows(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    return store_rows
+
+
 # Tables that several queries read: built from the given data once per session and directory.
 _BUILT: dict[tuple, object] = {}
 
@@ -108,6 +117,19 @@ def _feature_zone(spark: SparkSession, sf_dir: str, grain: str = "TR") -> DataFr
     return zones.read_zone(spark, _once(spark, sf_dir, f"features {grain}", build), FEATURES)
 
 
+def _feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features of grain TR as one stored table, for what reads all of them: a model does not
+    ask for dates, and a folder for each costs more than its rows."""
+
+    def build():
+        path = fresh_directory(spark, "feature-rows")
+        _features(Retail(spark, sf_dir, "TR")).write.parquet(path)
+        return path
+
+    path = _once(spark, sf_dir, "feature rows", build)
+    return spark.read.schema(FEATURES).parquet(path)
+
+
 def _manifest(spark: SparkSession, sf_dir: str, zone: str) -> DataFrame:
     (_sales_zone if zone == "sales" else _feature_zone)(spark, sf_dir)
     path = _BUILT[spark.sparkContext.applicationId, sf_dir, f"{zone} TR"]
@@ -121,7 +143,7 @@ def _mean_pipeline():
 
 def _stored_model(spark: SparkSession, sf_dir: str, pipeline):
     path = fresh_directory(spark, "model")
-    features = _feature_zone(spark, sf_dir)
+    features = _feature_rows(spark, sf_dir)
     training.save_model(training.train_model(features, TRAINING_END, pipeline=pipeline), path)
     return path
 
@@ -609,10 +631,36 @@ def _one_day(spark, sf_dir, grain: str, history: DataFrame | None) -> DataFrame:
 
 
 def feature_table_incremental(spark, sf_dir):
-    """The past from the feature zone; the grain has sales on all dates of the look-back."""
+    """The past from the feature zone."""
+    return _one_day(spark, sf_dir, "TR", _feature_zone(spark, sf_dir))
+
+
+def feature_table_incremental_daily(spark, sf_dir):
+    """The same where each series has sales on all dates of the look-back."""
     return _one_day(spark, sf_dir, "DY", _feature_zone(spark, sf_dir, "DY"))
 
 
+# A date with other quantities, one without a store, one that was not there at all.
+CORRECTED = ["2001-05-03", "2001-05-20", "2001-06-02"]
+
+
+def feature_table_corrected(spark, sf_dir):
+    """Features made from wrong sales of three past dates, then corrected from the sales as they
+    are: the rows of the dates that are touched, and the others as they were."""
+    root, retail = fresh_directory(spark, "corrected"), Retail(spark, sf_dir, "TR")
+    sales = retail.sales()
+    sides = retail.catalog(), retail.stores(), retail.markdowns(), retail.discounts()
+    more, fewer, absent = (F.col("date") == date_lit(d) for d in CORRECTED)
+    wrong = sales.where(~absent & ~(fewer & (F.col("store_id") == 2)))
+    wrong = wrong.withColumn("quantity", F.col("quantity") + F.when(more, 40.0).otherwise(0.0))
+    store_rows = _stored_under(root)
+    history = store_rows(feature_plans.feature_table(wrong, *sides), "features")
+    dates = [as_date(d) for d in CORRECTED]
+    rows, touched = corrections.corrected_features(history, sales, *sides, dates, store_rows)
+    untouched = zones.on_dates(history, touched, keep=False)
+    return _out(rows.unionByName(untouched.select(*FEATURE_COLUMNS)), *_MEAN_PRICES)
+
+
 def feature_table_incremental_from_sales(spark, sf_dir):
     return _one_day(spark, sf_dir, "TR", None)
 
@@ -633,14 +681,34 @@ def forecast_frame_raw(spark, sf_dir):
 
 def _inference(spark, sf_dir, grain: str = "TR", plan: str = "aggregate") -> DataFrame:
     sides = _plan_sides(Retail(spark, sf_dir, grain))
-    history = _feature_zone(spark, sf_dir, grain)
+    history = _feature_rows(spark, sf_dir)
+    if grain != "TR":
+        history = _feature_zone(spark, sf_dir, grain)
     return frame.inference_features(history, *sides, FORECAST_START, plan=plan)
 
 
 def inference_features(spark, sf_dir):
+    return _out(_inference(spark, sf_dir).drop(TARGET), *_MEAN_PRICES)
+
+
+def inference_features_daily(spark, sf_dir):
+    """Two series with a sale on every date of the look-back, so that the yearly lag is seen."""
     return _out(_inference(spark, sf_dir, "DY").drop(TARGET), *_MEAN_PRICES)
 
 
+def inference_recursive(spark, sf_dir):
+    """Nine days, each seeing the forecasts of those before it: the lag of seven too."""
+    found = recursive.recursive_forecast(
+        _model(spark, sf_dir),
+        _feature_rows(spark, sf_dir),
+        *_plan_sides(Retail(spark, sf_dir, "TR")),
+        FORECAST_START,
+        _stored_under(fresh_directory(spark, "recursive")),
+        days=9,
+    )
+    return _out(found.drop(TARGET), *_MEAN_PRICES)
+
+
 def inference_features_raw(spark, sf_dir):
     """A row for each planned row, over the pairs of a coarse item and a store."""
     return _out(_inference(spark, sf_dir, "TR", "raw").drop(TARGET), *_MEAN_PRICES)
@@ -650,7 +718,7 @@ def inference_features_raw(spark, sf_dir):
 
 
 def category_index(spark, sf_dir):
-    features = _feature_zone(spark, sf_dir).select(*CATEGORY_INPUTS)
+    features = _feature_rows(spark, sf_dir).select(*CATEGORY_INPUTS)
     indexed = training.category_indexer().fit(features).transform(features)
     pairs = F.explode(
         F.array(
@@ -669,7 +737,7 @@ def category_index(spark, sf_dir):
 
 def category_onehot(spark, sf_dir):
     """Rows per slot of each encoded column: the sum of its vectors over the whole table."""
-    features = _feature_zone(spark, sf_dir).select(*CATEGORY_INPUTS)
+    features = _feature_rows(spark, sf_dir).select(*CATEGORY_INPUTS)
     indexed = training.category_indexer().fit(features).transform(features)
     encoded = training.category_encoder().fit(indexed).transform(indexed)
     sums = encoded.select(
@@ -688,7 +756,7 @@ def category_onehot(spark, sf_dir):
 def assemble_features(spark, sf_dir):
     """The assembled vector taken apart again: its numeric slots by name, its length, and how
     many category slots are set."""
-    features = _feature_zone(spark, sf_dir)
+    features = _feature_rows(spark, sf_dir)
     indexed = training.category_indexer().fit(features).transform(features)
     encoded = training.category_encoder().fit(indexed).transform(indexed)
     numbered = {c: i for i, c in enumerate(NUMERIC_INPUTS)}
@@ -713,14 +781,14 @@ def assemble_features(spark, sf_dir):
 def train_model(spark, sf_dir):
     """Hold-out predictions of the stored model."""
     predictions = training.validation_predictions(
-        _model(spark, sf_dir), _feature_zone(spark, sf_dir), TRAINING_END
+        _model(spark, sf_dir), _feature_rows(spark, sf_dir), TRAINING_END
     )
     return _out(predictions.select(*KEYS, TARGET, "prediction"))
 
 
 def validation_rmse(spark, sf_dir):
     predictions = training.validation_predictions(
-        _model(spark, sf_dir), _feature_zone(spark, sf_dir), TRAINING_END
+        _model(spark, sf_dir), _feature_rows(spark, sf_dir), TRAINING_END
     )
     error = aggregates.rmse(predictions, TARGET, "prediction")
     return error.select(F.round("rmse", 6).alias("rmse"))
@@ -728,7 +796,7 @@ def validation_rmse(spark, sf_dir):
 
 def train_forest(spark, sf_dir):
     """The forest of full size, stored and loaded: each held-out row with what must hold for it."""
-    features = _feature_zone(spark, sf_dir)
+    features = _feature_rows(spark, sf_dir)
     fitted = training.train_model(features, TRAINING_END)
     path = fresh_directory(spark, "forest")
     training.save_model(fitted, path)
@@ -754,7 +822,7 @@ def train_forest(spark, sf_dir):
 
 def training_guard(spark, sf_dir):
     """Without rows before the hold-out nothing is trained."""
-    features = _feature_zone(spark, sf_dir)
+    features = _feature_rows(spark, sf_dir)
     model = training.train_model(features, "1990-01-01", pipeline=_mean_pipeline())
     return features.agg(F.count("*").alias("n_rows"), F.lit(model is None).alias("untrained"))
 
@@ -770,6 +838,8 @@ QUERIES = {
         feature_table_fine_grain,
         feature_table_incremental,
         feature_table_incremental_from_sales,
+        feature_table_incremental_daily,
+        feature_table_corrected,
         empty_feature_table,
         scan_csv,
         scan_csv_stray_index,
@@ -827,7 +897,9 @@ QUERIES = {
         forecast_frame,
         forecast_frame_raw,
         inference_features,
+        inference_features_daily,
         inference_features_raw,
+        inference_recursive,
         category_index,
         category_onehot,
         assemble_features,

@@ -31,6 +31,8 @@ def parser() -> argparse.ArgumentParser:
 
     def publishing(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--plan", choices=PLANS, default=PLANS[0])
+        text = "score day by day, each seeing the forecasts of the days before it"
+        sub.add_argument("--feed-back", action="store_true", help=text)
         sub.add_argument("--table", help="catalog table to replace")
         sub.add_argument("--jdbc-url")
         sub.add_argument("--jdbc-table", default=FORECAST_TABLE)
@@ -80,7 +82,7 @@ def parser() -> argparse.ArgumentParser:
 
 def _publishing(args: argparse.Namespace) -> dict:
     """The arguments of ``jobs.forecast`` that say where forecasts go."""
-    found = {"plan": args.plan, "table": args.table}
+    found = {"plan": args.plan, "table": args.table, "feed_back": args.feed_back}
     if args.jdbc_url:
         found |= {"jdbc_url": args.jdbc_url, "jdbc_table": args.jdbc_table, "batch": args.jdbc_batch}
         for name, value in (

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,7 +72,7 @@ def corrected_features(
     markdowns: DataFrame,
     discounts: DataFrame,
     dates: Sequence[dt.date],
-    store_rows,
+    store_rows: Callable[[DataFrame, str], DataFrame],
 ) -> tuple[DataFrame, list[dt.date]]:
     """All rows of the dates that corrected sales of ``dates`` touch, and those dates, so that
     they can replace them in the feature zone ``history``. Together with the dates left alone
@@ -80,13 +80,14 @@ def corrected_features(
 
     The corrected dates are grouped from the sales again, with their markdowns and discounts. On
     the dates after them the rows that a change reaches get new lags and means, all others stay
-    as they are. ``store_rows`` writes a frame and reads it back: the reached rows are worked out
+    as they are. ``store_rows`` writes a frame under a name and reads it back: the reached rows are worked out
     once, and their dates tell which folders of the zone are opened. A date the zone lacks is
     added; a row that the sales no longer have goes. Dates are one entry each for the driver.
     """
     demand = daily_demand(on_dates(sales, dates))
-    changes = store_rows(change_set(history, demand, dates))
-    reached = store_rows(reached_rows(history, changes, dates).na.fill(0.0, SERIES_COLUMNS))
+    changes = store_rows(change_set(history, demand, dates), "changes")
+    reached = reached_rows(history, changes, dates).na.fill(0.0, SERIES_COLUMNS)
+    reached = store_rows(reached, "reached")
     later = {r["date"] for r in reached.select("date").distinct().collect()} - set(dates)
     new = reached.select(*KEYS, *[F.col(c).alias(f"_new_{c}") for c in SERIES_COLUMNS])
     renewed = {c: F.coalesce(f"_new_{c}", c) for c in SERIES_COLUMNS}

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from shelfcast.operators.split import Items, select_items, select_items_static
 from shelfcast.plans.corrections import corrected_features
 from shelfcast.plans.features import feature_table, feature_table_for_day
 from shelfcast.plans.frame import inference_features
+from shelfcast.plans.recursive import recursive_forecast
 from shelfcast.plans.training import (
     load_model,
     save_model,
@@ -30,6 +32,7 @@ from shelfcast.plans.training import (
 )
 from shelfcast.schemas import (
     FEATURES,
+    FORECAST_COLUMNS,
     HORIZON_DAYS,
     LOOKBACK_DAYS,
     RECENT_DAYS,
@@ -158,6 +161,16 @@ def _sides(spark: SparkSession, root: str) -> list[DataFrame]:
     return [read_static(spark, f"{root}/static", name) for name in names]
 
 
+def _stored_under(folder: str) -> Callable[[DataFrame, str], DataFrame]:
+    """A function that writes a frame under a name in a folder and reads it back."""
+
+    def store_rows(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    return store_rows
+
+
 def correct_features(
     spark: SparkSession, root: str, until: str | dt.date | None = None
 ) -> list[dt.date]:
@@ -175,19 +188,12 @@ def correct_features(
     if not dates:
         return []
     zone, work = f"{root}/features", f"{root}/work/corrections-{uuid.uuid4().hex}"
-    steps = iter(("changes", "reached"))
-
-    def store_rows(df: DataFrame) -> DataFrame:
-        path = f"{work}/{next(steps)}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
     rows, touched = corrected_features(
         read_zone(spark, zone, FEATURES),
         read_zone(spark, f"{root}/sales", SALES),
         *_sides(spark, root),
         dates,
-        store_rows,
+        _stored_under(work),
     )
     write_by_date(rows, zone)
     record_dates(
@@ -251,11 +257,15 @@ def forecast(
     table: str | None = None,
     jdbc_url: str | None = None,
     plan: str = "aggregate",
+    feed_back: bool = False,
     **jdbc_options: str,
 ) -> DataFrame:
     """Score the horizon once, write it as Parquet, and publish tables from those files. A
     start without any history before it raises; an empty forecast leaves what was published
-    as it is."""
+    as it is. With ``feed_back`` the days are scored one after the other, each seeing what was
+    forecast for those before it; plans are then aggregated."""
+    if feed_back and plan != "aggregate":
+        raise ValueError("forecasts are fed back with the plan 'aggregate' only")
     catalog, stores, markdowns, discounts, prices = (
         read_static(spark, f"{root}/static", name)
         for name in ("catalog", "stores", "markdowns", "discounts_history", "price_history")
@@ -264,13 +274,19 @@ def forecast(
     past = between_dates(history, shift(start, -1 - LOOKBACK_DAYS), shift(start, -1))
     if past.isEmpty():
         raise NothingToForecast(f"the feature zone has no date in the look-back of {start}")
-    rows = inference_features(
-        history, catalog, stores, markdowns, discounts, prices, start, days, plan=plan
-    )
-    scored = score(load_model(model_path), rows)
+    sides = catalog, stores, markdowns, discounts, prices
+    work = f"{root}/work/forecast-{uuid.uuid4().hex}"
+    if feed_back:
+        model = load_model(model_path)
+        found = recursive_forecast(model, history, *sides, start, _stored_under(work), days)
+        scored = found.select(*FORECAST_COLUMNS)
+    else:
+        rows = inference_features(history, *sides, start, days, plan=plan)
+        scored = score(load_model(model_path), rows)
     written = spark.read.schema(scored.schema).parquet(
         publish_parquet(scored, f"{root}/forecasts", start)
     )
+    remove_folder(spark, work)
     if written.isEmpty():
         log.warning("nothing to forecast from %s; published tables stay as they are", start)
         return written
