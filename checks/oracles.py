@@ -265,6 +265,20 @@ ORACLES = {
     "scan_csv_stray_index": with_views(
         "TR", f"SELECT {_KEYS}, quantity, price_base, sum_total FROM sales"
     ),
+    "scan_csv_rejects": with_views(
+        "TR",
+        """SELECT 'accepted' AS kind, CAST(store_id AS VARCHAR) AS text, NULL AS reason,
+        count(*) AS n_rows, sum(quantity) AS units FROM marked WHERE n_bad = 0 GROUP BY store_id
+        UNION ALL SELECT 'quantity', 'many', 'not a number', count(*), NULL FROM marked WHERE q
+        UNION ALL SELECT 'date', '2001-13-45', 'not a date', count(*), NULL FROM marked WHERE d
+        UNION ALL SELECT 'store_id', '1.5', 'not a whole number', count(*), NULL FROM marked WHERE s
+        UNION ALL SELECT 'rejected', NULL, NULL, count(*), NULL FROM marked WHERE n_bad > 0""",
+        """flagged AS (
+          SELECT *, CAST(floor(sum_total) AS BIGINT) % 50 = 3 AS q,
+                 CAST(floor(sum_total) AS BIGINT) % 70 = 3 AS d,
+                 CAST(floor(sum_total) AS BIGINT) % 90 = 3 AS s FROM sales),
+        marked AS (SELECT *, q::INT + d::INT + s::INT AS n_bad FROM flagged)""",
+    ),
     "scan_csv_tables": with_views(
         "BN", _CSV_COUNTS, "sold AS (SELECT date, item_id FROM sales)"
     ),
@@ -309,6 +323,10 @@ ORACLES = {
         f"""SELECT {_D}, count(*) AS n_rows, sum(quantity) AS units
         FROM sales WHERE date <= {_DAY} GROUP BY date""",
     ),
+    "ingest_stream": with_views(
+        "BN",
+        f"SELECT {_D}, count(*) AS n_rows, sum(quantity) AS units FROM sales GROUP BY date",
+    ),
     "ingest_static": with_views("BN", _STATIC_COUNTS),
     "select_items_static": with_views("BN", _STATIC_COUNTS),
     "partition_manifest": with_views(

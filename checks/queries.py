@@ -44,8 +44,8 @@ from shelfcast.schemas import (
     STATIC_TABLES,
     TARGET,
 )
-from shelfcast.sources import publish, tables, zones
-from shelfcast.sources import workspace
+from shelfcast.sources import publish, rejects, tables, workspace, zones
+from shelfcast.streaming import landing
 
 ITEMS = [f"Brand#{n}" for n in range(1, 11)]
 _MEAN_PRICES = [c for c in PRICE_COLUMNS if c != "markdown_quantity"]
@@ -189,6 +189,39 @@ def scan_csv_stray_index(spark, sf_dir):
     return _out(tables.read_csv(spark, path, SALES, keep_rest=True))
 
 
+def scan_csv_rejects(spark, sf_dir):
+    """Some rows have a quantity, a date or a store that does not parse, some more than one."""
+    path = fresh_directory(spark, "csv")
+    whole = F.floor("sum_total")
+    sales = Retail(spark, sf_dir, "TR").sales()
+    text = sales.select(*[F.col(c).cast("string").alias(c) for c in SALES.names], whole.alias("_whole"))
+    spoilt = text.withColumns(
+        {
+            "quantity": F.when(F.col("_whole") % 50 == 3, "many").otherwise(F.col("quantity")),
+            "date": F.when(F.col("_whole") % 70 == 3, "2001-13-45").otherwise(F.col("date")),
+            "store_id": F.when(F.col("_whole") % 90 == 3, "1.5").otherwise(F.col("store_id")),
+        }
+    )
+    tables.write_csv(spoilt.drop("_whole"), path)
+    parsed = rejects.parse_csv(spark, path, SALES)
+    good = rejects.accepted(parsed, SALES).groupBy("store_id").agg(
+        F.count("*").alias("n_rows"), F.sum("quantity").alias("units")
+    )
+    bad = rejects.rejected(parsed, "sales", PROCESS_DATE)
+    cells = bad.select(F.explode("problems").alias("p")).groupBy("p.column", "p.text", "p.reason")
+    none = F.lit(None).cast("string")
+    kinds = [
+        good.select(F.lit("accepted").alias("kind"), F.col("store_id").cast("string").alias("text"),
+                    none.alias("reason"), "n_rows", "units"),
+        cells.agg(F.count("*").alias("n_rows")).select(
+            F.col("column").alias("kind"), "text", "reason", "n_rows", F.lit(None).cast("double").alias("units")
+        ),
+        bad.agg(F.lit("rejected").alias("kind"), none.alias("text"), none.alias("reason"),
+                F.count("*").alias("n_rows"), F.lit(None).cast("double").alias("units")),
+    ]
+    return reduce(DataFrame.unionByName, kinds)
+
+
 def scan_csv_tables(spark, sf_dir):
     """The side tables from CSV: rows, keys, and a sum of what is measured."""
     retail = Retail(spark, sf_dir, "BN")
@@ -298,6 +331,22 @@ def ingest_day(spark, sf_dir):
     return _out(_per_date(zones.read_zone(spark, path, SALES)))
 
 
+def ingest_stream(spark, sf_dir):
+    """Years of sales as files, landed by a stream in two runs. The second gets the last years, a
+    copy of one file under another name, and rows that the first had left out of their dates."""
+    root, inbox = fresh_directory(spark, "stream"), fresh_directory(spark, "inbox")
+    sales = Retail(spark, sf_dir, "BN").sales()
+    late = (F.month("date") == 3) & (F.col("store_id") == 7)
+    old = F.year("date") < 2000
+    parts = [(old & ~late, "old"), (~old, "new"), (~old, "new again"), (old & late, "late")]
+    for which, (rows, name) in enumerate(parts):
+        tables.write_csv(sales.where(rows).select(*SALES.names).coalesce(1), f"{inbox}/{name}.csv")
+        if which == 0:
+            landing.land_stream(spark, f"{inbox}/*.csv", root, build=False).awaitTermination()
+    landing.land_stream(spark, f"{inbox}/*.csv", root, build=False).awaitTermination()
+    return _out(_per_date(zones.read_zone(spark, f"{root}/sales", SALES)))
+
+
 def _static_tables(retail: Retail) -> dict[str, DataFrame]:
     return {
         "markdowns": retail.markdowns(),
@@ -843,6 +892,7 @@ QUERIES = {
         empty_feature_table,
         scan_csv,
         scan_csv_stray_index,
+        scan_csv_rejects,
         scan_csv_tables,
         scan_one_date,
         first_rows,
@@ -855,6 +905,7 @@ QUERIES = {
         ingest_history,
         ingest_history_of_items,
         ingest_day,
+        ingest_stream,
         ingest_static,
         select_items_static,
         partition_manifest,

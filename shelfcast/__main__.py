@@ -12,7 +12,7 @@ from shelfcast.plans import jobs
 from shelfcast.plans.frame import PLANS
 from shelfcast.schemas import HORIZON_DAYS, SALES
 from shelfcast.sources.publish import FORECAST_TABLE
-from shelfcast.sources.tables import read_sales
+from shelfcast.streaming.landing import land_stream
 from shelfcast.sources.zones import WRITE_MODES, next_dates, read_manifest, read_zone
 
 
@@ -25,9 +25,14 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--root", required=True, help="zone root")
         return sub
 
+    def rejects(sub: argparse.ArgumentParser) -> None:
+        text = "share of rows that may fail to parse; they go to the reject zone"
+        sub.add_argument("--max-rejected", type=float, default=0.0, help=text)
+
     def arrivals(sub: argparse.ArgumentParser) -> None:
         text = "new sales, CSV or Parquet; by default the recent dates held back"
         sub.add_argument("--arrivals", help=text)
+        rejects(sub)
 
     def publishing(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--plan", choices=PLANS, default=PLANS[0])
@@ -46,6 +51,7 @@ def parser() -> argparse.ArgumentParser:
     chosen = sub.add_mutually_exclusive_group()
     chosen.add_argument("--items", nargs="+", help="only these items; all by default")
     chosen.add_argument("--items-file", help="text with an item id on each line")
+    rejects(sub)
 
     sub = command("land-day", "land one date of the arrivals")
     arrivals(sub)
@@ -60,6 +66,9 @@ def parser() -> argparse.ArgumentParser:
     sub = command("land-static", "land side tables by themselves")
     sub.add_argument("--raw", required=True, help="folder with the CSVs that are new")
 
+    sub = command("land-stream", "land the files of a folder that were not landed yet")
+    sub.add_argument("--arrivals", required=True, help="folder that sales files come to")
+
     sub = command("train", "fit, validate and store the model")
     sub.add_argument("--model", required=True)
     sub.add_argument("--training-end-date")
@@ -100,11 +109,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         items = args.items
         if args.items_file:
             items = spark.read.text(args.items_file).select(F.trim("value").alias("item_id"))
-        jobs.land_history(spark, args.raw, args.root, items)
+        jobs.land_history(spark, args.raw, args.root, items, args.max_rejected)
+        return
+    if args.job == "land-stream":
+        land_stream(spark, args.arrivals, args.root).awaitTermination()
         return
     arrivals = None
     if getattr(args, "arrivals", None):
-        arrivals = read_sales(spark, args.arrivals)
+        arrivals = jobs.arrivals_of(spark, args.arrivals, args.root, max_rejected=args.max_rejected)
     if args.job == "land-day":
         if arrivals is None:
             arrivals = read_zone(spark, f"{args.root}/recent", SALES)

@@ -39,8 +39,9 @@ from shelfcast.schemas import (
     SALES,
     STATIC_TABLES,
 )
+from shelfcast.sources.rejects import TooManyRejects, accepted, counted, parse_csv, settle
 from shelfcast.sources.publish import publish_jdbc, publish_parquet, publish_table
-from shelfcast.sources.tables import land_static, read_csv, read_static
+from shelfcast.sources.tables import land_static, read_csv, read_sales, read_static
 from shelfcast.sources.zones import (
     between_dates,
     last_date,
@@ -74,19 +75,35 @@ def manifest_path(root: str, zone: str) -> str:
     return f"{root}/manifest/{zone}"
 
 
-def land_history(spark: SparkSession, raw: str, root: str, items: Items = None) -> None:
+def land_history(
+    spark: SparkSession,
+    raw: str,
+    root: str,
+    items: Items = None,
+    max_rejected: float = 0.0,
+    landed_on: str | dt.date | None = None,
+) -> None:
     """Raw CSVs to zones: sales split into history and recent dates, side tables. All items
-    unless some are given. Side files that are not there are passed over.
+    unless some are given. Side files that are not there are passed over. Sales that do not parse
+    go to ``rejects/sales`` under the date they are landed on, today unless given; if they are
+    more than the share ``max_rejected`` of all rows, the job raises and the zone stays.
 
     The text is parsed once, into a folder beside the sales zone, whose footers give the dates
     and counts; the cut, the manifest and the dates to hold back come from those. Recent dates are
     copied by date and taken out, and only then the folder takes the zone's place. If it has no
     rows the job raises, and what was landed before stays.
     """
-    sales = select_items(read_csv(spark, f"{raw}/sales.csv", SALES), items)
+    parsed = parse_csv(spark, f"{raw}/sales.csv", SALES)
+    watched, seen = counted(parsed, "sales")
+    sales = select_items(accepted(watched, SALES), items)
     zone, manifest = f"{root}/sales", manifest_path(root, "sales")
     beside = f"{zone}-{uuid.uuid4().hex}"
     write_by_date(sales, beside, mode="overwrite", padded=True)
+    try:
+        settle(parsed, seen, f"{root}/rejects", "sales", landed_on or dt.date.today(), max_rejected)
+    except TooManyRejects:
+        remove_folder(spark, beside)
+        raise
     written = read_zone(spark, beside, SALES)
     counts = {r["date"]: r["n_rows"] for r in per_date(written).collect() if r["date"]}
     if not counts:
@@ -103,6 +120,24 @@ def land_history(spark: SparkSession, raw: str, root: str, items: Items = None)
     land_static(select_items_static(_side_files(spark, raw), items), f"{root}/static")
 
 
+def arrivals_of(
+    spark: SparkSession,
+    path: str,
+    root: str,
+    landed_on: str | dt.date | None = None,
+    max_rejected: float = 0.0,
+) -> DataFrame:
+    """Sales of a CSV that arrived, parsed once into a folder under ``root``; rows that do not
+    parse go to the reject zone, and raise if they are too many. Parquet is read as it is."""
+    if not path.rstrip("/").endswith((".csv", ".csv.gz")):
+        return read_sales(spark, path)
+    parsed = parse_csv(spark, path, SALES)
+    watched, seen = counted(parsed, "arrivals")
+    sales = _stored_under(f"{root}/work/arrivals-{uuid.uuid4().hex}")(accepted(watched, SALES), "sales")
+    settle(parsed, seen, f"{root}/rejects", "sales", landed_on or dt.date.today(), max_rejected)
+    return sales
+
+
 def land_side_tables(spark: SparkSession, raw: str, root: str, items: Items = None) -> list[str]:
     """Side tables by themselves, as new items, plans and prices arrive after the history. Dated
     tables are replaced by date, the others as a whole; tables without a file, and tables whose

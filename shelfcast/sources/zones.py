@@ -78,12 +78,14 @@ def between_dates(
 
 def on_dates(df: DataFrame, dates: Iterable[dt.date], keep: bool = True) -> DataFrame:
     """Rows of the named dates, or of all others. On a zone other dates are not opened."""
-    named = list(dates)
-    dated = [F.col("date")]
+    named = ", ".join(f"DATE'{day:%Y-%m-%d}'" for day in sorted(dates))
+    if not named:
+        return df.where(F.lit(not keep))
+    dated = ["date"]
     if set(DATE_PARTS) <= set(df.columns):
-        dated.append(_partition_date())
+        dated.append(f"make_date({', '.join(DATE_PARTS)})")
     for value in dated:
-        df = df.where(value.isin(named) if keep else ~value.isin(named))
+        df = df.where(f"{value} {'' if keep else 'NOT '}IN ({named})")
     return df
 
 
@@ -196,6 +198,11 @@ def _file_system(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _file_system(spark, path)
+    return files.exists(folder)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     folder, files = _file_system(spark, path)
     files.delete(folder, True)
