@@ -390,6 +390,17 @@ ORACLES = {
         f"""SELECT {_KEYS}, total_quantity, {_list(*_ATTRIBUTES)} FROM daily
         LEFT JOIN catalog USING (item_id) LEFT JOIN stores USING (store_id)""",
     ),
+    "enrich_dimensions_as_of": with_views(
+        "BN",
+        f"""SELECT {_KEYS}, total_quantity,
+        CASE WHEN item_id LIKE '%1' AND date >= DATE '1998-02-01' AND date < DATE '2000-01-01'
+             THEN 'moved ' || dept_name ELSE dept_name END AS dept_name,
+        CASE WHEN item_id LIKE '%1' AND date >= DATE '2000-01-01' THEN NULL ELSE class_name END
+          AS class_name, subclass_name, item_type, division, format,
+        CASE WHEN store_id % 3 = 0 AND city IS NOT NULL AND date >= DATE '1998-02-01'
+             THEN 'merged' ELSE city END AS city, area
+        FROM daily LEFT JOIN catalog USING (item_id) LEFT JOIN stores USING (store_id)""",
+    ),
     "enrich_markdowns": with_views(
         "BN",
         f"""SELECT {_KEYS}, total_quantity, coalesce(markdown_quantity, 0) AS markdown_quantity,

@@ -487,6 +487,25 @@ def enrich_dimensions(spark, sf_dir):
     return _out(joined.select(*KEYS, TARGET, *ATTRIBUTES))
 
 
+def enrich_dimensions_as_of(spark, sf_dir):
+    """Items and stores land with changes from a date on; demand has what held on its date."""
+    retail, root = Retail(spark, sf_dir, "BN"), fresh_directory(spark, "dimensions")
+    catalog, stores = retail.catalog(), retail.stores()
+    some = F.col("item_id").endswith("1")
+    moved = F.when(some, F.concat(F.lit("moved "), "dept_name")).otherwise(F.col("dept_name"))
+    for name, first, second in (
+        ("catalog", catalog.where("item_id <> 'Brand#22'"), catalog.withColumn("dept_name", moved)),
+        ("stores", stores, stores.where("store_id % 3 = 0").withColumn("city", F.lit("merged"))),
+    ):
+        tables.land_versions(first, root, name, "1990-01-01")
+        tables.land_versions(second, root, name, "1998-02-01")
+    again = catalog.where(some).withColumn("class_name", F.lit(None).cast("string"))
+    tables.land_versions(again, root, "catalog", "2000-01-01")
+    demand = aggregates.daily_demand(retail.sales()).select(*KEYS, TARGET)
+    sides = (tables.read_static(spark, root, name) for name in ("catalog", "stores"))
+    return _out(enrich.enrich_dimensions(demand, *sides).select(*KEYS, TARGET, *ATTRIBUTES))
+
+
 def enrich_markdowns(spark, sf_dir):
     retail = Retail(spark, sf_dir, "BN")
     joined = enrich.enrich_markdowns(aggregates.daily_demand(retail.sales()), retail.markdowns())
@@ -919,6 +938,7 @@ QUERIES = {
         fill_categorical,
         align_schema_union,
         enrich_dimensions,
+        enrich_dimensions_as_of,
         enrich_markdowns,
         enrich_discounts,
         demand_panel,

@@ -65,6 +65,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = command("land-static", "land side tables by themselves")
     sub.add_argument("--raw", required=True, help="folder with the CSVs that are new")
+    sub.add_argument("--holds-from", help="first date of changed items and stores; today by default")
 
     sub = command("land-stream", "land the files of a folder that were not landed yet")
     sub.add_argument("--arrivals", required=True, help="folder that sales files come to")
@@ -128,7 +129,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "correct":
         print(f"{len(jobs.correct_features(spark, args.root))} dates rewritten")
     elif args.job == "land-static":
-        print(f"landed: {', '.join(jobs.land_side_tables(spark, args.raw, args.root)) or 'nothing'}")
+        landed = jobs.land_side_tables(spark, args.raw, args.root, holds_from=args.holds_from)
+        print(f"landed: {', '.join(landed) or 'nothing'}")
     elif args.job == "train":
         error = jobs.train(spark, args.root, args.model, args.training_end_date)
         print("no training rows" if error is None else f"validation RMSE: {error:.2f}")

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.operators.versions import join_as_of
 
 def left_join_dimensions(facts: DataFrame, catalog: DataFrame, stores: DataFrame) -> DataFrame:
     """Add item and store attributes; rows without a match keep nulls. Both tables are to
-    have one row per key.
+    have one row per key, or one for any date where they carry the dates they hold from and to;
+    those join as of the fact's date.
 
     Spark broadcasts a side whose size, from file statistics or measured by adaptive
     execution, is under ``spark.sql.autoBroadcastJoinThreshold``. A larger one is shuffled,
     and the rows of a hot item or store are on the left, the side of a left join that adaptive
     execution cuts. Nothing runs until the result is used.
     """
-    return facts.join(catalog, "item_id", "left").join(stores, "store_id", "left")
+    return join_as_of(join_as_of(facts, catalog, "item_id"), stores, "store_id")
 
 
 def item_store_grid(

@@ -31,6 +31,7 @@ from shelfcast.plans.training import (
     validation_rmse,
 )
 from shelfcast.schemas import (
+    DIMENSION_KEYS,
     FEATURES,
     FORECAST_COLUMNS,
     HORIZON_DAYS,
@@ -38,10 +39,11 @@ from shelfcast.schemas import (
     RECENT_DAYS,
     SALES,
     STATIC_TABLES,
+    conform,
 )
 from shelfcast.sources.rejects import TooManyRejects, accepted, counted, parse_csv, settle
 from shelfcast.sources.publish import publish_jdbc, publish_parquet, publish_table
-from shelfcast.sources.tables import land_static, read_csv, read_sales, read_static
+from shelfcast.sources.tables import land_static, land_versions, read_csv, read_sales, read_static
 from shelfcast.sources.zones import (
     between_dates,
     last_date,
@@ -138,15 +140,28 @@ def arrivals_of(
     return sales
 
 
-def land_side_tables(spark: SparkSession, raw: str, root: str, items: Items = None) -> list[str]:
+def land_side_tables(
+    spark: SparkSession,
+    raw: str,
+    root: str,
+    items: Items = None,
+    holds_from: str | dt.date | None = None,
+) -> list[str]:
     """Side tables by themselves, as new items, plans and prices arrive after the history. Dated
-    tables are replaced by date, the others as a whole; tables without a file, and tables whose
-    file has no row that is chosen, stay as they are. Returns the names of those landed."""
+    tables are replaced by date. Items and stores hold from ``holds_from``, today unless given:
+    those that are new are added, those that changed get a version from that day and keep the
+    older one for dates before. Tables without a file, and tables whose file has no row that is
+    chosen, stay as they are. Returns the names of those landed."""
     found = select_items_static(_side_files(spark, raw), items)
     chosen = {name: df for name, df in found.items() if not df.isEmpty()}
     for name in found.keys() - chosen.keys():
         log.warning("%s.csv in %s has no row to land; the table stays as it is", name, raw)
-    land_static(chosen, f"{root}/static", mode="replace_dates")
+    static = f"{root}/static"
+    for name in DIMENSION_KEYS.keys() & chosen.keys():
+        rows = conform(chosen[name], STATIC_TABLES[name])
+        land_versions(rows, static, name, holds_from or dt.date.today())
+    dated = {n: df for n, df in chosen.items() if n not in DIMENSION_KEYS}
+    land_static(dated, static, mode="replace_dates")
     return sorted(chosen)
 
 

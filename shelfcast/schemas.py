@@ -52,6 +52,8 @@ STATIC_TABLES = {
     "stores": STORES,
 }
 
+DIMENSION_KEYS = {"catalog": "item_id", "stores": "store_id"}
+
 KEYS = ["date", "item_id", "store_id"]
 SERIES = ["item_id", "store_id"]
 DATE_PARTS = ["year", "month", "day"]
