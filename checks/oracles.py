@@ -476,6 +476,11 @@ ORACLES = {
         "SELECT item_id, n_stores, active_days, n_rows, mean_quantity FROM top",
         _PR_COUNTS,
     ),
+    "assortment_profile_by_day": with_views(
+        "PR",
+        "SELECT item_id, n_stores, active_days, n_rows, mean_quantity FROM top",
+        _PR_COUNTS,
+    ),
     "assortment_attribute_counts": with_views(
         "BN",
         """SELECT count(DISTINCT dept_name) AS n_dept_name,
@@ -583,6 +588,15 @@ ORACLES = {
         _FRAME,
         _SCORED,
     ),
+    "publish_versions": with_views(
+        "TR",
+        f"""SELECT {_D}, count(*) AS n_rows,
+        CAST(sum(predicted_quantity + CASE WHEN shown THEN 0 ELSE 3 END) AS BIGINT) AS units,
+        CAST(2 AS INTEGER) AS n_versions, shown
+        FROM scored, (VALUES (true), (false)) versions(shown) GROUP BY date, shown""",
+        _FRAME,
+        _SCORED,
+    ),
     "publish_forecast": with_views(
         "TR",
         f"""SELECT {_D}, count(*) AS n_rows, CAST(sum(predicted_quantity) AS BIGINT) AS units
@@ -595,6 +609,31 @@ ORACLES = {
         "SELECT column_name, value, CAST(position AS DOUBLE) AS position FROM positions",
         _VALUES,
     ),
+    "category_labels": with_views(
+        "PR",
+        """SELECT 'item_id' AS column_name, item_id AS value, CAST(row_number() OVER (
+             ORDER BY count(*) DESC, item_id) - 1 AS DOUBLE) AS position
+        FROM sales GROUP BY item_id
+        UNION ALL SELECT 'store_id', CAST(store_id AS VARCHAR), CAST(row_number() OVER (
+             ORDER BY count(*) DESC, CAST(store_id AS VARCHAR)) - 1 AS DOUBLE)
+        FROM sales GROUP BY store_id""",
+    ),
+    "backtest": with_views(
+        "TR",
+        """SELECT fold, ahead, count(*) AS n_rows,
+        round(sqrt(avg((prediction - total_quantity) * (prediction - total_quantity))), 6) AS rmse,
+        round(avg(prediction - total_quantity), 6) AS mean_error
+        FROM scored_folds GROUP BY GROUPING SETS ((fold, ahead), (fold))""",
+        """folds AS (
+          SELECT CAST(i AS INTEGER) AS fold,
+                 DATE '2001-06-16' - CAST(14 * (2 - i) AS INTEGER) AS cut FROM range(3) r(i)),
+        fold_means AS (
+          SELECT fold, cut, avg(total_quantity) AS prediction
+          FROM daily, folds WHERE date <= cut GROUP BY fold, cut),
+        scored_folds AS (
+          SELECT fold, CAST(date - CAST(cut AS DATE) AS INTEGER) AS ahead, total_quantity, prediction
+          FROM daily, fold_means WHERE date > cut AND date <= cut + 14)""",
+    ),
     "category_onehot": with_views(
         "TR",
         """SELECT column_name, CAST(position AS INTEGER) AS slot,

@@ -27,10 +27,10 @@ from shelfcast.functions.calendar import (
 from shelfcast.functions.cleaning import drop_missing_target, fill_categories, fill_numeric
 from shelfcast.functions.scalars import promotion_flag, whole_units
 from shelfcast.functions.series import lag_columns, rolling_mean_columns
-from shelfcast.operators import aggregates, enrich, profile, split
+from shelfcast.operators import aggregates, enrich, profile, split, summaries
 from shelfcast.operators.joins import item_store_grid
 from shelfcast.plans import features as feature_plans
-from shelfcast.plans import corrections, frame, jobs, recursive, training
+from shelfcast.plans import backtest, corrections, frame, jobs, labels, recursive, training
 from shelfcast.schemas import (
     ATTRIBUTES,
     CATEGORY_INPUTS,
@@ -394,6 +394,23 @@ def publish_forecast(spark, sf_dir):
     return _out(publish.forecast_summary(spark.table(publish.FORECAST_TABLE)))
 
 
+def publish_versions(spark, sf_dir):
+    """Three runs, each a version of its own; the name shows the last, the one before is kept."""
+    root = fresh_directory(spark, "published")
+    name = f"forecasts_{uuid.uuid4().hex}"
+    forecast = training.score(_model(spark, sf_dir), _inference(spark, sf_dir))
+    for more in (5, 3, 0):
+        changed = forecast.withColumn("predicted_quantity", F.col("predicted_quantity") + more)
+        publish.publish_version(changed, root, name, keep=2)
+    kept = publish.published_versions(spark, root, name)
+    before = spark.read.parquet(f"{root}/{name}/version={kept[0]}")
+    parts = [
+        publish.forecast_summary(df).withColumn("n_versions", F.lit(len(kept))).withColumn("shown", F.lit(shown))
+        for df, shown in ((spark.table(name), True), (before, False))
+    ]
+    return _out(parts[0].unionByName(parts[1]))
+
+
 # Filters, selections and null handling
 
 
@@ -588,6 +605,19 @@ def assortment_profile(spark, sf_dir):
     return profile.assortment_profile(Retail(spark, sf_dir, "PR").sales())
 
 
+def assortment_profile_by_day(spark, sf_dir):
+    """From stored summaries of each date; one date is summarised a second time, from other
+    sales first."""
+    sales = Retail(spark, sf_dir, "PR").sales()
+    path = fresh_directory(spark, "summaries")
+    day = F.col("date") == date_lit("2001-05-03")
+    halves = [sales.where(~day), sales.where(day & (F.col("store_id") == 1)), sales.where(day)]
+    for n, rows in enumerate(halves):
+        stored = summaries.day_summaries(rows).withColumn("n", F.lit(int(n > 0)))
+        stored.write.partitionBy("n").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    return summaries.profile_of_summaries(spark.read.schema(summaries.SUMMARY).parquet(path))
+
+
 def assortment_attribute_counts(spark, sf_dir):
     retail = Retail(spark, sf_dir, "BN")
     return profile.assortment_attribute_counts(
@@ -803,6 +833,20 @@ def category_index(spark, sf_dir):
     return indexed.select(pairs.alias("pair")).select("pair.*").distinct()
 
 
+def category_labels(spark, sf_dir):
+    """Items by frequency as a table: no label passes the driver."""
+    store_rows = _stored_under(fresh_directory(spark, "labels"))
+    sales = Retail(spark, sf_dir, "PR").sales()
+    return labels.label_table(sales, ["item_id", "store_id"], store_rows)
+
+
+def backtest_query(spark, sf_dir):
+    """Three cuts a fortnight apart, with the forest of one leaf."""
+    ends = backtest.rolling_ends(TRAINING_END, 3)
+    errors = backtest.backtest(_feature_rows(spark, sf_dir), ends, pipeline=_mean_pipeline())
+    return errors.select("fold", "ahead", "n_rows", *[F.round(c, 6).alias(c) for c in ("rmse", "mean_error")])
+
+
 def category_onehot(spark, sf_dir):
     """Rows per slot of each encoded column: the sum of its vectors over the whole table."""
     features = _feature_rows(spark, sf_dir).select(*CATEGORY_INPUTS)
@@ -955,6 +999,7 @@ QUERIES = {
         items_in_all_stores,
         top_items,
         assortment_profile,
+        assortment_profile_by_day,
         assortment_attribute_counts,
         dummies,
         dummy_entries,
@@ -972,13 +1017,16 @@ QUERIES = {
         inference_features_raw,
         inference_recursive,
         category_index,
+        category_labels,
         category_onehot,
         assemble_features,
         train_model,
         validation_rmse,
         train_forest,
         training_guard,
+        backtest_query,
         score_forecast,
         publish_forecast,
+        publish_versions,
     )
 }

@@ -73,6 +73,8 @@ def parser() -> argparse.ArgumentParser:
     sub = command("train", "fit, validate and store the model")
     sub.add_argument("--model", required=True)
     sub.add_argument("--training-end-date")
+    sub.add_argument("--without", nargs="+", default=[], help="categories that are no inputs")
+    sub.add_argument("--folds", type=int, default=0, help="earlier cuts to validate at as well")
 
     sub = command("forecast", "forecast the days from a start date")
     sub.add_argument("--model", required=True)
@@ -86,6 +88,8 @@ def parser() -> argparse.ArgumentParser:
     arrivals(sub)
     publishing(sub)
 
+    command("profile", "bring the assortment profile up to date and show it")
+    command("compact", "rewrite the dates that have too many files")
     command("next-dates", "print the next process and forecast dates")
     return top
 
@@ -126,13 +130,19 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         print(f"{args.ingestion_date}: {n_rows} rows")
     elif args.job == "features":
         jobs.build_features(spark, args.root, args.process_date, args.mode)
+    elif args.job == "profile":
+        jobs.refresh_profile(spark, args.root).show()
+    elif args.job == "compact":
+        print(f"{jobs.compact_zones(spark, args.root)} dates rewritten")
     elif args.job == "correct":
         print(f"{len(jobs.correct_features(spark, args.root))} dates rewritten")
     elif args.job == "land-static":
         landed = jobs.land_side_tables(spark, args.raw, args.root, holds_from=args.holds_from)
         print(f"landed: {', '.join(landed) or 'nothing'}")
     elif args.job == "train":
-        error = jobs.train(spark, args.root, args.model, args.training_end_date)
+        error = jobs.train(
+            spark, args.root, args.model, args.training_end_date, args.without, args.folds
+        )
         print("no training rows" if error is None else f"validation RMSE: {error:.2f}")
     elif args.job == "forecast":
         jobs.forecast(

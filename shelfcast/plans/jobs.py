@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +18,15 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import as_date, date_lit, shift
 from shelfcast.operators.split import Items, select_items, select_items_static
+from shelfcast.operators.profile import TOP_ITEMS
+from shelfcast.operators.summaries import SUMMARY, day_summaries, profile_of_summaries
+from shelfcast.plans.backtest import backtest, rolling_ends
 from shelfcast.plans.corrections import corrected_features
 from shelfcast.plans.features import feature_table, feature_table_for_day
 from shelfcast.plans.frame import inference_features
 from shelfcast.plans.recursive import recursive_forecast
 from shelfcast.plans.training import (
+    demand_pipeline,
     load_model,
     save_model,
     score,
@@ -31,6 +35,7 @@ from shelfcast.plans.training import (
     validation_rmse,
 )
 from shelfcast.schemas import (
+    CATEGORY_INPUTS,
     DIMENSION_KEYS,
     FEATURES,
     FORECAST_COLUMNS,
@@ -41,11 +46,13 @@ from shelfcast.schemas import (
     STATIC_TABLES,
     conform,
 )
+from shelfcast.sources.compaction import FILE_BYTES, compact
+from shelfcast.sources.publish import publish_jdbc, publish_parquet, publish_version
 from shelfcast.sources.rejects import TooManyRejects, accepted, counted, parse_csv, settle
-from shelfcast.sources.publish import publish_jdbc, publish_parquet, publish_table
 from shelfcast.sources.tables import land_static, land_versions, read_csv, read_sales, read_static
 from shelfcast.sources.zones import (
     between_dates,
+    folder_exists,
     last_date,
     last_version,
     next_dates,
@@ -284,17 +291,54 @@ def build_features(
         record_dates(between_dates(written, day, day), manifest, source=version)
 
 
+def refresh_profile(spark: SparkSession, root: str, top: int = TOP_ITEMS) -> DataFrame:
+    """The assortment profile, kept up by day: the dates that were landed since they were last
+    summarised are read and summarised, all others are taken from their summaries."""
+    sales, done = manifest_path(root, "sales"), manifest_path(root, "profile")
+    version = last_version(spark, sales)
+    late = stale_dates(read_manifest(spark, sales), read_manifest(spark, done))
+    dates = [r["date"] for r in late.collect()]
+    zone = f"{root}/profile"
+    if dates:
+        rows = on_dates(read_zone(spark, f"{root}/sales", SALES), dates)
+        write_by_date(day_summaries(rows), zone)
+        record_dates(on_dates(read_zone(spark, zone, SUMMARY), dates), done, source=version)
+    return profile_of_summaries(read_zone(spark, zone, SUMMARY), top)
+
+
+def compact_zones(spark: SparkSession, root: str, file_bytes: int = FILE_BYTES) -> int:
+    """Rewrite the dates of the sales and feature zones that have too many files; returns how
+    many dates."""
+    zones = {"sales": SALES, "features": FEATURES}
+    here = {name: s for name, s in zones.items() if folder_exists(spark, f"{root}/{name}")}
+    return sum(len(compact(spark, f"{root}/{name}", s, file_bytes)) for name, s in here.items())
+
+
 def train(
-    spark: SparkSession, root: str, model_path: str, training_end: str | dt.date | None = None
+    spark: SparkSession,
+    root: str,
+    model_path: str,
+    training_end: str | dt.date | None = None,
+    without: Sequence[str] = (),
+    folds: int = 0,
 ) -> float | None:
     """Fit on the feature zone, store the model, return the hold-out error. Training ends
-    with the last date landed unless a date is given."""
+    with the last date landed unless a date is given. Categories named in ``without`` are no
+    inputs. With ``folds``, models are also fitted up to as many earlier cuts, a hold-out apart,
+    and their errors by fold and day are stored beside the model, at ``<model>-errors``."""
     end = training_end or last_date(read_manifest(spark, manifest_path(root, "sales"))).first()[0]
     features = read_zone(spark, f"{root}/features", FEATURES)
-    model = train_model(features, end)
+    unknown = set(without) - set(CATEGORY_INPUTS)
+    if unknown:
+        raise ValueError(f"no category input: {', '.join(sorted(unknown))}")
+    pipeline = demand_pipeline(columns=[c for c in CATEGORY_INPUTS if c not in without])
+    model = train_model(features, end, pipeline=pipeline)
     if model is None:
         return None
     save_model(model, model_path)
+    if folds:
+        errors = backtest(features, rolling_ends(end, folds), pipeline=pipeline)
+        errors.coalesce(1).write.mode("overwrite").parquet(f"{model_path}-errors")
     return validation_rmse(validation_predictions(model, features, end))
 
 
@@ -341,7 +385,7 @@ def forecast(
         log.warning("nothing to forecast from %s; published tables stay as they are", start)
         return written
     if table is not None:
-        publish_table(written, table)
+        publish_version(written, f"{root}/published", table)
     if jdbc_url is not None:
         publish_jdbc(written, jdbc_url, **jdbc_options)
     return written

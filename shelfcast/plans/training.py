@@ -83,10 +83,11 @@ def train_model(
     training, _ = train_validation_split(drop_missing_target(features), training_end, holdout_days)
     if training.isEmpty():
         return None
-    return (pipeline or demand_pipeline()).fit(training.select(*_model_columns()))
+    return (pipeline or demand_pipeline()).fit(training.select(*model_columns()))
 
 
-def _model_columns() -> list[str]:
+def model_columns() -> list[str]:
+    """What fitting reads of the features."""
     return list(dict.fromkeys([TARGET, *NUMERIC_INPUTS, *CATEGORY_INPUTS]))
 
 

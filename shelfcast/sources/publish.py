@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import as_date
+from shelfcast.sources.zones import remove_folder
 
 # Fixed value: the name readers of the forecasts expect.
 FORECAST_TABLE = "daily_product_store_forecasts"
@@ -34,6 +35,47 @@ def publish_table(
     writer.saveAsTable(table)
 
 
+KEPT_VERSIONS = 3
+
+
+def published_versions(spark: SparkSession, root: str, name: str = FORECAST_TABLE) -> list[int]:
+    """Numbers of the versions that are there in full, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    found = [status.getPath() for status in files.listStatus(folder)]
+    whole = [p for p in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(p.getName().removeprefix("version=")) for p in whole)
+
+
+def switch_version(spark: SparkSession, root: str, version: int, name: str = FORECAST_TABLE) -> None:
+    """Make a published version the one that readers of ``name`` see, in one step: the name is a
+    view, and replacing it changes the catalog alone."""
+    path = f"{root}/{name}/version={version}"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+
+
+def publish_version(
+    forecast: DataFrame, root: str, name: str = FORECAST_TABLE, keep: int = KEPT_VERSIONS
+) -> int:
+    """Write a version of its own beside those before it, and then switch the name to it. A job
+    that fails before the switch leaves readers with what they had; the last ``keep`` versions
+    stay to go back to. A table that has the name already is replaced by the view once the new
+    version is written. Returns the version's number."""
+    spark = forecast.sparkSession
+    earlier = published_versions(spark, root, name)
+    version = int(dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f"))
+    version = max(version, earlier[-1] + 1 if earlier else 0)
+    forecast.write.parquet(f"{root}/{name}/version={version}")
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    switch_version(spark, root, version, name)
+    for old in [*earlier, version][:-keep]:
+        remove_folder(spark, f"{root}/{name}/version={old}")
+    return version
+
+
 def publish_jdbc(
     forecast: DataFrame,
     url: str,
