@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 # Elements whose content is no text, elements that end a line, marks of a record.
 _HIDDEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|$)", re.S | re.I
+    r"<!--.*?(-->|$)|<(script|style|template|noscript)\b[^>]*>.*?(</\2\s*>|$)", re.S | re.I
 )
 _BREAK = re.compile(
     r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure"
@@ -27,7 +27,8 @@ _BREAK = re.compile(
 _TAG = re.compile(r"</?[a-zA-Z!?][^>]*>")
 _BLANK = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+_TITLE, _TITLE_END = (re.compile(x, re.I) for x in (r"<title\b[^>]*>", r"</title\s*>"))
+_ANCHOR, _HTML = (re.compile(rf"<{x}\b[^>]*>", re.I) for x in ("a", "html"))
 _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # that of URLs
@@ -50,27 +51,72 @@ def record_urn(*parts: object) -> str:
     return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, chr(0).join(map(str, parts)))}>"
 
 
+# A tag ends at a ``>``. Patterns that look for one are only used up to the last ``>`` of a text:
+# then every tag that begins does end, is consumed by its match, and a page of open tags is read
+# once and not once for each of them.
+
+
+def _tags_end(text: str) -> int:
+    return text.rfind(">") + 1
+
+
+def _replace_tags(pattern: re.Pattern, by: str, text: str) -> str:
+    end = _tags_end(text)
+    return pattern.sub(by, text[:end]) + text[end:]
+
+
+def _visible(page: str) -> str:
+    """A page with blanks for comments and elements whose content is no text; what is not closed
+    reaches to the end."""
+    end, at, out = _tags_end(page), 0, []
+    for found in _HIDDEN.finditer(page, 0, end):
+        out += [page[at : found.start()], " "]
+        if not (found[1] or found[3]):
+            return "".join(out)
+        at = found.end()
+    rest, comment, _ = page[end:].partition("<!--")
+    return "".join([*out, page[at:end], rest, " " if comment else ""])
+
+
 def plain_text(page: str | None) -> str:
     """Text of an HTML page: no markup, scripts, styles or comments; one line for each block;
-    runs of blanks as one; character references resolved."""
-    text = _HIDDEN.sub(" ", page or "")
+    runs of blanks as one; character references resolved. In time proportional to the page."""
+    text = _visible(page or "")
     text = text.replace("\r", " ").replace("\n", " ")
-    text = html.unescape(_TAG.sub("", _BREAK.sub("\n", text)))
+    text = html.unescape(_replace_tags(_TAG, "", _replace_tags(_BREAK, "\n", text)))
     return _LINES.sub("\n", _BLANK.sub(" ", text)).strip()
 
 
+def _title(page: str) -> str | None:
+    """What the first title element holds. If that is not closed, no later one is."""
+    if begin := _TITLE.search(page, 0, _tags_end(page)):
+        if end := _TITLE_END.search(page, begin.end()):
+            inner = page[begin.end() : end.start()]
+            return html.unescape(" ".join(_replace_tags(_TAG, "", inner).split()))
+    return None
+
+
+def _within_tags(tag: re.Pattern, wanted: re.Pattern, page: str) -> Iterator[re.Match]:
+    """What is wanted of each tag, in order; a quoted value may reach past the tag's end."""
+    done = 0
+    for found in tag.finditer(page, 0, _tags_end(page)):
+        if found.start() >= done and (match := wanted.match(page, found.start())):
+            done = match.end()
+            yield match
+
+
 def metadata_fields(page: str | None, uri: str | None, text: str, source: dict) -> str:
     """An application/warc-fields block: what the page says of itself, its outgoing links in
     order without repeats, the source's headers and the size of the text made of it."""
-    page = _HIDDEN.sub(" ", page or "")
+    page = _visible(page or "")
     fields = []
-    if found := _TITLE.search(page):
-        fields.append(("title", html.unescape(" ".join(_TAG.sub("", found[1]).split()))))
-    if found := _LANG.search(page):
-        fields.append(("language", found[1]))
+    if (title := _title(page)) is not None:
+        fields.append(("title", title))
+    if language := next(_within_tags(_HTML, _LANG, page), None):
+        fields.append(("language", language[1]))
     links = {}
-    for match in _LINK.finditer(page):
-        target = html.unescape(next(g for g in match.groups("") if g) if any(match.groups()) else "")
+    for match in _within_tags(_ANCHOR, _LINK, page):
+        target = html.unescape(next((g for g in match.groups("") if g), ""))
         try:
             target = urljoin(uri or "", target.strip())
         except ValueError:
@@ -124,33 +170,34 @@ def build_derivatives(responses: DataFrame) -> DataFrame:
 
 
 def record_text(records: DataFrame) -> DataFrame:
-    """``records`` with column ``warc``: each as it stands in a WARC 1.1 file."""
-    length = F.octet_length("block")
-    uri = F.when(
-        F.col("target_uri").isNotNull(), F.concat(F.lit("WARC-Target-URI: "), "target_uri", F.lit("\r\n"))
-    ).otherwise("")
-    date = F.when(
-        F.col("date").isNotNull(), F.concat(F.lit("WARC-Date: "), "date", F.lit("\r\n"))
-    ).otherwise("")
+    """``records`` with column ``warc``: each as it stands in a WARC 1.1 file. Line ends and
+    other blanks in a value become one blank, so no value can begin a header of its own."""
+
+    def header(name: str, column: str):
+        value = F.trim(F.regexp_replace(column, r"\s+", " "))
+        return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
+
     head = F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: "), "record_type",
-        F.lit("\r\nWARC-Record-ID: "), "record_id",
-        F.lit("\r\nWARC-Refers-To: "), "refers_to", F.lit("\r\n"),
-        uri, date,
-        F.lit("WARC-Block-Digest: "), "block_digest",
-        F.lit("\r\nWARC-Source-Payload-Digest: "), "source_payload_digest",
-        F.lit("\r\nContent-Type: "), "content_type",
-        F.lit("\r\nContent-Length: "), length.cast("string"), F.lit("\r\n\r\n"),
+        F.lit("WARC/1.1\r\n"),
+        header("WARC-Type", "record_type"),
+        header("WARC-Record-ID", "record_id"),
+        header("WARC-Refers-To", "refers_to"),
+        header("WARC-Target-URI", "target_uri"),
+        header("WARC-Date", "date"),
+        header("WARC-Block-Digest", "block_digest"),
+        header("WARC-Source-Payload-Digest", "source_payload_digest"),
+        header("Content-Type", "content_type"),
+        F.lit("Content-Length: "), F.octet_length("block").cast("string"), F.lit("\r\n\r\n"),
     )
     return records.withColumn("warc", F.concat(head, "block", F.lit("\r\n\r\n")))
 
 
 def responses_of_pages(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
-    """Response records of a page table (page_id, url, html), built by Spark."""
+    """Response records of a page table (page_id, url, html), built by Spark. Their payload
+    digest is left to ``build_derivatives``, which writes all digests in one form."""
     payload = F.coalesce("html", F.lit(""))
     ident = F.md5(F.concat_ws("\u0000", F.lit("response"), F.col("page_id").cast("string"), "url"))
     parts = [F.substring(ident, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    sha1 = F.sha1(payload.cast("binary"))
     headers = F.create_map(
         F.lit("page-id"), F.col("page_id").cast("string"),
         F.lit("content-type"), F.lit("text/html; charset=utf-8"),
@@ -165,6 +212,6 @@ def responses_of_pages(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") ->
         F.col("url").alias("target_uri"),
         F.lit(date).alias("date"),
         payload.alias("payload"),
-        F.concat(F.lit("sha1:"), sha1).alias("payload_digest"),
+        F.lit(None).cast("string").alias("payload_digest"),
         headers.alias("headers"),
     )
