@@ -249,14 +249,14 @@ def scan_one_date(spark, sf_dir):
     """One date's files opened without the zone around them."""
     _sales_zone(spark, sf_dir)
     path = _BUILT[spark.sparkContext.applicationId, sf_dir, "sales TR"]
-    return _out(spark.read.parquet(f"{path}/year=2001/month=07/day=01").select(*SALES.names))
+    return _out(zones.read_date(spark, path, PROCESS_DATE, SALES))
 
 
 def first_rows(spark, sf_dir):
     """A few rows to look at."""
     sales = Retail(spark, sf_dir, "BN").sales()
     order = [*KEYS, "sum_total", F.col("quantity").asc_nulls_first()]
-    return _out(sales.orderBy(*order).limit(20).select(*KEYS, "sum_total"))
+    return _out(zones.first_rows(sales, order).select(*KEYS, "sum_total"))
 
 
 def scan_partitioned(spark, sf_dir):
@@ -519,7 +519,7 @@ def enrich_dimensions_as_of(spark, sf_dir):
     again = catalog.where(some).withColumn("class_name", F.lit(None).cast("string"))
     tables.land_versions(again, root, "catalog", "2000-01-01")
     demand = aggregates.daily_demand(retail.sales()).select(*KEYS, TARGET)
-    sides = (tables.read_static(spark, root, name) for name in ("catalog", "stores"))
+    sides = (tables.read_versions(spark, root, name) for name in ("catalog", "stores"))
     return _out(enrich.enrich_dimensions(demand, *sides).select(*KEYS, TARGET, *ATTRIBUTES))
 
 

@@ -49,7 +49,14 @@ from shelfcast.schemas import (
 from shelfcast.sources.compaction import FILE_BYTES, compact
 from shelfcast.sources.publish import publish_jdbc, publish_parquet, publish_version
 from shelfcast.sources.rejects import TooManyRejects, accepted, counted, parse_csv, settle
-from shelfcast.sources.tables import land_static, land_versions, read_csv, read_sales, read_static
+from shelfcast.sources.tables import (
+    land_static,
+    land_versions,
+    read_csv,
+    read_sales,
+    read_static,
+    read_versions,
+)
 from shelfcast.sources.zones import (
     between_dates,
     folder_exists,
@@ -108,13 +115,14 @@ def land_history(
     zone, manifest = f"{root}/sales", manifest_path(root, "sales")
     beside = f"{zone}-{uuid.uuid4().hex}"
     write_by_date(sales, beside, mode="overwrite", padded=True)
+    written = read_zone(spark, beside, SALES)
+    counts = {r["date"]: r["n_rows"] for r in per_date(written).collect() if r["date"]}
+    on = landed_on or dt.date.today()
     try:
-        settle(parsed, seen, f"{root}/rejects", "sales", landed_on or dt.date.today(), max_rejected)
+        settle(parsed, seen if counts else None, f"{root}/rejects", "sales", on, max_rejected)
     except TooManyRejects:
         remove_folder(spark, beside)
         raise
-    written = read_zone(spark, beside, SALES)
-    counts = {r["date"]: r["n_rows"] for r in per_date(written).collect() if r["date"]}
     if not counts:
         remove_folder(spark, beside)
         raise NothingToLand(f"no sales of the chosen items in {raw}; {zone} is as it was")
@@ -143,7 +151,8 @@ def arrivals_of(
     parsed = parse_csv(spark, path, SALES)
     watched, seen = counted(parsed, "arrivals")
     sales = _stored_under(f"{root}/work/arrivals-{uuid.uuid4().hex}")(accepted(watched, SALES), "sales")
-    settle(parsed, seen, f"{root}/rejects", "sales", landed_on or dt.date.today(), max_rejected)
+    on = landed_on or dt.date.today()
+    settle(parsed, None if sales.isEmpty() else seen, f"{root}/rejects", "sales", on, max_rejected)
     return sales
 
 
@@ -214,8 +223,10 @@ def _past_is_whole(spark: SparkSession, root: str, day: dt.date) -> bool:
 
 
 def _sides(spark: SparkSession, root: str) -> list[DataFrame]:
-    names = ("catalog", "stores", "markdowns", "discounts_history")
-    return [read_static(spark, f"{root}/static", name) for name in names]
+    """Items and stores as versions, and the markdowns and discounts."""
+    static = f"{root}/static"
+    plans = [read_static(spark, static, name) for name in ("markdowns", "discounts_history")]
+    return [*(read_versions(spark, static, name) for name in DIMENSION_KEYS), *plans]
 
 
 def _stored_under(folder: str) -> Callable[[DataFrame, str], DataFrame]:
@@ -360,15 +371,11 @@ def forecast(
     forecast for those before it; plans are then aggregated."""
     if feed_back and plan != "aggregate":
         raise ValueError("forecasts are fed back with the plan 'aggregate' only")
-    catalog, stores, markdowns, discounts, prices = (
-        read_static(spark, f"{root}/static", name)
-        for name in ("catalog", "stores", "markdowns", "discounts_history", "price_history")
-    )
+    sides = [*_sides(spark, root), read_static(spark, f"{root}/static", "price_history")]
     history = read_zone(spark, f"{root}/features", FEATURES)
     past = between_dates(history, shift(start, -1 - LOOKBACK_DAYS), shift(start, -1))
     if past.isEmpty():
         raise NothingToForecast(f"the feature zone has no date in the look-back of {start}")
-    sides = catalog, stores, markdowns, discounts, prices
     work = f"{root}/work/forecast-{uuid.uuid4().hex}"
     if feed_back:
         model = load_model(model_path)

@@ -110,13 +110,23 @@ def counted(parsed: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def settle(
-    parsed: DataFrame, seen: Observation, zone: str, table: str, day: str | dt.date, most: float
+    parsed: DataFrame,
+    seen: Observation | None,
+    zone: str,
+    table: str,
+    day: str | dt.date,
+    most: float,
 ) -> int:
-    """After the accepted rows were written: put the others into the reject zone, and raise if
-    they are more than the share ``most`` of all. The file is only read a second time if there
-    are any. Landing a file twice on one day replaces that day's rejects of all tables, so the
-    zone has a folder for each table."""
-    n_read, n_bad = seen.get["n_read"], seen.get["n_bad"]
+    """After the accepted rows were written: put the others into the reject zone, which has a
+    folder for each table, and raise if they are more than the share ``most`` of all. The file is
+    only read a second time if there are any, or if nothing was written: then Spark may have left
+    out the step that counts, and ``seen`` is to be None. Landing a table twice on one day
+    replaces that day's rejects."""
+    if seen is None:
+        bad = F.count_if(F.size(PROBLEMS) > 0)
+        n_read, n_bad = parsed.agg(F.count("*"), bad).first()
+    else:
+        n_read, n_bad = seen.get["n_read"], seen.get["n_bad"]
     if not n_bad:
         return 0
     write_by_date(rejected(parsed, table, day), f"{zone}/{table}")

@@ -12,7 +12,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from shelfcast.functions.calendar import parse_date
 from shelfcast.functions.cleaning import drop_stray_index
-from shelfcast.operators.versions import VALIDITY, merge_versions
+from shelfcast.operators.versions import VALIDITY, current, merge_versions
 from shelfcast.schemas import DIMENSION_KEYS, SALES, STATIC_TABLES, conform
 from shelfcast.sources.zones import folder_exists, read_zone, replace_folder, write_by_date
 
@@ -66,25 +66,29 @@ def land_static(tables: dict[str, DataFrame], root: str, mode: str = "overwrite"
 
 def read_static(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One side table as landed: the schema's columns, and the date parts of a dated table so
-    that ``between_dates`` can prune. Items and stores come as versions with the dates they hold
-    from and to, open on both sides where they were landed without."""
+    that ``between_dates`` can prune. Of items and stores the rows that hold now."""
     schema = STATIC_TABLES[name]
     if "date" in schema.names:
         return read_zone(spark, f"{root}/{name}", schema)
-    dated = StructType([*schema.fields, *[StructField(c, DateType()) for c in VALIDITY]])
-    return spark.read.schema(dated).parquet(f"{root}/{name}")
+    return current(read_versions(spark, root, name))
 
 
-def land_versions(
-    arrived: DataFrame, root: str, name: str, day: str | dt.date
-) -> None:
+def read_versions(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Items or stores as versions with the dates they hold from and to, open on both sides where
+    they were landed without."""
+    dated = [StructField(c, DateType()) for c in VALIDITY]
+    schema = StructType([*STATIC_TABLES[name].fields, *dated])
+    return spark.read.schema(schema).parquet(f"{root}/{name}")
+
+
+def land_versions(arrived: DataFrame, root: str, name: str, day: str | dt.date) -> None:
     """Items or stores that hold from a day on, merged by key into those landed before. The
     merged table is written beside the old one and then takes its place."""
     spark, path = arrived.sparkSession, f"{root}/{name}"
     if not folder_exists(spark, path):
         arrived.write.parquet(path)
         return
-    merged = merge_versions(read_static(spark, root, name), arrived, DIMENSION_KEYS[name], day)
+    merged = merge_versions(read_versions(spark, root, name), arrived, DIMENSION_KEYS[name], day)
     beside = f"{path}-{uuid.uuid4().hex}"
     merged.write.parquet(beside)
     replace_folder(spark, beside, path)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from shelfcast.functions.calendar import date_lit, date_parts, partition_path
+from shelfcast.functions.calendar import as_date, date_lit, date_parts, partition_path
 from shelfcast.schemas import DATE_PARTS, SERIES
 
 WRITE_MODES = ("replace_dates", "overwrite", "append")
@@ -89,6 +89,17 @@ def on_dates(df: DataFrame, dates: Iterable[dt.date], keep: bool = True) -> Data
     return df
 
 
+def read_date(spark: SparkSession, path: str, day: dt.date | str, schema: StructType) -> DataFrame:
+    """One date of a padded zone from its own folder, the zone around it not listed."""
+    folder = f"{path}/{as_date(day):year=%Y/month=%m/day=%d}"
+    return spark.read.schema(schema).parquet(folder)
+
+
+def first_rows(df: DataFrame, order: list, n: int = 20) -> DataFrame:
+    """A few rows to look at: the first by an order, which each task cuts for itself."""
+    return df.orderBy(*order).limit(n)
+
+
 def partition_row_count(zone: DataFrame, day: dt.date | str) -> DataFrame:
     """Number of rows in one date's directory."""
     return zone.where(_partition_date() == date_lit(day)).agg(F.count("*").alias("n_rows"))
