@@ -52,12 +52,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group; one row of those with that id. Rows
-    without an id stay."""
+    """The document with the least id of each group. Rows that repeat its id with the same text
+    are one row, the least by the other columns; other texts under that id are no copies by the
+    id alone and stay. Rows without an id stay."""
     kept = simhash_components(docs).where(F.col("doc_id") == F.col("component_id"))
     named = docs.where(F.col("doc_id").isNotNull())
-    one = named.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    one = named.join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    least = one.groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0), *rest)).alias("_least"))
+    columns = [F.col(c) if c in ("doc_id", "text") else F.col(f"_least.`{c}`").alias(c) for c in docs.columns]
+    return least.select(*columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 @_stage
