@@ -18,6 +18,13 @@ from shelfcast.llm.common import UPPER, hashed_share
 
 # Sentences by which licences are named or granted, by family.
 TEMPLATES = {
+    "AGPL-3.0": [
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this '
@@ -27,6 +34,12 @@ TEMPLATES = {
         'the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY '
         "KIND, either express or implied.",
         "This project is released under the Apache License, Version 2.0.",
+        "SPDX-License-Identifier: Apache-2.0",
+    ],
+    "BSD-2-Clause": [
+        "Released under the BSD 2-Clause License.",
+        "Licensed under the Simplified BSD License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
     ],
     "BSD-3-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are "
@@ -37,23 +50,33 @@ TEMPLATES = {
         "Use of this source code is governed by a BSD-style license that can be found in the "
         "LICENSE file.",
         "Released under the BSD 3-Clause License.",
+        "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "CC-BY": [
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Licensed under CC BY 4.0.",
         "To view a copy of this license, visit https://creativecommons.org/licenses/by/4.0/",
+        "SPDX-License-Identifier: CC-BY-4.0",
     ],
     "CC-BY-NC": [
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
         "International License.",
         "To view a copy of this license, visit https://creativecommons.org/licenses/by-nc/4.0/",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
     ],
     "CC-BY-SA": [
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
         "International License.",
         "Text is available under the Creative Commons Attribution-ShareAlike License.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
+    ],
+    "CC0-1.0": [
+        "To the extent possible under law, the author has waived all copyright and related or "
+        "neighboring rights to this work.",
+        "This work is dedicated to the public domain under CC0 1.0 Universal.",
+        "SPDX-License-Identifier: CC0-1.0",
     ],
     "GPL": [
         "This work is licensed under the GNU General Public License, version 3.",
@@ -65,6 +88,23 @@ TEMPLATES = {
         "PARTICULAR PURPOSE. See the GNU General Public License for more details.",
         "You should have received a copy of the GNU General Public License along with this "
         "program. If not, see https://www.gnu.org/licenses/.",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+        "SPDX-License-Identifier: GPL-2.0-only",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies.",
+        "Licensed under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+    ],
+    "LGPL": [
+        "Licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
     ],
     "MIT": [
         "Released under the MIT License.",
@@ -75,11 +115,20 @@ TEMPLATES = {
         "merge, publish, distribute, sublicense, and/or sell copies of the Software.",
         "The above copyright notice and this permission notice shall be included in all copies "
         "or substantial portions of the Software.",
+        "SPDX-License-Identifier: MIT",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "If a copy of the MPL was not distributed with this file, You can obtain one at "
         "https://mozilla.org/MPL/2.0/.",
+        "SPDX-License-Identifier: MPL-2.0",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, "
+        "either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means.",
+        "SPDX-License-Identifier: Unlicense",
     ],
 }
 UNKNOWN = "unknown"
@@ -88,6 +137,7 @@ _TOKEN = re.compile(r"\w+|\n")
 _WORD = re.compile(r"\w+")
 _LOWER = str.maketrans(UPPER, UPPER.lower())
 _CACHE_MOST = 200_000
+_CHUNK = 1 << 14  # words
 _cache: dict[str, int] = {}
 
 
@@ -102,8 +152,10 @@ class Scan:
     rate: float = 0.5
     l2: float = 1e-5
     false_rate: float = 0.001  # of held-out unknown paragraphs that may be given a family
+    floor: float = 0.9  # of the least probability of a family, against unknown alone
     words: int = 5  # in a shingle of the comparison with templates
     similarity: float = 0.8
+    longest: int = 2  # words of a wrapped paragraph, in lengths of the longest template sentence
     seed: int = 5
 
 
@@ -111,7 +163,7 @@ class Scan:
 class LicenseModel:
     weights: np.ndarray  # a row for each slot, a column for each of FAMILIES
     temperature: float
-    least: float  # probability below which a paragraph stays unknown
+    least: float  # probability of the best family, against unknown, below which it is unknown
     params: Scan
 
 
@@ -123,36 +175,105 @@ def _hashes(tokens: list[str]) -> np.ndarray:
     return np.fromiter(map(_cache.__getitem__, tokens), np.uint64, len(tokens))
 
 
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """Hashes of the pairs of neighbouring words."""
+    mixed = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
+    return mixed ^ (mixed >> np.uint64(31))
+
+
+def _slots(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h % np.uint64((1 << bits) - 1)).astype(np.int64) + 1  # slot 0 is the intercept
+
+
 def paragraph_slots(text: str, bits: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Hashed word unigrams and bigrams of a whole text: slots, the paragraph each is of, and
-    the number of paragraphs. A paragraph is a line; no n-gram crosses its end."""
+    """Hashed word unigrams and bigrams of a whole text: slots, the line each is of, and the
+    number of lines. No n-gram crosses the end of a line."""
     tokens = _TOKEN.findall(text.lower())
     n = tokens.count("\n") + 1
     if not tokens:
         return np.empty(0, np.int64), np.empty(0, np.int64), n
     h = _hashes(tokens)
     line = np.fromiter((t == "\n" for t in tokens), bool, len(tokens))
-    paragraph = np.cumsum(line)
+    at = np.cumsum(line)
     word = ~line
     pair = word[:-1] & word[1:]
-    mixed = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
-    mixed ^= mixed >> np.uint64(31)
-    room = np.uint64((1 << bits) - 1)  # slot 0 is the intercept
-    slots = np.concatenate([h[word] % room, mixed[pair] % room]).astype(np.int64) + 1
-    return slots, np.concatenate([paragraph[word], paragraph[:-1][pair]]), n
+    slots = np.concatenate([_slots(h[word], bits), _slots(_mixed(h)[pair], bits)])
+    return slots, np.concatenate([at[word], at[:-1][pair]]), n
+
+
+def _running(weights: np.ndarray, slots: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of the weights of all slots before each place of ``at``, which ascends. Only a
+    chunk of the running sums is held at once."""
+    out, total = np.empty((len(at), weights.shape[1])), np.zeros(weights.shape[1])
+    for low in range(0, len(slots) + 1, _CHUNK):
+        part = np.vstack([total, weights[slots[low : low + _CHUNK]]])
+        np.cumsum(part, axis=0, out=part)
+        here = slice(*np.searchsorted(at, [low, low + len(part)]))
+        out[here] = part[at[here] - low]
+        total = part[-1]
+    return out
+
+
+class Stream:
+    """The lines of a text with running sums of the weights of words and of pairs of words, so
+    the classifier's score of any run of lines costs a few differences. ``starts`` and ``ends``
+    are the words of each line; comment marks are no words."""
+
+    def __init__(self, text: str, model: LicenseModel):
+        weights, bits = model.weights, model.params.bits
+        tokens = _TOKEN.findall(text.lower())
+        mark = np.fromiter((t == "\n" for t in tokens), bool, len(tokens))
+        h = _hashes([t for t in tokens if t != "\n"])
+        breaks = np.cumsum(~mark)[mark]
+        self.model = model
+        self.starts, self.ends = np.r_[0, breaks], np.r_[breaks, len(h)]
+        words, pairs = _slots(h, bits), _slots(_mixed(h), bits)
+        self.last = np.maximum(self.ends - 1, self.starts)  # last word of a line
+        self.before = _running(weights, words, self.starts)
+        self.until = _running(weights, words, self.ends)
+        self.before += _running(weights, pairs, np.minimum(self.starts, len(pairs)))
+        self.until += _running(weights, pairs, np.minimum(self.last, len(pairs)))
+
+    def logits(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Calibrated scores of FAMILIES for the runs of lines from a to b."""
+        grams = self.ends[b] + self.last[b] - 2 * self.starts[a]
+        total = (self.until[b] - self.before[a]) / np.sqrt(np.maximum(grams, 1))[:, None]
+        return (total + self.model.weights[0]) / self.model.temperature
+
+    def named(self, most: int) -> Iterator[tuple[int, int, int, float]]:
+        """Lines, and runs of neighbouring lines of ``most`` words in all, that the classifier
+        gives a family: first line, last line, family, probability. No run holds a line without
+        words."""
+        least = self.model.least
+        margin = np.log(least / max(1 - least, 1e-12))
+        full = np.flatnonzero(self.ends > self.starts)
+        first = np.arange(len(full))
+        for more in range(len(full) + 1):
+            first = first[first + more < len(full)]
+            a, b = full[first], full[np.minimum(first + more, len(full) - 1)]
+            if more:
+                run = (b - a == more) & (self.ends[b] - self.starts[a] <= most)
+                first, a, b = first[run], a[run], b[run]
+            if not len(first):
+                return
+            z = self.logits(a, b)
+            lead = z[:, 1:].max(axis=1) - z[:, 0]
+            near = np.flatnonzero((lead >= margin) & (lead > 0))
+            for i, p in zip(near.tolist(), _softmax(z[near]), strict=True):
+                family = int(p[1:].argmax()) + 1
+                yield int(a[i]), int(b[i]), family, float(p[family])
+
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    e = np.exp(z - z.max(axis=1, keepdims=True)) if len(z) else z
+    return e / e.sum(axis=1, keepdims=True)
 
 
 def paragraph_probabilities(text: str, model: LicenseModel) -> np.ndarray:
-    """A row of probabilities of FAMILIES for each paragraph of a text."""
-    slots, owner, n = paragraph_slots(text, model.params.bits)
-    size = np.bincount(owner, minlength=n)
-    total = np.empty((n, len(FAMILIES)))
-    for k in range(len(FAMILIES)):
-        total[:, k] = np.bincount(owner, model.weights[slots, k], minlength=n)
-    total /= np.sqrt(np.maximum(size, 1))[:, None]
-    total = (total + model.weights[0]) / model.temperature
-    total = np.exp(total - total.max(axis=1, keepdims=True))
-    return total / total.sum(axis=1, keepdims=True)
+    """A row of probabilities of FAMILIES for each line of a text."""
+    stream = Stream(text, model)
+    lines = np.arange(len(stream.starts))
+    return _softmax(stream.logits(lines, lines))
 
 
 def shingles(text: str, words: int) -> set[tuple[str, ...]]:
@@ -162,78 +283,65 @@ def shingles(text: str, words: int) -> set[tuple[str, ...]]:
     return {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))}
 
 
-def template_similarity(paragraph: str, family: str, params: Scan) -> float:
-    """Largest share of a template sentence's shingles, of the family, that a paragraph holds."""
+@functools.cache
+def _sentences(family: str, words: int) -> list[set[tuple[str, ...]]]:
+    return [shingles(sentence, words) for sentence in TEMPLATES[family]]
+
+
+def sentence_shares(paragraph: str, family: str, params: Scan) -> list[float]:
+    """Share of the shingles of each template sentence of a family that a paragraph holds."""
     own = shingles(paragraph, params.words)
-    shares = [0.0]
-    for sentence in TEMPLATES[family]:
-        wanted = shingles(sentence, params.words)
-        shares.append(len(wanted & own) / len(wanted))
-    return max(shares)
+    return [len(wanted & own) / len(wanted) for wanted in _sentences(family, params.words)]
+
+
+def template_similarity(paragraph: str, family: str, params: Scan) -> float:
+    """The largest of the shares."""
+    return max(sentence_shares(paragraph, family, params), default=0.0)
 
 
 @functools.cache
-def _template_shingles(words: int):
-    """Family and number of shingles of each template sentence; shingle: sentences it is in."""
-    sentences = [(f, shingles(t, words)) for f, texts in TEMPLATES.items() for t in texts]
-    where: dict[tuple[str, ...], list[int]] = {}
-    for n, (_, wanted) in enumerate(sentences):
-        for shingle in wanted:
-            where.setdefault(shingle, []).append(n)
-    return [(f, len(wanted)) for f, wanted in sentences], where
-
-
-def wrapped_sentences(text: str, params: Scan) -> list[tuple[str, int, int, float, str]]:
-    """Template sentences of which ``similarity`` of the shingles stand in a run of words over
-    more than one line: family, first and last line, share, and the words. Comment marks are
-    no words; a run is at most twice as long as the sentence."""
-    tokens = _TOKEN.findall(text.translate(_LOWER))
-    words = [t for t in tokens if t != "\n"]
-    sentences, where = _template_shingles(params.words)
-    runs = zip(*(words[i:] for i in range(params.words)), strict=False)
-    places: dict[int, list[tuple[int, tuple[str, ...]]]] = {}
-    for i, run in enumerate(runs):
-        if run in where:
-            for n in where[run]:
-                places.setdefault(n, []).append((i, run))
-    if not places:
-        return []
-    mark = np.fromiter((t == "\n" for t in tokens), bool, len(tokens))
-    line = np.cumsum(mark)[~mark]
+def _longest() -> int:
+    return max(len(_WORD.findall(t)) for texts in TEMPLATES.values() for t in texts)
+
+
+def wrapped_sentences(
+    lines: list[str], named: list[tuple[int, int, int, float]], params: Scan
+) -> list[tuple[str, int, int, float, float]]:
+    """Of runs of lines the classifier named, those that hold ``similarity`` of a template
+    sentence of that family and less of it without their first or their last line: family, first
+    and last line, probability, share. Of runs over the same lines the one with the largest
+    share of a sentence counts, then the shorter, then the earlier. A run that holds more of
+    another family's sentence is none."""
+    tight = []
+    for first, last, family, probability in named:
+        name = FAMILIES[family]
+        shares = sentence_shares("\n".join(lines[first : last + 1]), name, params)
+        if max(shares) < params.similarity:
+            continue
+        headless = sentence_shares("\n".join(lines[first + 1 : last + 1]), name, params)
+        tailless = sentence_shares("\n".join(lines[first:last]), name, params)
+        for n, share in enumerate(shares):
+            if share >= params.similarity and share > max(headless[n], tailless[n]):
+                tight.append((-share, last - first, first, name, n, probability))
+    taken: dict[tuple[str, int], set[int]] = {}
     out = []
-    for n, found in places.items():
-        family, size = sentences[n]
-        at = 0
-        while at < len(found):
-            start, seen, end, last = found[at][0], set(), at, at
-            while end < len(found) and found[end][0] < start + 2 * size:
-                if found[end][1] not in seen:
-                    seen.add(found[end][1])
-                    last = end
-                end += 1
-            if len(seen) < params.similarity * size:
-                at += 1
-                continue
-            stop = found[last][0] + params.words
-            out.append((start, stop, len(seen) / size, family))
-            at = last + 1
-    # Words that another family's sentence matches better are no sentence of this one.
-    best = [
-        x for x in out
-        if not any(y[3] != x[3] and y[2] > x[2] and y[0] < x[1] and x[0] < y[1] for y in out)
-    ]
-    return [
-        (family, int(line[start]), int(line[stop - 1]), share, " ".join(words[start:stop]))
-        for start, stop, share, family in best
-        if line[start] != line[stop - 1]
-    ]
+    for share, more, first, name, n, probability in sorted(tight):
+        text = "\n".join(lines[first : first + more + 1])
+        used, run = taken.setdefault((name, n), set()), range(first, first + more + 1)
+        if used.isdisjoint(run) and all(
+            template_similarity(text, f, params) <= -share for f in TEMPLATES if f != name
+        ):
+            used.update(run)
+            out.append((name, first, first + more, probability, -share))
+    return out
 
 
-def _variants(params: Scan, filler: list[str]) -> list[tuple[str, int]]:
-    """Template sentences with words left out, in other case, or among words of the corpus."""
+def _variants(params: Scan, filler: list[str]) -> list[tuple[str, int, int]]:
+    """Template sentences with words left out, in other case, or among words of the corpus:
+    text, family and number of the sentence in its family."""
     rng, out = random.Random(params.seed), []
     for k, family in enumerate(TEMPLATES, start=1):
-        for sentence in TEMPLATES[family]:
+        for number, sentence in enumerate(TEMPLATES[family]):
             for i in range(params.variants):
                 words = sentence.split()
                 if i % 3 == 1:
@@ -243,34 +351,23 @@ def _variants(params: Scan, filler: list[str]) -> list[tuple[str, int]]:
                     cut = rng.randrange(len(extra) + 1)
                     words = extra[max(0, cut - 6) : cut] + words + extra[cut : cut + rng.randrange(7)]
                 text = " ".join(words)
-                out.append((text.upper() if i % 5 == 4 else text, k))
+                out.append((text.upper() if i % 5 == 4 else text, k, number))
     return out
 
 
-def fit_rows(unknown: list[str], params: Scan) -> LicenseModel:
-    """Fit on the templates' variants and on paragraphs of the corpus. A fifth of the examples
-    is held out to set the temperature and the least probability of a family. Paragraphs
-    that hold most of a template sentence are no example of unknown."""
-    clean = [
-        p for p in unknown
-        if all(template_similarity(p, f, params) < params.similarity / 2 for f in TEMPLATES)
-    ]
-    examples = _variants(params, clean) + [(p, 0) for p in clean]
-    random.Random(params.seed).shuffle(examples)
-    vectors = []
-    for text, label in examples:
-        slots, _, _ = paragraph_slots(text.replace("\n", " "), params.bits)
-        vectors.append((slots, 1 / np.sqrt(max(1, len(slots))), label))
-    held, used = vectors[::5], [v for i, v in enumerate(vectors) if i % 5]
-    weights = np.zeros((1 << params.bits, len(FAMILIES)))
-    square = np.full(weights.shape, 1e-8)
+Example = tuple[np.ndarray, float, int]  # slots, value of each, label
+
 
-    def logits(slots, value):
-        return weights[0] + value * weights[slots].sum(axis=0)
+def _logits(weights: np.ndarray, slots: np.ndarray, value: float) -> np.ndarray:
+    return weights[0] + value * weights[slots].sum(axis=0)
 
+
+def _learn(examples: list[Example], params: Scan) -> np.ndarray:
+    weights = np.zeros((1 << params.bits, len(FAMILIES)))
+    square = np.full(weights.shape, 1e-8)
     for _ in range(params.epochs):
-        for slots, value, label in used:
-            z = logits(slots, value)
+        for slots, value, label in examples:
+            z = _logits(weights, slots, value)
             p = np.exp(z - z.max())
             p /= p.sum()
             p[label] -= 1
@@ -280,19 +377,47 @@ def fit_rows(unknown: list[str], params: Scan) -> LicenseModel:
             grad = often[:, None] * p[None, :] + params.l2 * weights[at]
             square[at] += grad * grad
             weights[at] -= params.rate * grad / np.sqrt(square[at])
-    z = np.array([logits(s, v) for s, v, _ in held]).reshape(len(held), len(FAMILIES))
-    labels = np.array([label for *_, label in held], dtype=int)
+    return weights
 
-    def probabilities(t):
-        e = np.exp((z - z.max(axis=1, keepdims=True)) / t)
-        return e / e.sum(axis=1, keepdims=True)
 
+def _calibrated(weights: np.ndarray, held: list[Example], params: Scan) -> tuple[float, float]:
+    """Temperature of least log loss on held-out examples, and the least probability of
+    a family, against unknown alone, that leaves ``false_rate`` of the unknown ones above it. So
+    families that are much alike do not lose by sharing what is no doubt a licence."""
+    z = np.array([_logits(weights, s, v) for s, v, _ in held]).reshape(len(held), len(FAMILIES))
+    labels = np.array([label for *_, label in held], dtype=int)
     choices = np.geomspace(0.25, 8, 21)
-    losses = [-np.log(probabilities(t)[np.arange(len(z)), labels] + 1e-12).mean() for t in choices]
+    losses = [-np.log(_softmax(z / t)[np.arange(len(z)), labels] + 1e-12).mean() for t in choices]
     temperature = float(choices[int(np.argmin(losses))])
-    false = probabilities(temperature)[labels == 0][:, 1:].max(axis=1, initial=0.0)
-    least = float(np.quantile(false, 1 - params.false_rate)) if len(false) else 0.0
-    return LicenseModel(weights, temperature, max(0.5, least), params)
+    p = _softmax(z / temperature)[labels == 0]
+    best = p[:, 1:].max(axis=1, initial=0.0)
+    false = best / np.maximum(best + p[:, 0], 1e-300)
+    if not len(false):
+        return temperature, 0.5  # nothing says how far unknown paragraphs come
+    return temperature, max(params.floor, float(np.quantile(false, 1 - params.false_rate)))
+
+
+def fit_rows(unknown: list[str], params: Scan) -> LicenseModel:
+    """Fit on the templates' variants and on paragraphs of the corpus. Those that hold much of a
+    template sentence are no example of unknown. Temperature and least probability come from a
+    first fit that leaves out one whole sentence of each family, with all its variants, and a
+    fifth of the unknown paragraphs; the weights come from a second fit on everything."""
+    clean = [
+        p for p in unknown
+        if all(template_similarity(p, f, params) < params.similarity / 2 for f in TEMPLATES)
+    ]
+    out = {k: k % len(TEMPLATES[f]) for k, f in enumerate(TEMPLATES, start=1)}
+    examples = [(text, k, number == out[k]) for text, k, number in _variants(params, clean)]
+    examples += [(p, 0, i % 5 == 0) for i, p in enumerate(clean)]
+    random.Random(params.seed).shuffle(examples)
+    used, held = [], []
+    for text, label, left_out in examples:
+        slots, _, _ = paragraph_slots(text.replace("\n", " "), params.bits)
+        (held if left_out else used).append((slots, 1 / np.sqrt(max(1, len(slots))), label))
+    temperature, least = _calibrated(_learn(used, params), held, params)
+    everything = used + held
+    random.Random(params.seed + 1).shuffle(everything)
+    return LicenseModel(_learn(everything, params), temperature, least, params)
 
 
 def fit_licenses(docs: DataFrame, text_col: str = "text", params: Scan = Scan()) -> LicenseModel:
@@ -330,34 +455,62 @@ FOUND = (
 
 def scan(text: str | None, model: LicenseModel) -> list[dict]:
     """Paragraphs of a text given a family, with the best share of a template they hold. A
-    sentence wrapped over lines counts as a paragraph at its first line, whatever the classifier
-    makes of the pieces; unconfirmed pieces of it with the same family are left out."""
-    if not text:
-        return []
-    probable = paragraph_probabilities(text, model)
-    best = probable[:, 1:].argmax(axis=1) + 1
-    value = probable[np.arange(len(best)), best]
-    hits = np.flatnonzero((probable.argmax(axis=1) > 0) & (value >= model.least))
-    wrapped = wrapped_sentences(text, model.params)
-    if not len(hits) and not wrapped:
-        return []
-    lines, out = text.split("\n"), {}
-    for i in hits.tolist():
-        family = FAMILIES[best[i]]
-        similar = template_similarity(lines[i], family, model.params)
-        confirmed = similar >= model.params.similarity
-        if confirmed or not any(f == family and a <= i <= b for f, a, b, *_ in wrapped):
-            out[i, family] = (float(value[i]), similar, confirmed)
-    for family, i, _, similar, run in wrapped:
+    paragraph is a line, or a run of neighbouring lines over which a sentence is wrapped; that
+    counts at its first line. The classifier names the family of either, and template sentences
+    of that family confirm it. Runs of lines count only if confirmed, and then their unconfirmed
+    lines of the same family do not. Of paragraphs of a family at one line, the one with the
+    largest share counts, the shorter of equal ones."""
+    return scan_texts([text], model)[0]
+
+
+def scan_texts(texts: list[str | None], model: LicenseModel) -> list[list[dict]]:
+    """The same for many texts, scored as one stream with a blank line between them."""
+    params = model.params
+    bodies = [(t or "").split("\n") for t in texts]
+    begins = np.cumsum([0] + [len(lines) + 1 for lines in bodies])
+    found: dict[int, list[tuple[int, int, int, float]]] = {}
+    stream = Stream("\n\n".join(t or "" for t in texts), model)
+    for first, last, family, probability in stream.named(params.longest * _longest()):
+        n = int(np.searchsorted(begins, first, side="right")) - 1
+        at = int(begins[n])
+        found.setdefault(n, []).append((first - at, last - at, family, probability))
+    return [_paragraphs(lines, found.get(n, []), params) for n, lines in enumerate(bodies)]
+
+
+def _paragraphs(lines: list[str], named: list[tuple[int, int, int, float]], params: Scan) -> list[dict]:
+    out: dict[tuple[int, str], tuple[float, float, bool]] = {}
+    wrapped = wrapped_sentences(lines, [x for x in named if x[1] > x[0]], params)
+    covered = {(i, family) for family, a, b, *_ in wrapped for i in range(a, b + 1)}
+    for i, last, k, probability in named:
+        if i == last:
+            similar = template_similarity(lines[i], FAMILIES[k], params)
+            confirmed = similar >= params.similarity
+            if confirmed or (i, FAMILIES[k]) not in covered:
+                out[i, FAMILIES[k]] = (probability, similar, confirmed)
+    for family, i, _, probability, similar in wrapped:
         if similar > out.get((i, family), (0, 0))[1]:
-            probability = paragraph_probabilities(run, model)[0, FAMILIES.index(family)]
-            out[i, family] = (float(probability), similar, True)
+            out[i, family] = (probability, similar, True)
     return [
         {"paragraph": i, "family": f, "probability": p, "similarity": similar, "confirmed": confirmed}
         for (i, f), (p, similar, confirmed) in sorted(out.items())
     ]
 
 
+_STREAM_CHARS = 500_000  # of texts scored at once; a longer text is a stream by itself
+
+
+def _streams(texts: pd.Series) -> Iterator[list[str | None]]:
+    part, size = [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text or "")
+        if size >= _STREAM_CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def license_column(docs: DataFrame, text: Column, model: LicenseModel) -> Column:
     """Array of the paragraphs of a whole text that are given a licence family; empty for null
     and empty texts and where every paragraph is unknown."""
@@ -366,7 +519,8 @@ def license_column(docs: DataFrame, text: Column, model: LicenseModel) -> Column
     @F.pandas_udf(FOUND)
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            yield pd.Series([scan(t, shared.value) for t in batch], dtype="object")
+            found = [f for part in _streams(batch) for f in scan_texts(part, shared.value)]
+            yield pd.Series(found, dtype="object")
         _cache.clear()
 
     return of(text)
