@@ -25,7 +25,7 @@ from shelfcast.llm.common import one_text, shared_path
 _WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _UNEVEN = f"^ | $| {_WHITE}|{_WHITE} "
 _COUNT_BYTES = 16_000_000
-_encoders: dict[str, tuple[tiktoken.Encoding, np.ndarray]] = {}
+_encoders: dict[tuple, tuple[tiktoken.Encoding, np.ndarray]] = {}
 
 
 @dataclass(frozen=True)
@@ -39,10 +39,16 @@ class Layout:
     shard_slots: int = 4096
     key: int = 0x5EED
     rounds: int = 6
+    id_bytes: int = 2  # of an id, a little-endian unsigned number; 2 or 4
+    write_tasks: int = 20_000  # at most; beyond it a task writes several shards, one by one
+
+    @property
+    def ids(self) -> np.dtype:
+        return np.dtype(f"<u{self.id_bytes}")
 
     @property
     def stride(self) -> int:
-        return 2 * self.length  # bytes; ids are little-endian unsigned 16-bit numbers
+        return self.id_bytes * self.length  # bytes
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -82,23 +88,26 @@ def permute(index: np.ndarray, n: int, key: int, rounds: int = 6, inverse: bool
 
 
 def _encoder(layout: Layout):
-    if layout.ranks not in _encoders:
+    known = (layout.ranks, layout.pattern, layout.id_bytes, layout.end_id)
+    if known not in _encoders:
         with open(layout.ranks, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        if max(*ranks.values(), layout.end_id) >= 1 << 16:
-            raise ValueError("ids must fit 16 bits")
+        most = max(*ranks.values(), layout.end_id)
+        if most >= 1 << 8 * layout.id_bytes:
+            raise ValueError(f"ids up to {most} do not fit {layout.id_bytes} bytes: set id_bytes=4")
         made = tiktoken.Encoding(
             "ids", pat_str=layout.pattern, mergeable_ranks=ranks, special_tokens={}
         )
-        begins = np.zeros(1 << 16, dtype=bool)  # whether an id begins with a blank
+        begins = np.zeros(most + 1, dtype=bool)  # whether an id begins with a blank
         begins[[i for piece, i in ranks.items() if piece[:1] == b" "]] = True
-        _encoders[layout.ranks] = (made, begins)
-    return _encoders[layout.ranks]
+        _encoders[known] = (made, begins)
+    return _encoders[known]
 
 
 def token_ids(text: str, layout: Layout) -> np.ndarray:
     encoder, _ = _encoder(layout)
-    return np.frombuffer(array("H", encoder.encode_ordinary(text)), np.uint16)
+    kind = "H" if layout.id_bytes == 2 else "I"
+    return np.frombuffer(array(kind, encoder.encode_ordinary(text)), layout.ids)
 
 
 def count_ids(texts: pa.Array, layout: Layout) -> int:
@@ -146,7 +155,7 @@ def _sequences(layout: Layout, offsets: dict[int, int], counts: dict[int, int],
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part = TaskContext.get().partitionId()
         made, size = 0, layout.length
-        rest = np.empty(0, np.uint16)  # ids that wait for a full sequence
+        rest = np.empty(0, layout.ids)  # ids that wait for a full sequence
         docs: list[tuple[int | None, int, int]] = []  # id, place of its first id in rest, skipped
 
         def cut(final: bool) -> pd.DataFrame:
@@ -155,7 +164,7 @@ def _sequences(layout: Layout, offsets: dict[int, int], counts: dict[int, int],
             used = [size] * full
             if final and len(rest) % size:
                 used.append(len(rest) % size)
-                fill = np.full(size - used[-1], layout.end_id, np.uint16)
+                fill = np.full(size - used[-1], layout.end_id, layout.ids)
                 rest = np.concatenate([rest, fill])
                 full += 1
             starts = np.arange(full) * size
@@ -171,7 +180,7 @@ def _sequences(layout: Layout, offsets: dict[int, int], counts: dict[int, int],
                     "first_at": [int(s - at[i] + docs[i][2]) for s, i in zip(starts, first, strict=True)],
                     "n_docs": last - first + 1,
                     "n_ids": used,
-                    "ids": [rest[s : s + size].astype("<u2").tobytes() for s in starts],
+                    "ids": [rest[s : s + size].tobytes() for s in starts],
                 }
             )
             made += full
@@ -191,7 +200,7 @@ def _sequences(layout: Layout, offsets: dict[int, int], counts: dict[int, int],
             for ident, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids = token_ids(text, layout)
                 docs.append((None if pd.isna(ident) else int(ident), length, 0))
-                new += [ids, np.array([layout.end_id], np.uint16)]
+                new += [ids, np.array([layout.end_id], layout.ids)]
                 length += len(ids) + 1
             rest = np.concatenate(new)
             yield cut(False)
@@ -249,7 +258,8 @@ def materialise(
     The texts of a partition follow each other, each ended by ``end_id``, cut every ``length``
     ids. Sequence k of n goes to slot permute(k, n). Shard s holds slots from s * shard_slots
     on, slot after slot of ``stride`` bytes, so a reader seeks to any slot and goes on from
-    there. The table is read twice, to count and to write, so it has to be a stored one that
+    there. Neighbouring shards share a task where there are more than ``write_tasks``, so the number
+    of tasks is bounded, and a task sorts its shards by spilling. The table is read twice, to count and to write, so it has to be a stored one that
     reads the same each time; a partition that does not stops the job. Only one number for
     each partition comes to the driver. A task that runs again writes the same shards, each
     under another name until it is whole.
@@ -279,8 +289,10 @@ def materialise(
         "byte_offset", (F.col("slot") - F.col("shard") * layout.shard_slots) * layout.stride
     )
     names = [part.split()[0] for part in _MANIFEST.split(", ")]
+    shards = max(1, -(-n // layout.shard_slots))
+    each = -(-shards // layout.write_tasks)  # shards a task
     ranged = made.select(*names, "ids").repartitionById(
-        max(1, -(-n // layout.shard_slots)), F.col("shard").cast("int")
+        -(-shards // each), F.floor(F.col("shard") / each).cast("int")
     )
     ranged = ranged.sortWithinPartitions("slot")
     path = f"{root.rstrip('/')}-manifest"
@@ -301,5 +313,5 @@ def read_slots(root: str, layout: Layout, first: int, many: int) -> Iterator[np.
                 data = source.read(layout.stride)
                 if len(data) < layout.stride:
                     return
-                yield np.frombuffer(data, "<u2")
+                yield np.frombuffer(data, layout.ids)
                 slot += 1

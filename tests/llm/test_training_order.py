@@ -106,3 +106,21 @@ def test_edges(docs_of):
     _, manifest = materialise(docs_of([(None, "a b"), (1, None), (1, "")]), layout())
     (row,) = manifest.collect()
     assert row.first_doc is None and row.n_ids == 3 and row.n_docs == 1
+
+
+def test_several_shards_a_task_and_wide_ids(docs_of):
+    docs = docs_of([f"document {i} " + "with some more words " * (i % 7) for i in range(60)])
+    plain = layout()
+    root, manifest = materialise(docs, plain)
+    rows = manifest.orderBy("slot").collect()
+    want = [x.tolist() for x in read_slots(root, plain, 0, len(rows))]
+    for changes in ({"write_tasks": 2}, {"write_tasks": 1, "id_bytes": 4}):
+        other = layout(**changes)
+        where, found = materialise(docs, other)
+        again = found.orderBy("slot").collect()
+        assert [(r.slot, r.seq, r.shard, r.n_ids) for r in again] == [(r.slot, r.seq, r.shard, r.n_ids) for r in rows]
+        assert [x.tolist() for x in read_slots(where, other, 0, len(rows))] == want
+        assert len(list(found.inputFiles())) <= other.write_tasks
+    with pytest.raises(ValueError, match="id_bytes"):
+        token_ids("a", layout(end_id=70_000))
+    assert token_ids("a b", layout(end_id=70_000, id_bytes=4)).dtype == np.uint32
