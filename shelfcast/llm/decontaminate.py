@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -17,6 +18,7 @@ from shelfcast.llm.common import UPPER, written
 # nor digit; A-Z count as a-z.
 SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+NODES = 10_000_000  # of an automaton, at most: characters times words of a window
 _FOLD = bytes.maketrans(
     SEPARATORS + UPPER.encode(), b" " * len(SEPARATORS) + UPPER.lower().encode()
 )
@@ -69,6 +71,17 @@ class WindowScanner:
     """The automaton over the windows of many items. Windows end and begin in a space, so
     they match whole words only, and several items may own one window."""
 
+    _last: tuple[str, WindowScanner] | None = None
+
+    @classmethod
+    def of(cls, key: str, items: list[tuple[int, str | None]], size: int) -> WindowScanner:
+        """The scanner of a slice of items, built once in each worker process: tasks that follow
+        take it from there, and another slice takes its place."""
+        if cls._last is None or cls._last[0] != key:
+            cls._last = None  # so that two are never held at once
+            cls._last = (key, cls(items, size))
+        return cls._last[1]
+
     def __init__(self, items: list[tuple[int, str | None]], size: int):
         owners: dict[str, set[int]] = {}
         for item, text in items:
@@ -112,9 +125,11 @@ def _slices(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> list
 
 
 def _scanner(shared, size: int):
+    key = uuid.uuid4().hex
+
     @F.pandas_udf(RESULT)
     def scan(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scanner = WindowScanner(shared.value, size)
+        scanner = WindowScanner.of(key, shared.value, size)
         for batch in texts:
             rows = [scanner.scan(t) for t in batch]
             yield pd.DataFrame(
@@ -136,16 +151,18 @@ def scan_columns(
     item_col: str = "item_id",
     item_text_col: str = "text",
     size: int = 10,
-    slice_chars: int = 16_000_000,
+    slice_chars: int = 1_000_000,
     name: str = "contamination",
 ) -> DataFrame:
     """``docs`` with all columns and a struct column ``name``: n_words, hit (places of the words
     inside any window of an item), items (ids, sorted), spans (of hits in the original text).
 
     A benchmark of up to ``slice_chars`` characters is one automaton, and documents are scanned
-    once. A larger one is cut into slices of about that size. Each is a scan of its own, whose
-    result is written before the next automaton takes its place; hits of all slices are joined.
-    So what is broadcast at once is bounded, and no item is left out.
+    once. A larger one is cut into slices of about that size, or less for longer windows: a
+    character is in up to ``size`` windows, and a slice has at most about ``NODES`` nodes (some 55
+    bytes each) and one item. Each is a scan of its own, whose result is written before the next
+    automaton takes its place; hits of all slices are joined. So what is broadcast at once and
+    what a worker holds are bounded, and no item is left out.
 
     Null and empty texts have no words; a null item id or text is no item; an empty benchmark
     finds nothing. A column named ``name`` already is replaced.
@@ -153,7 +170,8 @@ def scan_columns(
     spark = docs.sparkSession
     work, parts = docs.drop(name), []
     base = work.columns
-    slices = _slices(benchmark, item_col, item_text_col, slice_chars)
+    most = max(1, min(slice_chars, NODES // size))
+    slices = _slices(benchmark, item_col, item_text_col, most)
     for n, items in enumerate(slices):
         rows = [(r["item"], r["text"]) for r in items.toLocalIterator()]
         shared = spark.sparkContext.broadcast(rows)

@@ -1,6 +1,7 @@
 import random
 import re
 
+from shelfcast.llm import decontaminate
 from shelfcast.llm.decontaminate import WindowScanner, item_windows, scan_columns
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -77,3 +78,20 @@ def test_empty_tables(spark, docs_of):
     assert row.contamination.n_words == 2 and row.contamination.hit == []
     full = spark.createDataFrame([(1, "a b")], bench.schema)
     assert scan_columns(docs_of([("x", "y")][:0]), full).collect() == []
+
+
+def test_slices_are_bounded_by_nodes(spark, docs_of, monkeypatch):
+    items, docs = cases(7)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = scan_columns(docs_of(docs), bench, size=3).orderBy("doc_id").collect()
+    monkeypatch.setattr(decontaminate, "NODES", 600)  # 200 characters of windows of three words
+    made = decontaminate._slices(bench, "item_id", "text", 200)
+    assert len(made) > 1 and sum(s.count() for s in made) == len(items)
+    assert scan_columns(docs_of(docs), bench, size=3).orderBy("doc_id").collect() == want
+
+
+def test_one_scanner_a_process():
+    items, _ = cases()
+    one = WindowScanner.of("first", items, 3)
+    assert WindowScanner.of("first", items, 3) is one
+    assert WindowScanner.of("second", items, 3) is not one
