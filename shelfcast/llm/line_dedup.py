@@ -97,6 +97,14 @@ class LineRuns:
                 self.spark.sql(f"DROP TABLE {name}")
                 remove(self.spark, path)
 
+    def drop(self) -> None:
+        """Take all runs out of the catalog and the shared folder."""
+        for level in self.levels:
+            for name, path in level:
+                self.spark.sql(f"DROP TABLE {name}")
+                remove(self.spark, path)
+        self.levels = []
+
     def repeated(self) -> DataFrame:
         """(h1, h2, max_id) of the keys found in ``min_docs`` documents or more."""
         found = self._merged(self.runs()).where(F.col("n_docs") >= self.min_docs)
@@ -110,6 +118,7 @@ def dedup_lines(
     min_chars: int = 20,
     min_docs: int = 3,
     batches: int = 4,
+    batch_docs: int = 100_000_000,
     fanout: int = 2,
 ) -> DataFrame:
     """Each row of ``docs``, all columns, with struct column ``deduped`` (n_lines, n_dropped,
@@ -119,13 +128,16 @@ def dedup_lines(
     column that is named ``deduped`` already is replaced; an empty table gives an empty one.
 
     The hashes are computed once and written by batch, ids falling from batch to batch; the
-    texts move once, for the join with the lines that go.
+    texts move once, for the join with the lines that go. There are ``batches`` of them, or as many
+    as it takes for none to hold much more than ``batch_docs`` documents (ids are cut by quantiles;
+    an id is never split). The run tables leave the catalog at the end.
     """
     spark = docs.sparkSession
+    batches = max(batches, -(-docs.count() // batch_docs))
     id_ = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     ranks = [i / batches for i in range(1, batches)]
-    cuts = docs.agg(F.percentile_approx(id_, ranks, 1000)).first()[0] if ranks else None
+    cuts = docs.agg(F.percentile_approx(id_, ranks, max(1000, 10 * batches))).first()[0] if ranks else None
     lines = docs.select(id_.alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("t"))
     lines = lines.select(
         "id", "text_hash", F.posexplode(F.split("t", "\n", -1)).alias("pos", "line")
@@ -145,7 +157,9 @@ def dedup_lines(
         runs.add(lines.where(F.col("batch") == n))
     # Written first, so that both sides of the join are plain shuffles, which adaptive execution
     # can cut where one line is very common.
-    gone = lines.join(written(runs.repeated(), "repeated-lines"), HASH).where(F.col("id") != F.col("max_id"))
+    repeated = written(runs.repeated(), "repeated-lines")
+    runs.drop()
+    gone = lines.join(repeated, HASH).where(F.col("id") != F.col("max_id"))
     gone = gone.groupBy("id", "text_hash").agg(F.collect_set("pos").alias("gone"))
 
     names = [c for c in docs.columns if c != "deduped"]

@@ -99,3 +99,10 @@ def test_runs_compact_and_leave_settled_keys_out(spark):
     joined = runs.runs()[0].hint("merge").join(runs.runs()[1], HASH)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_no_run_stays_in_the_catalog(spark, docs_of):
+    rows = [(i, f"a line that stands in many documents\nline of document number {i}") for i in range(40)]
+    before = {t.name for t in spark.catalog.listTables()}
+    assert run(docs_of(rows), batch_docs=7) == brute(rows)
+    assert {t.name for t in spark.catalog.listTables()} == before
