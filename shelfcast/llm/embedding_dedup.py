@@ -54,17 +54,18 @@ def _matrix(column: pa.ChunkedArray | pa.Array, kind) -> np.ndarray:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, n, vector) to unit vectors in double and in half precision."""
+    """The last column, vectors, as unit vectors in double and in half precision; the columns
+    before it as they are."""
     for batch in batches:
         full, half = [], []
-        for vector in batch.column(2).to_pylist():
+        for vector in batch.column(batch.num_columns - 1).to_pylist():
             v = np.array(vector, dtype=np.float64)
             v /= np.abs(v).max()  # no overflow in the squares
             v /= np.linalg.norm(v)
             full.append(v.tobytes())
             half.append(v.astype(np.float16).tobytes())
-        columns = [batch.column(0), batch.column(1), pa.array(full, pa.binary()), pa.array(half, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["id", "n", "full", "half"])
+        columns = [*batch.columns[:-1], pa.array(full, pa.binary()), pa.array(half, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "full", "half"])
 
 
 def _orders(params: Descent, seed: int):
@@ -323,12 +324,11 @@ def _counter(params: Descent):
 
 
 def _link_counts(members: DataFrame, params: Descent) -> DataFrame:
-    """(id, linked): for each vector of a component of (component, id, n, full), the number of
+    """(id, linked): for each vector of a component of (component, size, id, n, full), the number of
     rows its links within the component stand for. This is the list of neighbours enlarged to
     the whole component, kept as a count: chunks of about ``chunk`` vectors meet in pairs, so
     neither a task nor a row grows with the component."""
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / params.chunk).cast("int").alias("chunks"))
-    rows = members.join(sizes, "component").withColumn(
+    rows = members.withColumn("chunks", F.ceil(F.col("size") / params.chunk).cast("int")).withColumn(
         "own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
     )
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
@@ -484,41 +484,49 @@ def embedding_links(
     every pair is compared, so the counts hold all links of a component; what is left to miss
     is a link between two components that no list was too short for, which the audit measures
     against brute force. While that finds too few, lists get twice as long, and after
-    ``widest`` all pairs are compared. Ids
-    are taken as unique; rows with a null id link with nothing and have a null component; an
-    empty table gives an empty result.
+    ``widest`` all pairs are compared. Each
+    row is a vector of its own, one row of the result: rows that repeat an id, with the same or
+    another vector, are linked by their vectors alone. Rows with a null id link with nothing and
+    have a null component; an empty table gives an empty result.
     """
     rows = table.select(
         F.col(f"`{id_col}`").cast("long").alias("id"),
         F.col(f"`{vector_col}`").cast("array<double>").alias("vector"),
     )
+    key = [F.xxhash64("vector").alias("h1"), F.xxhash64(F.lit(7), F.col("vector")).alias("h2")]
     good = rows.where(F.col("id").isNotNull() & _usable(F.col("vector")))
-    packed = good.groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("n"))
-    packed = packed.select("id", "n", "vector").mapInArrow(
-        _pack, "id long, n long, full binary, half binary"
+    distinct = good.groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
+    # Numbered in the order of their ids, so the least node of a component has its least id.
+    distinct = distinct.repartitionByRange("rep").sortWithinPartitions("rep")
+    distinct = distinct.select(F.monotonically_increasing_id().alias("id"), "n", "rep", *key, "vector")
+    packed = distinct.mapInArrow(
+        _pack, "id long, n long, rep long, h1 long, h2 long, full binary, half binary"
     )
-    vectors = written(packed, "vectors")
+    stored = written(packed, "vectors")
+    vectors = stored.select("id", "n", "full", "half")
     lengths = [r[0] for r in vectors.select(F.octet_length("half")).distinct().collect()]
     results = [_one_length(vectors.where(F.octet_length("half") == n), params) for n in lengths]
     classes = None
     for one in results:
         classes = one if classes is None else classes.unionByName(one)
-    members = good.groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
-    named = good.join(members, "vector").select("id", "rep", "n")
     if classes is None:
-        classes = table.sparkSession.createDataFrame([], "rep long, linked long, component long")
-    found = named.join(classes, "rep", "left").select(
-        "id",
+        classes = table.sparkSession.createDataFrame([], "node long, linked long, component long")
+    first = stored.select(F.col("id").alias("component"), F.col("rep").alias("component_id"))
+    nodes = stored.select(F.col("id").alias("node"), "rep", "h1", "h2", "n")
+    nodes = nodes.join(classes.join(first, "component"), "node", "left").select(
+        "h1",
+        "h2",
         (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"),
+        F.coalesce("component_id", "rep").alias("component_id"),
     )
+    found = good.select("id", *key).join(written(nodes, "nodes"), ["h1", "h2"])
     bad = rows.where(F.col("id").isNull() | ~F.coalesce(_usable(F.col("vector")), F.lit(False)))
     alone = bad.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return found.unionByName(alone).withColumnRenamed("id", "vec_id")
+    return found.select("id", "n_links", "component_id").unionByName(alone).withColumnRenamed("id", "vec_id")
 
 
 def _one_length(vectors: DataFrame, params: Descent) -> DataFrame:
-    """(rep, linked, component) of the distinct vectors that link with another."""
+    """(node, linked, component) of the distinct vectors that link with another."""
     k, searches = params.neighbours, 0
     labelled = vectors.withColumn("component", F.col("id"))
     known = merged = None
@@ -545,7 +553,7 @@ def _one_length(vectors: DataFrame, params: Descent) -> DataFrame:
             break
         k *= 2
     return counts.join(labelled.select("id", "component"), "id").select(
-        F.col("id").alias("rep"), "linked", "component"
+        F.col("id").alias("node"), "linked", "component"
     )
 
 
@@ -562,5 +570,6 @@ def _merged(vectors: DataFrame, links: DataFrame, before: DataFrame | None):
 def _counted(labelled: DataFrame, params: Descent) -> DataFrame:
     """(id, linked) of the vectors in components of two or more."""
     sizes = labelled.groupBy("component").agg(F.count("*").alias("size")).where(F.col("size") > 1)
-    members = labelled.join(sizes.select("component"), "component")
-    return written(_link_counts(members.select("component", "id", "n", "full"), params), "counts")
+    # Written first, so that adaptive execution can cut the join where a component is large.
+    members = labelled.join(written(sizes, "sizes"), "component")
+    return written(_link_counts(members.select("component", "size", "id", "n", "full"), params), "counts")

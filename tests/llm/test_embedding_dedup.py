@@ -132,3 +132,13 @@ def test_all_are_compared_where_recall_stays_low(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "_verified", lambda graph, vectors, params: graph.select("v", "u").limit(0))
     rows = [(i, v.tolist()) for i, v in enumerate(clustered(8, 80, 12))]
     assert got(frame(spark, rows), rounds=1, widest=8, chunk=16) == brute(rows)
+
+
+def test_repeated_ids(spark):
+    """A row is a vector, whatever its id: one row each, linked by the vectors alone."""
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, -0.0], [0.0, 0.99, 0.05]
+    rows = [(1, a), (1, b), (1, b), (2, a), (3, c), (4, [0.0, 1.0, 0.0]), (5, [0.0, 0.0, 1.0]), (5, None)]
+    found = embedding_links(frame(spark, rows)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == sorted(
+        [(1, 1, 1), (2, 1, 1)] + [(1, 3, 1)] * 2 + [(3, 3, 1), (4, 3, 1), (5, 0, 5), (5, 0, 5)]
+    )
