@@ -355,28 +355,31 @@ def _variants(params: Scan, filler: list[str]) -> list[tuple[str, int, int]]:
     return out
 
 
-Example = tuple[np.ndarray, float, int]  # slots, value of each, label
+Example = tuple[np.ndarray, np.ndarray, int]  # slots, value of each, label
 
 
-def _logits(weights: np.ndarray, slots: np.ndarray, value: float) -> np.ndarray:
-    return weights[0] + value * weights[slots].sum(axis=0)
+def _example(text: str, label: int, params: Scan) -> Example:
+    slots, _, _ = paragraph_slots(text.replace("\n", " "), params.bits)
+    at, often = np.unique(np.r_[0, slots], return_counts=True)
+    value = often / np.sqrt(max(1, len(slots)))
+    value[0] = 1.0  # the intercept; no n-gram has slot 0
+    return at, value, label
 
 
 def _learn(examples: list[Example], params: Scan) -> np.ndarray:
     weights = np.zeros((1 << params.bits, len(FAMILIES)))
     square = np.full(weights.shape, 1e-8)
     for _ in range(params.epochs):
-        for slots, value, label in examples:
-            z = _logits(weights, slots, value)
+        for at, value, label in examples:
+            own = weights[at]
+            z = value @ own
             p = np.exp(z - z.max())
             p /= p.sum()
             p[label] -= 1
-            at, often = np.unique(np.r_[0, slots], return_counts=True)
-            often = often * value
-            often[0] = 1.0
-            grad = often[:, None] * p[None, :] + params.l2 * weights[at]
-            square[at] += grad * grad
-            weights[at] -= params.rate * grad / np.sqrt(square[at])
+            grad = value[:, None] * p + params.l2 * own
+            seen = square[at] + grad * grad
+            square[at] = seen
+            weights[at] = own - params.rate * grad / np.sqrt(seen)
     return weights
 
 
@@ -384,7 +387,7 @@ def _calibrated(weights: np.ndarray, held: list[Example], params: Scan) -> tuple
     """Temperature of least log loss on held-out examples, and the least probability of
     a family, against unknown alone, that leaves ``false_rate`` of the unknown ones above it. So
     families that are much alike do not lose by sharing what is no doubt a licence."""
-    z = np.array([_logits(weights, s, v) for s, v, _ in held]).reshape(len(held), len(FAMILIES))
+    z = np.array([value @ weights[at] for at, value, _ in held]).reshape(len(held), len(FAMILIES))
     labels = np.array([label for *_, label in held], dtype=int)
     choices = np.geomspace(0.25, 8, 21)
     losses = [-np.log(_softmax(z / t)[np.arange(len(z)), labels] + 1e-12).mean() for t in choices]
@@ -412,8 +415,7 @@ def fit_rows(unknown: list[str], params: Scan) -> LicenseModel:
     random.Random(params.seed).shuffle(examples)
     used, held = [], []
     for text, label, left_out in examples:
-        slots, _, _ = paragraph_slots(text.replace("\n", " "), params.bits)
-        (held if left_out else used).append((slots, 1 / np.sqrt(max(1, len(slots))), label))
+        (held if left_out else used).append(_example(text, label, params))
     temperature, least = _calibrated(_learn(used, params), held, params)
     everything = used + held
     random.Random(params.seed + 1).shuffle(everything)
