@@ -6,7 +6,7 @@ import functools
 import random
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -288,10 +288,13 @@ def _sentences(family: str, words: int) -> list[set[tuple[str, ...]]]:
     return [shingles(sentence, words) for sentence in TEMPLATES[family]]
 
 
+def _shares(own: set[tuple[str, ...]], family: str, words: int) -> list[float]:
+    return [len(wanted & own) / len(wanted) for wanted in _sentences(family, words)]
+
+
 def sentence_shares(paragraph: str, family: str, params: Scan) -> list[float]:
     """Share of the shingles of each template sentence of a family that a paragraph holds."""
-    own = shingles(paragraph, params.words)
-    return [len(wanted & own) / len(wanted) for wanted in _sentences(family, params.words)]
+    return _shares(shingles(paragraph, params.words), family, params.words)
 
 
 def template_similarity(paragraph: str, family: str, params: Scan) -> float:
@@ -299,6 +302,12 @@ def template_similarity(paragraph: str, family: str, params: Scan) -> float:
     return max(sentence_shares(paragraph, family, params), default=0.0)
 
 
+def _most_similar(paragraph: str, families: Iterable[str], params: Scan) -> float:
+    """The largest of the shares over several families; the shingles are taken once."""
+    own = shingles(paragraph, params.words)
+    return max((share for f in families for share in _shares(own, f, params.words)), default=0.0)
+
+
 @functools.cache
 def _longest() -> int:
     return max(len(_WORD.findall(t)) for texts in TEMPLATES.values() for t in texts)
@@ -328,9 +337,8 @@ def wrapped_sentences(
     for share, more, first, name, n, probability in sorted(tight):
         text = "\n".join(lines[first : first + more + 1])
         used, run = taken.setdefault((name, n), set()), range(first, first + more + 1)
-        if used.isdisjoint(run) and all(
-            template_similarity(text, f, params) <= -share for f in TEMPLATES if f != name
-        ):
+        others = [f for f in TEMPLATES if f != name]
+        if used.isdisjoint(run) and _most_similar(text, others, params) <= -share:
             used.update(run)
             out.append((name, first, first + more, probability, -share))
     return out
@@ -405,10 +413,7 @@ def fit_rows(unknown: list[str], params: Scan) -> LicenseModel:
     template sentence are no example of unknown. Temperature and least probability come from a
     first fit that leaves out one whole sentence of each family, with all its variants, and a
     fifth of the unknown paragraphs; the weights come from a second fit on everything."""
-    clean = [
-        p for p in unknown
-        if all(template_similarity(p, f, params) < params.similarity / 2 for f in TEMPLATES)
-    ]
+    clean = [p for p in unknown if _most_similar(p, TEMPLATES, params) < params.similarity / 2]
     out = {k: k % len(TEMPLATES[f]) for k, f in enumerate(TEMPLATES, start=1)}
     examples = [(text, k, number == out[k]) for text, k, number in _variants(params, clean)]
     examples += [(p, 0, i % 5 == 0) for i, p in enumerate(clean)]
