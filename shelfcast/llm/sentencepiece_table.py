@@ -21,6 +21,7 @@ from shelfcast.llm.common import one_text
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}(?:{MARK}*[^{MARK}]+|{MARK}*$)")
 BLOCK_CHARS = 16_000_000
+PART_BYTES = 256 << 20  # of text for each task that segments chunks or joins blocks
 
 
 @cache
@@ -184,7 +185,14 @@ _IDS = pa.schema(
 )
 
 
-def _segmenter(model: str):
+def id_type(model: str) -> type[np.unsignedinteger]:
+    """The narrowest type that holds every id of a model."""
+    return np.uint16 if processor(model).get_piece_size() <= 1 << 16 else np.uint32
+
+
+def _segmenter(model: str, kind: type[np.unsignedinteger]):
+    wide = np.dtype(kind).itemsize
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, table = None, {}
         for batch in batches:
@@ -195,9 +203,9 @@ def _segmenter(model: str):
                 words = unpacked(row["words"]).decode().split(" ")
                 fresh = [w for w in words if w not in table]
                 for word, ids in zip(fresh, segment(fresh, model), strict=True):
-                    table[word] = np.array(ids, dtype=np.uint16).tobytes()
+                    table[word] = np.array(ids, dtype=kind).tobytes()
                 found = [table[w] for w in words]
-                lengths = packed(varint(np.fromiter(map(len, found), np.int64, len(found)) // 2))
+                lengths = packed(varint(np.fromiter(map(len, found), np.int64, len(found)) // wide))
                 ids = packed(b"".join(found))
                 fields = (row["block"], row["mark"], row["places"], lengths, ids)
                 out.append(dict(zip(_IDS.names, fields, strict=True)))
@@ -228,22 +236,22 @@ def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class _Table:
     """Ids of the distinct chunks of one block, by place."""
 
-    def __init__(self, parts: pa.Table, mark: int):
+    def __init__(self, parts: pa.Table, mark: int, kind: type[np.unsignedinteger]):
         if any(m != mark for m in parts["mark"].to_pylist()):
             raise RuntimeError("the documents changed between two readings")
         columns = [
-            [kind(unpacked(blob.as_py())) for blob in parts[name]]
-            for name, kind in (
+            [read(unpacked(blob.as_py())) for blob in parts[name]]
+            for name, read in (
                 ("places", unvarint),
                 ("lengths", unvarint),
-                ("ids", lambda data: np.frombuffer(data, np.uint16)),
+                ("ids", lambda data: np.frombuffer(data, kind)),
             )
         ]
         places, lengths, ids = (np.concatenate(c) if c else np.empty(0, np.int64) for c in columns)
         self.lengths = np.zeros(len(places), dtype=np.int64)
         self.lengths[places] = lengths
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.flat = np.zeros(len(ids), dtype=np.uint16)
+        self.flat = np.zeros(len(ids), dtype=kind)
         self.flat[_spread(self.starts[places], lengths)] = ids
 
     def ids(self, places: np.ndarray) -> np.ndarray:
@@ -259,7 +267,7 @@ class _Table:
         return out
 
 
-def _joiner(model: str, want: tuple[str, ...]):
+def _joiner(model: str, want: tuple[str, ...], kind: type[np.unsignedinteger]):
     schema = pa.schema([("doc_id", pa.int64()), *[(w, FIELDS[w]) for w in want]])
 
     def digests(words: list[str], between: str, docs: list[np.ndarray]) -> list[str]:
@@ -269,7 +277,7 @@ def _joiner(model: str, want: tuple[str, ...]):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         tables = []
         for row in left.to_pylist():
-            table = _Table(right, row["mark"])
+            table = _Table(right, row["mark"], kind)
             places = unvarint(unpacked(row["places"]))
             ends = np.cumsum(unvarint(row["counts"]))
             docs = np.split(places, ends[:-1])
@@ -304,6 +312,7 @@ def encode_documents(
     text_col: str = "text",
     block_chars: int = BLOCK_CHARS,
     parts: int | None = None,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """doc_id and the fields wanted of each document: ids as the library encodes the whole
     text, and what it decodes from them.
@@ -313,8 +322,10 @@ def encode_documents(
     once for the whole corpus, and its documents as places in the list of its chunks; ids and
     places meet again by block. So texts never move, a chunk is sent once for each block it is
     in however often that holds it, and no task holds more than a block or a part of the table.
-    The table is read twice, for chunks and for places: it has to be a stored one that reads
-    the same each time, and blocks whose readings differ stop the job.
+    There is a part, and a task that joins blocks, for each ``part_bytes`` of text, and as many
+    as the session has shuffle partitions at least. The table is read three times, for its size,
+    for chunks and for places: it has to be a stored one that reads the same each time, and
+    blocks whose readings differ stop the job.
 
     Null and empty texts have no ids; null ids stay null; repeated rows are repeated; other
     columns are not read; an empty table gives an empty result. A model whose pieces can cross
@@ -323,18 +334,20 @@ def encode_documents(
     if not chunkable(model):
         raise ValueError("pieces of this model can cross whitespace markers")
     spark = docs.sparkSession
-    parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = one_text(docs, id_col, text_col)
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // part_bytes))
+    parts, kind = parts or 4 * tasks, id_type(model)
     texts = texts.withColumn("doc_id", F.col("doc_id").cast("long"))
     words = texts.mapInArrow(
         _word_rows(block_chars, parts),
         "part int, block long, mark long, places binary, words binary",
     )
     segmented = (
-        words.repartition("part")
+        words.repartition(tasks, "part")
         .sortWithinPartitions("part", "block")
         .mapInArrow(
-            _segmenter(model),
+            _segmenter(model, kind),
             "block long, mark long, places binary, lengths binary, ids binary",
         )
     )
@@ -344,7 +357,8 @@ def encode_documents(
     )
     ddl = ", ".join(["doc_id long", *[f"{w} {_DDL[w]}" for w in want]])
     return (
-        positions.groupBy("block")
-        .cogroup(segmented.groupBy("block"))
-        .applyInArrow(_joiner(model, want), ddl)
+        positions.repartition(tasks, "block")
+        .groupBy("block")
+        .cogroup(segmented.repartition(tasks, "block").groupBy("block"))
+        .applyInArrow(_joiner(model, want, kind), ddl)
     )

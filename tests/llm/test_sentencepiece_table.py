@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 import sentencepiece
 
+from shelfcast.llm import sentencepiece_table
 from shelfcast.llm.queries import PIECES
 from shelfcast.llm.sentencepiece_table import (
     chunkable,
@@ -53,6 +54,23 @@ def test_round_trip(docs_of, block_chars):
         assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_parts_grow_with_the_corpus(spark, docs_of):
+    docs = docs_of(random_texts(300, 3))
+    size = sum(len(t.encode()) for t in random_texts(300, 3))
+    few, many = (encode_documents(docs, PIECES, ("n_tokens", "ids_sha256"), part_bytes=b) for b in (1 << 28, size // 40))
+    assert few.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert many.rdd.getNumPartitions() in (40, 41)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+
+
+def test_ids_beyond_two_bytes(docs_of, monkeypatch):
+    assert sentencepiece_table.id_type(PIECES) is np.uint16
+    texts = random_texts(100, 4)
+    monkeypatch.setattr(sentencepiece_table, "id_type", lambda model: np.uint32)
+    got = encode_documents(docs_of(texts), PIECES, ("ids", "decoded")).collect()
+    assert all(r.ids == SP.encode(texts[r.doc_id]) and r.decoded == SP.decode(r.ids) for r in got)
+
+
 def test_edges(docs_of):
     rows = [(None, "a b"), (1, "a b"), (1, "a b"), (2, None)]
     got = encode_documents(docs_of(rows), PIECES, ("n_tokens",)).collect()
