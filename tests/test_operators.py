@@ -1,5 +1,7 @@
 import contextlib
 import io
+from collections import Counter
+from itertools import product
 
 import pytest
 from pyspark.sql import functions as F
@@ -354,3 +356,31 @@ def test_forecast_grid_is_shuffled_once_before_the_horizon(spark, tmp_path):
     above_horizon = tree.split("\n\n\n")[0].split("Generate")[0]
     assert " Exchange" not in above_horizon
     assert "BroadcastExchange" in tree
+
+
+def test_raw_plans_multiply_a_key_over_many_tasks(spark):
+    """One key holds all planned rows; repeats of a planned row count, and so do its nulls."""
+    n = {"markdowns": 67, "discounts": 40, "prices": 33}
+    some = lambda name, *more: [(1, "a", 1, float(i % 5) if i % 7 else None, *more) for i in range(n[name])]
+    sides = [
+        frames.catalog(spark, "a", "b"),
+        frames.stores(spark, 1, 2),
+        frames.markdowns(spark, some("markdowns", 3.0, 4.0)),
+        frames.discounts(spark, some("discounts", 2.0, 3.0)),
+        frames.prices(spark, some("prices")),
+    ]
+    history = feature_table(frames.sales(spark, [(-1, "a", 1, 5.0, 1.0)]), *sides[:4])
+    total = n["markdowns"] * n["discounts"] * n["prices"]
+    raw = forecast_frame(*sides, day(0), 3, plan="raw")
+    features = inference_features(history, *sides, day(0), 3, plan="raw")
+    cells = ["markdown_quantity", "promo_type_code", "avg_base_price"]
+    want = Counter()
+    for m, d, p in product(*[[r[3] for r in some(name)] for name in n]):
+        want[m, d, p] += 1
+    hot = raw.where((F.col("date") == day(1)) & (F.col("item_id") == "a") & (F.col("store_id") == 1))
+    assert {tuple(r)[:3]: r[3] for r in hot.groupBy(*cells).count().collect()} == want
+    for found in (features,):
+        assert found.count() == total + 11
+        tasks = found.groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) > 1 and max(r["count"] for r in tasks) < 0.9 * total
+    assert features.where("rolling_mean_7_quantity = 5").count() == total + 2
