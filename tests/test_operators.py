@@ -379,7 +379,7 @@ def test_raw_plans_multiply_a_key_over_many_tasks(spark):
         want[m, d, p] += 1
     hot = raw.where((F.col("date") == day(1)) & (F.col("item_id") == "a") & (F.col("store_id") == 1))
     assert {tuple(r)[:3]: r[3] for r in hot.groupBy(*cells).count().collect()} == want
-    for found in (features,):
+    for found in (raw, features):
         assert found.count() == total + 11
         tasks = found.groupBy(F.spark_partition_id()).count().collect()
         assert len(tasks) > 1 and max(r["count"] for r in tasks) < 0.9 * total
