@@ -42,13 +42,11 @@ def _by_item_and_store(sales: DataFrame) -> DataFrame:
     return sales.groupBy("item_id", "store_id").agg(F.count("*").alias("n_rows"))
 
 
-def _every_store(groups: DataFrame, *used: str):
+def _every_store(groups: DataFrame):
     """Number of stores in ``groups``, one row a store or more, as a scalar subquery. It reads
     the columns the query around it uses, in a test that always holds: then both are the same
     grouping of one scan, and Spark works it out once."""
     real = F.col("n_rows") > 0
-    if used:
-        real &= F.xxhash64(*used) >= F.lit(-(1 << 63))
     return groups.select(F.count_distinct(F.when(real, F.col("store_id")))).scalar()
 
 
@@ -60,40 +58,40 @@ def items_in_all_stores(sales: DataFrame) -> DataFrame:
     return counted.where(F.col("n_stores") == _every_store(groups))
 
 
-def assortment_profile(sales: DataFrame, top: int = TOP_ITEMS) -> DataFrame:
-    """The ``top`` items by row count among those sold in every store, with their active days
-    and mean quantity. All figures come from one grouping of the sales; equal row counts are
-    ordered by item."""
-    groups = sales.groupBy("item_id", "store_id", "date").agg(
-        F.count("*").alias("n_rows"),
-        F.sum("quantity").alias("units"),
-        F.count("quantity").alias("n_units"),
-    )
+def _top_counts(sales: DataFrame, top: int) -> DataFrame:
+    groups = _by_item_and_store(sales)
     return (
         groups.groupBy("item_id")
-        .agg(
-            F.countDistinct("store_id").alias("n_stores"),
-            F.countDistinct("date").alias("active_days"),
-            F.sum("n_rows").alias("n_rows"),
-            (F.sum("units") / F.nullif(F.sum("n_units"), F.lit(0))).alias("mean_quantity"),
-        )
-        .where(F.col("n_stores") == _every_store(groups, "date", "units", "n_units"))
+        .agg(F.count("store_id").alias("n_stores"), F.sum("n_rows").alias("n_rows"))
+        .where(F.col("n_stores") == _every_store(groups))
         .orderBy(F.desc("n_rows"), "item_id")
         .limit(top)
     )
 
 
+def rows_of_items(df: DataFrame, items: DataFrame) -> DataFrame:
+    """Rows whose item is one of ``items``, with the other columns these have. Both may have an
+    item that is null."""
+    listed = items.withColumnRenamed("item_id", "_item")
+    return df.join(listed, F.col("item_id").eqNullSafe(F.col("_item"))).drop("_item")
+
+
+def assortment_profile(sales: DataFrame, top: int = TOP_ITEMS) -> DataFrame:
+    """The ``top`` items by row count among those sold in every store, with their active days
+    and mean quantity; equal row counts are ordered by item. Items are ranked by rows per store
+    first. Dates are only told apart in the rows of those that are shown, for over all items
+    there are almost as many groups with the date as rows."""
+    shown = rows_of_items(sales.select("item_id", "date", "quantity"), _top_counts(sales, top))
+    figures = shown.groupBy("item_id", "n_stores", "n_rows").agg(
+        F.countDistinct("date").alias("active_days"), F.avg("quantity").alias("mean_quantity")
+    )
+    ordered = figures.orderBy(F.desc("n_rows"), "item_id")
+    return ordered.select("item_id", "n_stores", "active_days", "n_rows", "mean_quantity")
+
+
 def top_items(sales: DataFrame, top: int = TOP_ITEMS) -> DataFrame:
     """The ``top`` items by row count among those sold in every store."""
-    groups = _by_item_and_store(sales)
-    return (
-        groups.groupBy("item_id")
-        .agg(F.count("store_id").alias("n_stores"), F.sum("n_rows").alias("n_rows"))
-        .where(F.col("n_stores") == _every_store(groups))
-        .orderBy(F.desc("n_rows"), "item_id")
-        .limit(top)
-        .select("item_id", "n_rows")
-    )
+    return _top_counts(sales, top).select("item_id", "n_rows")
 
 
 def select_items_semi(df: DataFrame, items: DataFrame) -> DataFrame:

@@ -301,6 +301,17 @@ def test_profile_orders_ties_by_item(spark):
     assert (profiled["active_days"], profiled["mean_quantity"]) == (3, 1.0)
 
 
+def test_profile_tells_dates_apart_for_shown_items_only(spark):
+    data = [(d, i, s, float(d), 1.0) for i in ("a", "b") for s in (1, 2) for d in range(3 if i == "a" else 4)]
+    sales = frames.sales(spark, [*data, (9, "c", 1, 1.0, 1.0)])
+    unknown = sales.where("item_id = 'b'").withColumn("item_id", F.lit(None).cast("string"))
+    found = profile.assortment_profile(sales.unionByName(unknown).unionByName(unknown.limit(1)), 2)
+    want = [(None, 2, 4, 9), ("b", 2, 4, 8)]
+    assert [tuple(r)[:4] for r in found.collect()] == want
+    ran = found._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in ran and "_item" in ran
+
+
 def test_dummy_entries_are_the_ones_of_the_wide_form(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "kind string, n int")
     entries = profile.dummy_entries(df, "kind")
