@@ -304,12 +304,13 @@ def build_features(
 
 def refresh_profile(spark: SparkSession, root: str, top: int = TOP_ITEMS) -> DataFrame:
     """The assortment profile, kept up by day: the dates that were landed since they were last
-    summarised are read and summarised, all others are taken from their summaries."""
-    sales, done = manifest_path(root, "sales"), manifest_path(root, "profile")
+    summarised are read and summarised, all others are taken from their summaries. Those that
+    hold stores in another form, under ``profile``, are not read: their dates are summarised anew."""
+    sales, done = manifest_path(root, "sales"), manifest_path(root, "summaries")
     version = last_version(spark, sales)
     late = stale_dates(read_manifest(spark, sales), read_manifest(spark, done))
     dates = [r["date"] for r in late.collect()]
-    zone = f"{root}/profile"
+    zone = f"{root}/summaries"
     if dates:
         rows = on_dates(read_zone(spark, f"{root}/sales", SALES), dates)
         write_by_date(day_summaries(rows), zone)

@@ -97,6 +97,20 @@ def test_summaries_give_the_profile(spark):
     assert profile_of_summaries(day_summaries(sales.limit(0))).isEmpty()
 
 
+def test_summaries_take_a_few_bytes_and_no_sort(spark):
+    """Rows of unknown items count for the stores there are, and are not shown."""
+    data = [(d, i, s, 1.0, 2.0) for i in ("a", "b") for s in (-65, -64, -1, 0, 63, 64) for d in range(3)]
+    sales = frames.sales(spark, [*data, (0, "b", 200, 3.0, 2.0)])
+    unknown = sales.where("item_id = 'a'").withColumn("item_id", F.lit(None).cast("string"))
+    nowhere = sales.where("store_id = 0").withColumn("store_id", F.lit(None).cast("int"))
+    stored = day_summaries(sales.unionByName(unknown).unionByName(nowhere))
+    assert dict(stored.dtypes)["stores"] == "bigint"
+    found = profile_of_summaries(stored)
+    assert list(map(tuple, found.collect())) == [("b", 7, 3, 22, 24 / 22)]
+    for df in (stored, found):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_profile_after_a_landing_reads_the_new_dates(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "z")
     sales = some_sales(spark)
