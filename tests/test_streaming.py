@@ -1,5 +1,8 @@
 """Landing files as a stream: restarts, repeated and late files, failures half-way."""
 
+import datetime as dt
+from pathlib import Path
+
 import pytest
 
 import frames
@@ -102,3 +105,25 @@ def test_copies_within_a_batch_count_once(spark, inbox, tmp_path):
     put(inbox, "z", [(1, "a", 1, 3.0)])
     run(spark, inbox, root, build=False)
     assert landed(spark, root) == expected([(1, "a", 1, 3.0)] * 3)
+
+
+def test_query_of_the_stream_lands_files_of_many_tasks(spark, monkeypatch):
+    """The second copy of a file counts once, whichever task wrote it."""
+    from checks import queries
+
+    start = dt.date(1999, 1, 1)
+    data = [(start + dt.timedelta(days=9 * d), i, 1.0, 2.0, 2.0, s) for d in range(80) for i in "ab" for s in (1, 7)]
+    sales = spark.createDataFrame(data + data[-3:], SALES)
+    files = []
+    real = queries.tables.write_csv
+
+    def write_csv(df, path):
+        real(df, path)
+        files.append(sum(f.suffix == ".csv" for f in Path(path).iterdir()))
+
+    monkeypatch.setattr(queries.tables, "write_csv", write_csv)
+    monkeypatch.setattr(queries, "Retail", lambda *_: type("R", (), {"sales": lambda self: sales})())
+    found = queries.ingest_stream(spark, "")
+    want = sales.groupBy("date").count().collect()
+    assert {r["date"]: (r["n_rows"], r["units"]) for r in found.collect()} == {str(r[0]): (r[1], r[1]) for r in want}
+    assert len(files) == 4 and min(files) > 1
